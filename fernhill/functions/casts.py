@@ -75,7 +75,7 @@ def date_from(c: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
 def try_date(c: ColumnOrName, fmt: str | None = None) -> Column:
     """Lenient date; bad or empty text -> null."""
     s = _c(c).cast("string")
-    return F.try_to_date(s, F.lit(fmt)) if fmt else F.try_to_date(s)
+    return F.try_to_date(s, fmt) if fmt else F.try_to_date(s)
 
 
 def try_timestamp(c: ColumnOrName, fmt: str | None = None) -> Column:
@@ -130,7 +130,7 @@ def quarter_period(name: ColumnOrName) -> tuple[Column, Column]:
 
 def month_period(sheet: ColumnOrName) -> tuple[Column, Column]:
     """(first of month, first of next month) from a ``MM.yyyy`` sheet name; others -> nulls."""
-    start = F.try_to_date(_c(sheet).cast("string"), F.lit("MM.yyyy"))
+    start = F.try_to_date(_c(sheet).cast("string"), "MM.yyyy")
     return start, F.add_months(start, 1)
 
 

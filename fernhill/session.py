@@ -14,6 +14,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # 128 MB splits; at 100 TB that is ~800k scan tasks, sized for executor memory.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
