@@ -57,3 +57,66 @@ def access_log_rows(events: DataFrame) -> DataFrame:
 def snapshot_folder(ts_col: str = "ts") -> F.Column:
     """Folder stamp ``yyyyMMdd_000000`` of the day a catalogue row was landed."""
     return F.date_format(F.col(ts_col), "yyyyMMdd_000000")
+
+
+# ------------------------------------------------------------------ titles
+
+def brand_number(c: str = "p_brand") -> F.Column:
+    return F.substring(F.col(c), 7, 10).cast("int")
+
+
+def raw_title(part: DataFrame) -> F.Column:
+    """A partner-style title for each part: numbering and year in six styles (by ``p_type``)."""
+    size, bno, name, typ = (F.col("p_size").cast("string"), brand_number().cast("string"),
+                            F.col("p_name"), F.col("p_type"))
+    return (F.when(typ == "ECONOMY", F.concat(name, F.lit(" S"), F.lpad(size, 2, "0"), F.lit("E"),
+                                              F.lpad(bno, 2, "0"), F.lit(" - "), typ))
+            .when(typ == "SMALL", F.concat(name, F.lit(" itemset "), size, F.lit(" item "), bno))
+            .when(typ == "MEDIUM", F.concat(name, F.lit(" ("), (1880 + F.col("p_size") * 3).cast("string"), F.lit(")")))
+            .when(typ == "LARGE", F.concat(name, F.lit(" itemset "), size))
+            .when(typ == "PROMO", F.concat(F.replace(name, F.lit(" "), F.lit("_")), F.lit("_S"), size, F.lit("_E"),
+                                           bno, F.lit("_Part_"), size))
+            .otherwise(F.concat(F.upper(name), F.lit(" ["), (1950 + F.col("p_size")).cast("string"), F.lit("]"))))
+
+
+def title_candidates(part: DataFrame) -> DataFrame:
+    """Search candidates: one series per part name, and every part as an episode
+    of it (size <= 30) or as a movie. Positions order series before its parts."""
+    series = (part.groupBy("p_name").agg(F.min("p_partkey").alias("k"), F.min("p_size").alias("smin"),
+                                         F.max("p_size").alias("smax"))
+              .select(F.col("p_name").alias("query"), (F.col("k") * 2).alias("position"),
+                      F.concat(F.lit("ser-"), F.replace("p_name", F.lit(" "), F.lit("-"))).alias("id"),
+                      F.lit("series").alias("kind"), (1950 + F.col("smin")).cast("int").alias("year"),
+                      (F.col("smax") * 5).cast("int").alias("votes"), F.lit(None).cast("string").alias("parent_id"),
+                      F.lit(None).cast("int").alias("itemset_no"), F.lit(None).cast("int").alias("item_no")))
+    episode = F.col("p_size") <= 30
+    parts = part.select(
+        F.col("p_name").alias("query"), (F.col("p_partkey") * 2 + 1).alias("position"),
+        F.col("p_partkey").cast("string").alias("id"),
+        F.when(episode, "episode").otherwise("movie").alias("kind"),
+        (1950 + F.col("p_size")).cast("int").alias("year"),
+        (F.floor("p_retailprice").cast("int") - 900 + F.col("p_size") * 4).alias("votes"),
+        F.when(episode, F.concat(F.lit("ser-"), F.replace("p_name", F.lit(" "), F.lit("-")))).alias("parent_id"),
+        F.when(episode, F.col("p_size")).cast("int").alias("itemset_no"),
+        F.when(episode, brand_number()).cast("int").alias("item_no"))
+    return series.unionByName(parts)
+
+
+def title_map(part: DataFrame) -> DataFrame:
+    """Titles seen in partner reports with the ids known so far."""
+    key = F.concat(F.lit("tt"), F.col("p_partkey").cast("string"))
+    return part.select(
+        F.when(F.col("p_size") == 1, F.lit("  ")).otherwise(raw_title(part)).alias("title"),
+        F.when(F.col("p_size") > 44, key).alias("title_id"),
+        F.when(F.col("p_size") > 47, key).alias("itemset_id"))
+
+
+def match_table(part: DataFrame) -> DataFrame:
+    """Current match table: one row per normalised title of the LARGE parts."""
+    return (part.where(F.col("p_type") == "LARGE")
+            .select(F.trim(F.lower(raw_title(part))).alias("title"), "p_partkey", "p_size")
+            .groupBy("title")
+            .agg(F.min(F.concat(F.lit("tt"), F.col("p_partkey").cast("string"))).alias("title_id"),
+                 (F.max("p_size") > 25).alias("has_match"))
+            .select("title", "title_id", F.lit(None).cast("string").alias("itemset_id"), "has_match",
+                    F.lit("2024-01-01 00:00:00").cast("timestamp").alias("match_ts")))
