@@ -120,3 +120,161 @@ def match_table(part: DataFrame) -> DataFrame:
                  (F.max("p_size") > 25).alias("has_match"))
             .select("title", "title_id", F.lit(None).cast("string").alias("itemset_id"), "has_match",
                     F.lit("2024-01-01 00:00:00").cast("timestamp").alias("match_ts")))
+
+
+# ------------------------------------------------------------ file fixtures
+
+def _xml_text(s: str) -> str:
+    return (s.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;").replace('"', "&quot;"))
+
+
+def _col_letters(i: int) -> str:
+    s = ""
+    i += 1
+    while i:
+        i, r = divmod(i - 1, 26)
+        s = chr(65 + r) + s
+    return s
+
+
+def xlsx_bytes(sheets: dict[str, list[list]]) -> bytes:
+    """A minimal .xlsx: one sheet per entry; str cells inline, int/float numeric,
+    ``datetime.date`` cells as date-styled serial numbers."""
+    import datetime as _dt
+    import io as _io
+    import zipfile as _zip
+
+    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    buf = _io.BytesIO()
+    with _zip.ZipFile(buf, "w", _zip.ZIP_DEFLATED) as z:
+        names = list(sheets)
+        z.writestr("[Content_Types].xml", (
+            '<?xml version="1.0" encoding="UTF-8"?><Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types">'
+            '<Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/>'
+            '<Default Extension="xml" ContentType="application/xml"/>'
+            '<Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/>'
+            '<Override PartName="/xl/styles.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.styles+xml"/>'
+            + "".join(f'<Override PartName="/xl/worksheets/sheet{i + 1}.xml" '
+                      'ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/>'
+                      for i in range(len(names)))
+            + "</Types>"))
+        z.writestr("_rels/.rels", (
+            '<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+            '<Relationship Id="rId1" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/officeDocument" '
+            'Target="xl/workbook.xml"/></Relationships>'))
+        z.writestr("xl/workbook.xml", (
+            f'<?xml version="1.0" encoding="UTF-8"?><workbook xmlns="{main}" xmlns:r="{rel}"><sheets>'
+            + "".join(f'<sheet name="{_xml_text(n)}" sheetId="{i + 1}" r:id="rId{i + 1}"/>' for i, n in enumerate(names))
+            + "</sheets></workbook>"))
+        z.writestr("xl/_rels/workbook.xml.rels", (
+            '<?xml version="1.0" encoding="UTF-8"?><Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+            + "".join(f'<Relationship Id="rId{i + 1}" Type="http://schemas.openxmlformats.org/officeDocument/2006/relationships/worksheet" '
+                      f'Target="worksheets/sheet{i + 1}.xml"/>' for i in range(len(names)))
+            + "</Relationships>"))
+        z.writestr("xl/styles.xml", (
+            f'<?xml version="1.0" encoding="UTF-8"?><styleSheet xmlns="{main}">'
+            '<cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="14" applyNumberFormat="1"/></cellXfs></styleSheet>'))
+        for i, n in enumerate(names):
+            rows = []
+            for r, values in enumerate(sheets[n]):
+                cells = []
+                for c, v in enumerate(values):
+                    ref = f"{_col_letters(c)}{r + 1}"
+                    if v is None:
+                        continue
+                    if isinstance(v, _dt.date):
+                        serial = (v - _dt.date(1899, 12, 30)).days
+                        cells.append(f'<c r="{ref}" s="1"><v>{serial}</v></c>')
+                    elif isinstance(v, (int, float)) and not isinstance(v, bool):
+                        cells.append(f'<c r="{ref}"><v>{v}</v></c>')
+                    else:
+                        cells.append(f'<c r="{ref}" t="inlineStr"><is><t>{_xml_text(str(v))}</t></is></c>')
+                rows.append(f'<row r="{r + 1}">{"".join(cells)}</row>')
+            z.writestr(f"xl/worksheets/sheet{i + 1}.xml",
+                       f'<?xml version="1.0" encoding="UTF-8"?><worksheet xmlns="{main}"><sheetData>'
+                       + "".join(rows) + "</sheetData></worksheet>")
+    return buf.getvalue()
+
+
+ORDER_SHEET_HEADER = ["Order Key", "Status", "Priority", "Total", "Order Date", "Customer"]
+
+
+def order_workbooks(orders: DataFrame) -> DataFrame:
+    """Partner-style workbooks from ``orders``: one workbook per partition, one sheet per
+    month ("MM.yyyy") plus a "Summary" sheet; two preamble rows, a header, the rows,
+    and two footer rows per sheet. Returns (path, content) rows."""
+    import pandas as pd
+
+    rows = orders.select(
+        F.col("o_orderkey"), "o_orderstatus", "o_orderpriority", "o_totalprice",
+        F.to_date("o_orderdate").alias("d"), F.date_format("o_orderdate", "MM.yyyy").alias("sheet"),
+        F.concat(F.floor(F.col("o_custkey") / 1000).cast("string"), F.lit(","),
+                 F.lpad((F.col("o_custkey") % 1000).cast("string"), 3, "0")).alias("cust"),
+        F.spark_partition_id().alias("pid"))
+
+    def build(batches):
+        parts: dict[int, dict[str, list]] = {}
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                sheet = parts.setdefault(int(r.pid), {}).setdefault(r.sheet, [])
+                sheet.append([int(r.o_orderkey), r.o_orderstatus, r.o_orderpriority, float(r.o_totalprice),
+                              r.d, r.cust])
+        out = []
+        for pid, sheets in parts.items():
+            book = {"Summary": [["report"], ["generated"], ["Total", len(sheets)]]}
+            for name, body in sorted(sheets.items()):
+                book[name] = [["Partner report"], [f"Month {name}"], ORDER_SHEET_HEADER] + body + \
+                             [[None], ["Total rows", len(body)]]
+            out.append((f"orders-{pid:05d}.xlsx", xlsx_bytes(book)))
+        yield pd.DataFrame(out, columns=["path", "content"])
+
+    return rows.mapInPandas(build, "path string, content binary")
+
+
+def page_archives(pages: DataFrame) -> DataFrame:
+    """Archives of page html files: even partitions as .zip, odd ones as .tar.gz.
+    Returns (path, content) rows."""
+    import io
+    import tarfile
+    import zipfile
+
+    import pandas as pd
+
+    rows = pages.select("page_id", "html", F.spark_partition_id().alias("pid"))
+
+    def build(batches):
+        members: dict[int, list] = {}
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                members.setdefault(int(r.pid), []).append((f"pages/{r.page_id}.html", (r.html or "").encode()))
+        out = []
+        for pid, items in members.items():
+            buf = io.BytesIO()
+            if pid % 2 == 0:
+                with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+                    for name, data in items:
+                        z.writestr(name, data)
+                out.append((f"pages-{pid:05d}.zip", buf.getvalue()))
+            else:
+                with tarfile.open(fileobj=buf, mode="w:gz") as t:
+                    for name, data in items:
+                        info = tarfile.TarInfo(name)
+                        info.size = len(data)
+                        t.addfile(info, io.BytesIO(data))
+                out.append((f"pages-{pid:05d}.tar.gz", buf.getvalue()))
+        yield pd.DataFrame(out, columns=["path", "content"])
+
+    return rows.mapInPandas(build, "path string, content binary")
+
+
+def messages(events: DataFrame) -> DataFrame:
+    """Mail-like messages from ``events``: created, sender, subject, attachments."""
+    k = F.regexp_extract("props", r"(\d+)", 1)
+    eid = F.col("event_id").cast("string")
+    return events.select(
+        F.col("ts").alias("created"),
+        F.concat(F.lit("user"), F.col("user_id").cast("string"), F.lit("@example.com")).alias("sender"),
+        F.concat(F.col("event_type"), F.lit(" report")).alias("subject"),
+        F.array(F.concat(F.lit("report_"), eid, F.lit(".xlsx")), F.concat(F.lit("note_"), eid, F.lit(".txt")),
+                F.concat(F.lit("data_"), k, F.lit(".csv"))).alias("attachments"))
