@@ -74,5 +74,41 @@ def parse_title(c: ColumnOrName) -> Column:
 
 
 def parse_titles(df, c: str = "title", into: str = "parsed"):
-    """Add the parsed struct of column ``c`` as column ``into``."""
-    return df.withColumn(into, parse_title(c))
+    """Add the parsed struct of column ``c`` as column ``into`` (same rules as
+    ``parse_title``), computed in stages: each regex runs once per row and the
+    generated code stays small. Catalyst keeps the stages apart because it
+    does not inline a non-trivial expression into several consumers."""
+    keep = [F.col(f"`{x}`") for x in df.columns]
+    col = F.col(f"`{c}`")
+    s = df.select(*keep, F.replace(col, F.lit("_"), F.lit(" ")).alias("__t0"))
+    s = s.select(*keep, "__t0",
+                 F.substring(F.regexp_extract("__t0", _U + YEAR_PATTERN, 1), 2, 4).try_cast("int").alias("__yn"))
+    s = s.select(*keep, "__t0",
+                 F.when(F.col("__yn").between(F.lit(FIRST_YEAR), F.year(F.current_date())), F.col("__yn"))
+                 .alias("__year"))
+    s = s.select(*keep, "__year",
+                 F.when(F.col("__year").isNotNull(), F.regexp_replace("__t0", _U + YEAR_PATTERN, ""))
+                 .otherwise(F.col("__t0")).alias("__t1"))
+    t1 = F.col("__t1")
+    s = s.select(*keep, "__year", "__t1", t1.rlike(_U + ITEM_ITEMSET_PATTERN).alias("__m2"),
+                 t1.rlike(_U + ITEMSET_ONLY_PATTERN).alias("__m3any"))
+    m2 = F.col("__m2")
+    m3 = ~m2 & F.col("__m3any")
+    s = s.select(
+        *keep, "__year", "__t1", "__m2", m3.alias("__m3"),
+        F.when(m2, F.regexp_extract(t1, _U + ITEM_ITEMSET_PATTERN, 1)).try_cast("int").alias("__g1"),
+        F.when(m2, F.regexp_extract(t1, _U + ITEM_ITEMSET_PATTERN, 2)).try_cast("int").alias("__g2"),
+        F.when(m2, F.regexp_extract(t1, _U + ITEM_ITEMSET_PATTERN, 3)).alias("__g3"),
+        F.when(m3, F.regexp_extract(t1, _U + ITEMSET_ONLY_PATTERN, 1)).try_cast("int").alias("__h1"),
+        F.when(m2, F.regexp_replace(t1, _U + ITEM_ITEMSET_PATTERN, ""))
+        .when(m3, F.regexp_replace(t1, _U + ITEMSET_ONLY_PATTERN, "")).otherwise(t1).alias("__t2"))
+    g3 = F.col("__g3")
+    rest = F.when(F.length(g3) > 1, _strip(F.substr(g3, F.lit(2))))
+    parsed = F.struct(
+        _strip(F.col("__t2")).alias("title"),
+        F.col("__year").alias("year"),
+        F.coalesce(F.col("__g1"), F.col("__h1")).alias("itemset"),
+        F.col("__g2").alias("item"),
+        F.when(rest != "", rest).alias("item_title"),
+    )
+    return s.select(*keep, F.when(col.isNotNull(), parsed).alias(into))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import NO_RESULTS, norm_title, tt_id
 from ..functions.predicates import non_blank
-from ..functions.titles import parse_title
+from ..functions.titles import parse_titles
 from .joins import not_in
 from .upsert import upsert
 
@@ -62,39 +62,45 @@ def _strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
-def _chain(base: Column, is_tv: Column, start: int) -> Column:
-    """The query itself, then each shortened form (parts split on ':' / '-',
-    last part dropped, joined with ': '), as array<struct<rank, q, is_tv>>."""
-    parts = F.split(base, "[:-]")
-    k = F.size(parts)
-    shortened = F.when(
-        base.rlike("[:-]") & (k > 1),
-        F.transform(F.sequence(F.lit(1), k - 1),
-                    lambda j: F.struct(
-                        (F.lit(start) + j).alias("rank"),
-                        F.array_join(F.transform(F.slice(parts, F.lit(1), k - j), _strip), ": ").alias("q"),
-                        F.lit(True).alias("is_tv"))),
-    ).otherwise(F.array().cast("array<struct<rank:int,q:string,is_tv:boolean>>"))
-    head = F.array(F.struct(F.lit(start).alias("rank"), base.alias("q"), is_tv.alias("is_tv")))
-    return F.when(base.isNull(), F.array().cast("array<struct<rank:int,q:string,is_tv:boolean>>")) \
-        .otherwise(F.concat(head, shortened))
-
-
-def search_attempts(parsed: DataFrame) -> DataFrame:
-    """(tid, rank, q, is_tv) for every search a title would make, in order."""
+_SEP = "\u0001"
+
+
+def _shortened(base: Column, keep_parts: Column) -> Column:
+    """X13 applied repeatedly: the first ``keep_parts`` parts of ``base`` (split on
+    ':' or '-'), each trimmed, joined with ': '. Built-ins only (no lambdas)."""
+    marked = F.regexp_replace(base, "[:-]", _SEP)
+    prefix = F.call_function("substring_index", marked, F.lit(_SEP), keep_parts)
+    return _strip(F.regexp_replace(prefix, r"(?U)\s*" + _SEP + r"\s*", ": "))
+
+
+def search_attempts(parsed: DataFrame, key: str = "tid", keep: Sequence[str] = ()) -> DataFrame:
+    """(key, rank, qn, is_tv, *keep) for every search a title would make, in order:
+    the main query (title + rest-title, or the title), then each shorter form
+    while ':' / '-' remain; for titles with a rest-title, then the bare title and
+    its shorter forms (ranks from 1000). A null title keeps one row with a null
+    query (``explode_outer``), so every title reaches the aggregation that follows.
+    """
     p = F.col("parsed")
     rest = p["item_title"]
     bare = _strip(p["title"])
     has_rest = rest.isNotNull() & (rest != "")
     tv = F.coalesce((p["itemset"] > 0) & (p["item"] > 0), F.lit(False))
     primary = F.when(has_rest, F.concat(bare, F.lit(" "), _strip(rest))).otherwise(bare)
-    first = _chain(primary, F.when(has_rest, F.lit(True)).otherwise(tv), 0)
-    # the bare title after the rest-title search found nothing (ranks after the first chain)
-    second = F.when(has_rest, _chain(bare, F.lit(True), 1000)) \
-        .otherwise(F.array().cast("array<struct<rank:int,q:string,is_tv:boolean>>"))
-    return (parsed.select("tid", F.explode(F.concat(first, second)).alias("a"))
-            .select("tid", F.col("a.rank").alias("rank"), norm_title(F.col("a.q")).alias("qn"),
-                    F.col("a.is_tv").alias("is_tv")))
+    chains = F.when(has_rest, F.array(
+        F.struct(F.lit(0).alias("start"), primary.alias("base"), F.lit(True).alias("is_tv")),
+        F.struct(F.lit(1000).alias("start"), bare.alias("base"), F.lit(True).alias("is_tv")))) \
+        .otherwise(F.array(F.struct(F.lit(0).alias("start"), primary.alias("base"), tv.alias("is_tv"))))
+    chains = F.when(p.isNull(), F.lit(None)).otherwise(chains)
+    c = parsed.select(key, *keep, F.explode_outer(chains).alias("c")).select(
+        key, *keep, F.col("c.start").alias("start"), F.col("c.base").alias("base"), F.col("c.is_tv").alias("tv0"))
+    base = F.col("base")
+    n_sep = F.length(base) - F.length(F.regexp_replace(base, "[:-]", ""))
+    steps = c.select(key, *keep, "start", "base", "tv0",
+                     F.explode_outer(F.sequence(F.lit(0), F.coalesce(n_sep, F.lit(0)))).alias("j"))
+    j = F.col("j")
+    q = F.when(j == 0, base).otherwise(_shortened(base, n_sep + 1 - j))
+    return steps.select(key, (F.col("start") + j).cast("int").alias("rank"), norm_title(q).alias("qn"),
+                        F.when(j == 0, F.col("tv0")).otherwise(F.lit(True)).alias("is_tv"), *keep)
 
 
 def _cand_struct() -> Column:
@@ -107,9 +113,18 @@ def resolve_titles(titles: DataFrame, candidates: DataFrame, title_col: str = "t
     """(title, title_id, itemset_id) for every distinct title.
 
     No candidate in any attempt -> both ids "No Results"; a null title -> both null.
+    Plan: titles are parsed once and exploded into attempts; candidates are
+    pre-aggregated per query (first candidate) and per (query, kind, year)
+    (first candidate with enough votes); three shuffled aggregations and two
+    joins on small, pre-aggregated sides follow.
     """
     uniq = titles.select(F.col(title_col).alias("title")).distinct()
-    parsed = uniq.select("title", F.col("title").alias("tid"), parse_title("title").alias("parsed"))
+    parsed = parse_titles(uniq, "title", "parsed")
+    fields = ["year", "itemset", "item"]
+    attempts = search_attempts(
+        parsed.select("title", "parsed", *[F.col(f"parsed.{f}").alias(f) for f in fields],
+                      F.col("parsed").isNull().alias("null_title")),
+        key="title", keep=fields + ["null_title"])
 
     cand = candidates.withColumn("qn", norm_title("query"))
     firsts = cand.groupBy("qn").agg(F.min(_cand_struct()).alias("first"))
@@ -117,39 +132,41 @@ def resolve_titles(titles: DataFrame, candidates: DataFrame, title_col: str = "t
     passing = (cand.where((votes > min_votes) | ((F.col("kind") == low_votes_kind) & (votes > low_votes)))
                .groupBy("qn", "kind", "year").agg(F.min(_cand_struct()).alias("best")))
 
-    # First attempt (in order) with any candidate
-    attempts = search_attempts(parsed)
-    hit = (attempts.join(firsts, "qn")
-           .groupBy("tid").agg(F.min(F.struct("rank", "qn", "is_tv", "first")).alias("w"))
-           .select("tid", F.col("w.qn").alias("qn"), F.col("w.is_tv").alias("is_tv"), F.col("w.first").alias("first")))
+    # First attempt (in order) with any candidate; titles without one keep a row with no hit
+    hit = (attempts.join(firsts, "qn", "left")
+           .groupBy("title")
+           .agg(F.min(F.struct(F.col("first").isNull().alias("miss"), "rank", "qn", "is_tv", *fields,
+                               "null_title", "first")).alias("w"))
+           .select("title", *[F.col(f"w.{f}").alias(f) for f in ["qn", "is_tv", *fields, "null_title", "first"]]))
 
     # First qualifying candidate of the winning query
-    info = parsed.select("tid", F.col("parsed.year").alias("want_year"))
     allowed = F.when(F.col("is_tv"), F.array(*[F.lit(k) for k in tv_kinds])) \
         .otherwise(F.array(*[F.lit(k) for k in other_kinds]))
-    year_ok = F.col("want_year").isNull() | (F.col("want_year") == 0) | (F.col("year") == F.col("want_year"))
-    best = (hit.select("tid", "qn", "is_tv").join(info, "tid").join(passing, "qn")
+    want = F.col("want_year")
+    year_ok = want.isNull() | (want == 0) | (F.col("year") == want)
+    best = (hit.where(F.col("first").isNotNull())
+            .select("title", "qn", "is_tv", F.col("year").alias("want_year"))
+            .join(passing, "qn")
             .where(F.array_contains(allowed, F.col("kind")) & year_ok)
-            .groupBy("tid").agg(F.min("best").alias("best")))
-    chosen = hit.join(best, "tid", "left").select("tid", F.coalesce("best", "first").alias("c"))
+            .groupBy("title").agg(F.min("best").alias("best")))
+    chosen = hit.join(best, "title", "left").withColumn("c", F.coalesce("best", "first"))
 
     # Ids by kind; a series with itemset and item numbers looks up its episode
     episodes = (candidates.where(F.col("parent_id").isNotNull())
                 .groupBy("parent_id", "itemset_no", "item_no").agg(F.min("id").alias("episode_id")))
-    r = parsed.join(chosen, "tid", "left")
-    r = r.join(episodes,
-               (F.col("c.kind") == "series") & (F.col("c.id") == F.col("parent_id"))
-               & (F.col("parsed.itemset") == F.col("itemset_no")) & (F.col("parsed.item") == F.col("item_no")),
-               "left")
+    numbered = F.coalesce((F.col("itemset") > 0) & (F.col("item") > 0), F.lit(False))
+    r = chosen.join(episodes,
+                    (F.col("c.kind") == "series") & numbered & (F.col("c.id") == F.col("parent_id"))
+                    & (F.col("itemset") == F.col("itemset_no")) & (F.col("item") == F.col("item_no")),
+                    "left")
     kind = F.col("c.kind")
-    numbered = F.coalesce((F.col("parsed.itemset") > 0) & (F.col("parsed.item") > 0), F.lit(False))
     none = F.col("c").isNull()
-    item_id = (F.when(F.col("parsed").isNull(), F.lit(None))
+    item_id = (F.when(F.col("null_title"), F.lit(None))
                .when(none, F.lit(NO_RESULTS))
                .when((kind == "series") & numbered, F.col("episode_id"))
                .when(kind == "series", F.lit(None))
                .otherwise(F.col("c.id")))
-    itemset_id = (F.when(F.col("parsed").isNull(), F.lit(None))
+    itemset_id = (F.when(F.col("null_title"), F.lit(None))
                   .when(none, F.lit(NO_RESULTS))
                   .when(kind == "series", F.col("c.id"))
                   .when(kind == "episode", F.col("c.parent_id"))

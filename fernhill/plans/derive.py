@@ -70,7 +70,7 @@ def raw_title(part: DataFrame) -> F.Column:
     size, bno, name, typ = (F.col("p_size").cast("string"), brand_number().cast("string"),
                             F.col("p_name"), F.col("p_type"))
     return (F.when(typ == "ECONOMY", F.concat(name, F.lit(" S"), F.lpad(size, 2, "0"), F.lit("E"),
-                                              F.lpad(bno, 2, "0"), F.lit(" - "), typ))
+                                              F.lpad(bno, 2, "0"), F.lit(" - "), typ, F.lit(": "), F.col("p_brand")))
             .when(typ == "SMALL", F.concat(name, F.lit(" itemset "), size, F.lit(" item "), bno))
             .when(typ == "MEDIUM", F.concat(name, F.lit(" ("), (1880 + F.col("p_size") * 3).cast("string"), F.lit(")")))
             .when(typ == "LARGE", F.concat(name, F.lit(" itemset "), size))

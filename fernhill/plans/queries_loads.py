@@ -303,3 +303,45 @@ def p7_require_columns(spark, sf):
 @register("p8_keep_columns", sql="SELECT p_size, p_name, p_partkey FROM part")
 def p8_keep_columns(spark, sf):
     return keep_columns(table(spark, sf, "part"), ["p_size", "p_name", "p_partkey"])
+
+
+# ----------------------------------------------------- C23: report pages
+
+
+def _metric_pages(spark, sf):
+    """Partner metric pages (one per return flag, each with its own column set)."""
+    li = table(spark, sf, "lineitem")
+    a = li.where(F.col("l_returnflag") == "A").select(F.col("l_partkey").alias("item_id"), "l_orderkey",
+                                                      F.col("l_quantity").alias("views"))
+    n = li.where(F.col("l_returnflag") == "N").select(F.col("l_partkey").alias("item_id"), "l_orderkey",
+                                                      F.col("l_quantity").alias("views"),
+                                                      F.col("l_discount").alias("likes"))
+    r = li.where(F.col("l_returnflag") == "R").select(F.col("l_partkey").alias("item_id"), "l_orderkey",
+                                                      F.col("l_tax").alias("likes"))
+    return a, n, r
+
+
+@register("c23_unique_item_ids", sql="SELECT DISTINCT l_partkey AS item_id FROM lineitem WHERE l_partkey IS NOT NULL")
+def c23_unique_item_ids(spark, sf):
+    """Unique non-null item ids over all report pages."""
+    from ..sources.files import unique_ids
+
+    return unique_ids(_metric_pages(spark, sf), "item_id")
+
+
+@register("c23_stamped_metrics", sql=f"""
+SELECT l_partkey AS item, l_orderkey AS order_key,
+       CASE WHEN l_returnflag IN ('A', 'N') THEN l_quantity END AS views,
+       CASE WHEN l_returnflag = 'N' THEN l_discount WHEN l_returnflag = 'R' THEN l_tax END AS likes,
+       DATE '{RUN_START}' AS start_date, DATE '{RUN_END}' AS end_date, 'channel-a' AS channel
+FROM lineitem
+""")
+def c23_stamped_metrics(spark, sf):
+    """Pages stacked by name (U1), stamped with start, end and channel (P4), renamed."""
+    from ..operators.sets import stack
+
+    pages = stack(*_metric_pages(spark, sf))
+    stamped = with_constants(pages, start_date=RUN_START, end_date=RUN_END, channel="channel-a")
+    stamped = stamped.withColumn("start_date", F.col("start_date").cast("date")) \
+        .withColumn("end_date", F.col("end_date").cast("date"))
+    return shape(stamped, rename={"item_id": "item", "l_orderkey": "order_key"})

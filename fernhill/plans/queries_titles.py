@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import display_title, norm_title
 from ..functions.predicates import candidate_qualifies
-from ..functions.titles import ITEM_ITEMSET_PATTERN, ITEMSET_ONLY_PATTERN, YEAR_PATTERN, parse_title
+from ..functions.titles import ITEM_ITEMSET_PATTERN, ITEMSET_ONLY_PATTERN, YEAR_PATTERN, parse_titles
 from ..operators.joins import left_anti, not_in
 from ..operators.resolve import (
     record_matches, resolve_titles, search_attempts, titles_to_match,
@@ -22,7 +22,7 @@ from .registry import register, table
 
 BNO = "CAST(CAST(substring(p_brand, 7) AS INTEGER) AS VARCHAR)"
 RAW_SQL = f"""CASE p_type
-  WHEN 'ECONOMY' THEN p_name || ' S' || lpad(CAST(p_size AS VARCHAR), 2, '0') || 'E' || lpad({BNO}, 2, '0') || ' - ' || p_type
+  WHEN 'ECONOMY' THEN p_name || ' S' || lpad(CAST(p_size AS VARCHAR), 2, '0') || 'E' || lpad({BNO}, 2, '0') || ' - ' || p_type || ': ' || p_brand
   WHEN 'SMALL' THEN p_name || ' itemset ' || CAST(p_size AS VARCHAR) || ' item ' || {BNO}
   WHEN 'MEDIUM' THEN p_name || ' (' || CAST(1880 + p_size * 3 AS VARCHAR) || ')'
   WHEN 'LARGE' THEN p_name || ' itemset ' || CAST(p_size AS VARCHAR)
@@ -174,7 +174,7 @@ def _raw_titles(spark, sf):
 
 
 def _parsed(spark, sf):
-    return _raw_titles(spark, sf).select("title", parse_title("title").alias("p"))
+    return parse_titles(_raw_titles(spark, sf), "title", "p")
 
 
 # ------------------------------------------------------------------- parsing
@@ -248,11 +248,11 @@ SELECT title, qn AS query, rank FROM hit
 def j4_title_lookup(spark, sf):
     """Which search (main, shortened, bare title) first finds candidates, per title."""
     p = _part(spark, sf)
-    parsed = _raw_titles(spark, sf).select("title", F.col("title").alias("tid"), parse_title("title").alias("parsed"))
+    parsed = parse_titles(_raw_titles(spark, sf), "title", "parsed")
     cand = title_candidates(p).select(norm_title("query").alias("qn")).distinct()
-    hits = search_attempts(parsed).join(cand, "qn")
-    return (hits.groupBy("tid").agg(F.min(F.struct("rank", "qn")).alias("w"))
-            .select(F.col("tid").alias("title"), F.col("w.qn").alias("query"), F.col("w.rank").alias("rank")))
+    hits = search_attempts(parsed, key="title").join(cand, "qn")
+    return (hits.groupBy("title").agg(F.min(F.struct("rank", "qn")).alias("w"))
+            .select("title", F.col("w.qn").alias("query"), F.col("w.rank").alias("rank")))
 
 
 @register("m6_rest_title_search", sql=f"""
