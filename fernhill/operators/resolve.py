@@ -139,17 +139,19 @@ def resolve_titles(titles: DataFrame, candidates: DataFrame, title_col: str = "t
                                "null_title", "first")).alias("w"))
            .select("title", *[F.col(f"w.{f}").alias(f) for f in ["qn", "is_tv", *fields, "null_title", "first"]]))
 
-    # First qualifying candidate of the winning query
-    allowed = F.when(F.col("is_tv"), F.array(*[F.lit(k) for k in tv_kinds])) \
+    # First qualifying candidate of the winning query. One left join on
+    # the pre-aggregated candidates (at most kinds x years rows per query), then
+    # the minimum per title; ``hit`` is used once, so its work is not repeated.
+    allowed = F.when(F.col("h.is_tv"), F.array(*[F.lit(k) for k in tv_kinds])) \
         .otherwise(F.array(*[F.lit(k) for k in other_kinds]))
-    want = F.col("want_year")
-    year_ok = want.isNull() | (want == 0) | (F.col("year") == want)
-    best = (hit.where(F.col("first").isNotNull())
-            .select("title", "qn", "is_tv", F.col("year").alias("want_year"))
-            .join(passing, "qn")
-            .where(F.array_contains(allowed, F.col("kind")) & year_ok)
-            .groupBy("title").agg(F.min("best").alias("best")))
-    chosen = hit.join(best, "title", "left").withColumn("c", F.coalesce("best", "first"))
+    want = F.col("h.year")
+    cond = ((F.col("h.qn") == F.col("p.qn")) & F.array_contains(allowed, F.col("p.kind"))
+            & (want.isNull() | (want == 0) | (F.col("p.year") == want)))
+    hit_cols = ["title", "itemset", "item", "null_title", "first"]
+    chosen = (hit.alias("h").join(passing.alias("p"), cond, "left")
+              .groupBy(*[F.col(f"h.{c}").alias(c) for c in hit_cols])
+              .agg(F.min("p.best").alias("best"))
+              .withColumn("c", F.coalesce("best", "first")))
 
     # Ids by kind; a series with itemset and item numbers looks up its episode
     episodes = (candidates.where(F.col("parent_id").isNotNull())
@@ -182,9 +184,9 @@ def record_matches(matches: DataFrame, found: DataFrame, check: bool = True) ->
     true and the run time; new titles are inserted the same way ("No Results"
     counts as a match, as in the source, so such titles are not tried again).
     """
-    src = found.select(norm_title("title").alias("title"), "title_id", "itemset_id").distinct()
+    src = found.select(norm_title("title").alias("title"), "title_id", "itemset_id")
     now = F.current_timestamp().cast(matches.schema["match_ts"].dataType)
     setters = {"title_id": F.col("s.title_id"), "itemset_id": F.col("s.itemset_id"),
                "has_match": F.lit(True), "match_ts": now}
     inserts = dict(setters, title=F.col("s.title"))
-    return upsert(matches, src, "title", update=setters, insert=inserts, check=check)
+    return upsert(matches, src, "title", update=setters, insert=inserts, check=check, distinct_source=True)

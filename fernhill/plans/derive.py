@@ -206,7 +206,9 @@ def order_workbooks(orders: DataFrame) -> DataFrame:
     and two footer rows per sheet. Returns (path, content) rows."""
     import pandas as pd
 
-    rows = orders.select(
+    # spread rows over several workbooks so they are built and read in parallel
+    parts = orders.sparkSession.sparkContext.defaultParallelism * 2
+    rows = orders.repartition(parts).select(
         F.col("o_orderkey"), "o_orderstatus", "o_orderpriority", "o_totalprice",
         F.to_date("o_orderdate").alias("d"), F.date_format("o_orderdate", "MM.yyyy").alias("sheet"),
         F.concat(F.floor(F.col("o_custkey") / 1000).cast("string"), F.lit(","),

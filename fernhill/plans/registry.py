@@ -37,8 +37,11 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given parquet tables."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the given parquet tables (spread over the cores when it arrives as
+    fewer partitions than there are cores; see ``session.spread``)."""
+    from ..session import spread
+
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def load_all() -> dict[str, Query]:

@@ -57,3 +57,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/fernhill/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, min_share: float = 0.5):
+    """Round-robin repartition an input that arrived in fewer partitions than the
+    cluster has cores (e.g. one small file with one row group), so the CPU work
+    before the first shuffle runs in parallel. A scan that already has enough
+    partitions -- any real input at scale -- is returned untouched."""
+    sc = df.sparkSession.sparkContext
+    want = sc.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    if have >= max(1, int(want * min_share)):
+        return df
+    return df.repartition(want)
