@@ -41,9 +41,16 @@ def latest_per_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[str
 
 
 def catalogue_latest(feed: DataFrame, keys: str | Sequence[str], tie_breaker: Sequence[str | Column] = (),
-                     path_col: str = "source_filename") -> DataFrame:
-    """Latest catalogue row per key, newest file first (file names carry a stamp)."""
-    return latest_per_key(feed, keys, order=[path_col], tie_breaker=tie_breaker)
+                     path_col: str = "source_filename", by_stamp: bool = False) -> DataFrame:
+    """Latest catalogue row per key, newest file first.
+
+    The source job orders by the file name (names start with a
+    ``yyyyMMdd_HHmmss`` stamp). With ``by_stamp`` the stamp parsed from the path
+    orders instead, so several part files of one snapshot rank as equals and
+    the tie breaker decides among them.
+    """
+    order = [file_stamp(path_col).desc()] if by_stamp else [path_col]
+    return latest_per_key(feed, keys, order=order, tie_breaker=tie_breaker)
 
 
 def weekday_snapshots(feed: DataFrame, day: int = 4, path_col: str = "source_filename",

@@ -231,7 +231,7 @@ SELECT event_id, ts, user_id, event_type, value, props FROM (
 ) WHERE rn = 1
 """)
 def c2_catalogue_latest(spark, sf):
-    out = catalogue_latest(_feed(spark, sf), "user_id", tie_breaker=["ts", "event_id"])
+    out = catalogue_latest(_feed(spark, sf), "user_id", tie_breaker=["ts", "event_id"], by_stamp=True)
     return out.drop("source_filename")
 
 

@@ -25,8 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CELLS_SCHEMA = ("path string, sheet string, sheet_index int, row int, last_row int, cells array<string>, "
-                "header array<string>")
+CELLS_SCHEMA = "path string, sheet string, sheet_index int, row int, last_row int, cells array<string>"
+HEADER_FIELD = ", header array<string>"
 ERRORS_SCHEMA = "path string, error string"
 
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
@@ -165,17 +165,19 @@ _COLS = ["path", "sheet", "sheet_index", "row", "last_row", "cells", "header"]
 
 
 def _cells_batches(header_row):
+    cols = _COLS if header_row is not None else _COLS[:-1]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
                 buf = []
                 for row in workbook_rows(path, bytes(content), header_row):
-                    buf.append(row)
+                    buf.append(row if header_row is not None else row[:-1])
                     if len(buf) >= _BATCH:
-                        yield pd.DataFrame(buf, columns=_COLS)
+                        yield pd.DataFrame(buf, columns=cols)
                         buf = []
                 if buf:
-                    yield pd.DataFrame(buf, columns=_COLS)
+                    yield pd.DataFrame(buf, columns=cols)
 
     return run
 
@@ -194,7 +196,8 @@ def read_workbook_cells(spark: SparkSession, path: str | DataFrame, glob: str =
         files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
                  .option("recursiveFileLookup", True).load(path).select("path", "content"))
     # each file is one binaryFile row, parsed whole inside one task
-    return files.mapInPandas(_cells_batches(header_row), CELLS_SCHEMA)
+    schema = CELLS_SCHEMA + (HEADER_FIELD if header_row is not None else "")
+    return files.mapInPandas(_cells_batches(header_row), schema)
 
 
 def _thousands(c: Column, mark: str) -> Column:
