@@ -4,8 +4,8 @@
 result, and a null probe value is dropped unless the subquery is empty.
 Spark plans the built-in null-aware anti join only as a broadcast hash join,
 which needs the subquery side to fit in memory. ``not_in`` gets the same rows
-with a shuffled left-anti join plus two scalar subqueries (row count and null
-count of the subquery side, each one row), so no side has to be broadcast.
+with a shuffled left-anti join plus one scalar subquery (row count and null
+count of the subquery side, one row), so no side has to be broadcast.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ def not_in(df: DataFrame, other: DataFrame, on: str, other_on: str | None = None
     """``df WHERE on NOT IN (SELECT other_on FROM other)``, null-aware."""
     col = other_on or on
     keys = other.select(F.col(col).alias("__k"))
-    n_all = keys.select(F.count(F.lit(1))).scalar()
-    n_null = keys.select(F.count_if(F.col("__k").isNull())).scalar()
+    # one scalar subquery (one scan of the subquery side): row count and null count
+    stats = keys.select(F.struct(F.count(F.lit(1)).alias("n"),
+                                 F.count_if(F.col("__k").isNull()).alias("nulls"))).scalar()
     kept = left_anti(df, keys, on, "__k")
-    return kept.where((n_all == 0) | (F.col(on).isNotNull() & (n_null == 0)))
+    return kept.where((stats["n"] == 0) | (F.col(on).isNotNull() & (stats["nulls"] == 0)))

@@ -54,13 +54,17 @@ def catalogue_latest(feed: DataFrame, keys: str | Sequence[str], tie_breaker: Se
 
 
 def weekday_snapshots(feed: DataFrame, day: int = 4, path_col: str = "source_filename",
-                      as_text: bool = False) -> DataFrame:
+                      as_text: bool = False, stamp_col: str | None = None) -> DataFrame:
     """Rows of snapshot files stamped on a given weekday (4 = Wednesday).
 
     ``report_ts`` is parsed from the ``yyyyMMdd_HHmmss`` stamp in the file path
     (T5) and stays a timestamp; ``as_text`` gives the sink's text form instead.
+    When snapshots land in folders read as a partition column (``stamp_col``,
+    e.g. ``snap=20240103_000000``), the weekday test becomes a partition filter:
+    only the matching folders are listed and read.
     """
-    out = feed.withColumn("report_ts", file_stamp(path_col)).where(on_weekday("report_ts", day))
+    stamp = file_stamp(stamp_col) if stamp_col else file_stamp(path_col)
+    out = feed.withColumn("report_ts", stamp).where(on_weekday("report_ts", day))
     if as_text:
         out = out.withColumn("report_ts", F.date_format("report_ts", "yyyy-MM-dd HH:mm:ss"))
     return out

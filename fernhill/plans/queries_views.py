@@ -240,5 +240,7 @@ SELECT event_id, user_id, event_type, value, date_trunc('day', ts) AS report_ts
 FROM events WHERE dayofweek(ts) = 3
 """)
 def c3_weekday_snapshots(spark, sf):
-    out = weekday_snapshots(_feed(spark, sf))
+    """Snapshot folders are a partition column, so the weekday filter prunes folders."""
+    feed = read_json_feed(spark, landed_feed(spark, sf), schema=EVENTS_SCHEMA, recursive=False)
+    out = weekday_snapshots(feed, stamp_col="snap")
     return out.select("event_id", "user_id", "event_type", "value", "report_ts")
