@@ -97,7 +97,7 @@ def attempts_sql(src: str = "parsed") -> str:
     def chain(base: str, start: int, cond: str) -> str:
         parts = split.format(b=base)
         return f"""
-  SELECT title, {start} + j AS rank,
+  SELECT title, CAST({start} + j AS INTEGER) AS rank,
          array_to_string(list_transform({parts}[1:len({parts}) - j], lambda x: trim(x)), ': ') AS q, true AS is_tv
   FROM (SELECT *, unnest(range(1, len({parts}))) AS j FROM a0 WHERE {cond} AND regexp_matches({base}, '[:-]'))"""
 
