@@ -18,6 +18,10 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # 128 MB splits; at 100 TB that is ~800k scan tasks, sized for executor memory.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # wide typed loads (40+ casts in one projection) generate methods above
+    # HotSpot's 8,000-bytecode JIT limit; let the JIT compile them anyway
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 

@@ -71,9 +71,9 @@ def read_report_csv(spark: SparkSession, path: str | list[str], na_values: Itera
     """CSV report with a header; blanks after the delimiter dropped.
 
     Every column is read as text and typed once, later, by the load projection
-    (no per-file or per-chunk inference). Empty fields (quoted or not) are null;
-    values listed in ``na_values`` become null as well; other text such as
-    "NA" is kept. Big files split on their own.
+    (no per-file or per-chunk inference). Empty fields, quoted or not, are null
+    (the reader's own rule); values listed in ``na_values`` become null as well;
+    other text such as "NA" is kept. Big files split on their own.
     """
     r = (spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True)
          .option("mode", "PERMISSIVE"))
@@ -82,7 +82,9 @@ def read_report_csv(spark: SparkSession, path: str | list[str], na_values: Itera
     for k, v in opts.items():
         r = r.option(k, v)
     df = r.csv(path)
-    na = [""] + [v for v in na_values if v != ""]
+    na = [v for v in na_values if v != ""]
+    if not na:
+        return df
     return df.select([
         F.when(F.col(f"`{c}`").isin(na), F.lit(None).cast("string")).otherwise(F.col(f"`{c}`")).alias(c)
         if isinstance(df.schema[c].dataType, T.StringType) else F.col(f"`{c}`")
