@@ -63,14 +63,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/fernhill/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df, min_share: float = 0.5):
+def spread(df, min_share: float = 0.5, min_bytes: int = 1 << 20):
     """Round-robin repartition an input that arrived in fewer partitions than the
     cluster has cores (e.g. one small file with one row group), so the CPU work
-    before the first shuffle runs in parallel. A scan that already has enough
-    partitions -- any real input at scale -- is returned untouched."""
+    before the first shuffle runs in parallel. Inputs smaller than ``min_bytes``
+    (by the optimizer's size estimate) are left alone -- spreading them costs a
+    shuffle and buys nothing -- and so is a scan that already has enough
+    partitions, i.e. any real input at scale."""
     sc = df.sparkSession.sparkContext
     want = sc.defaultParallelism
     have = df.rdd.getNumPartitions()
     if have >= max(1, int(want * min_share)):
         return df
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: spread
+        size = min_bytes
+    if size < min_bytes:
+        return df
     return df.repartition(want)
