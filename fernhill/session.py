@@ -36,6 +36,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -82,3 +83,31 @@ def spread(df, min_share: float = 0.5, min_bytes: int = 1 << 20):
     if size < min_bytes:
         return df
     return df.repartition(want)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``fernhill`` importable in executor Python workers (the workbook and
+    archive readers run there), whatever the working directory: the package is
+    zipped once per process next to its sources and handed to ``addPyFile`` --
+    what ``spark-submit --py-files`` does on a cluster."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out_dir = os.path.join(os.path.dirname(pkg), "build")
+    os.makedirs(out_dir, exist_ok=True)
+    zpath = os.path.join(out_dir, f"fernhill-{os.getpid()}.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
