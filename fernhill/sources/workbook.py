@@ -1,11 +1,11 @@
 """Workbook reader (S5): ``.xlsx`` files -> a cells table, then sheet options as column work.
 
 ``read_workbook_cells`` turns each workbook into rows of
-``(path, sheet, sheet_index, row, cells array<string>)``: one row per sheet row,
-cell texts by column position. It runs as ``mapInPandas`` over ``binaryFile``
-rows -- one workbook per task, streamed with ``iterparse`` and emitted in
-batches -- so workbooks are read in parallel and never pass through the
-driver. Only the standard library is used (no spreadsheet package is needed).
+``(path, sheet, sheet_index, row, last_row, cells array<string>)``: one row per
+sheet row, cell texts by column position. It runs as ``mapInArrow`` over
+``binaryFile`` rows -- each workbook parsed inside one task, streamed with
+``iterparse`` and emitted in Arrow batches -- so workbooks are read in parallel
+and never pass through the driver. Only the standard library is used (no spreadsheet package is needed).
 
 ``sheet_rows`` then applies the reader options the partner flows use (sheet by
 name / index / regex, skipped rows, header row, footer rows, column ranges
@@ -105,79 +105,104 @@ def _sheets(z: zipfile.ZipFile) -> list[tuple[str, str]]:
     return out
 
 
-def _row_count(z: zipfile.ZipFile, part: str) -> int:
-    n = 0
+_REF = re.compile(r"([A-Za-z]+)(\d*)")
+_ROW, _C, _V, _IS, _T = _M + "row", _M + "c", _M + "v", _M + "is", _M + "t"
+
+
+def _last_row(z: zipfile.ZipFile, part: str) -> int:
+    """0-based index of the last row that holds a value (a light first pass)."""
+    last, seq = -1, 0
     for _, el in ET.iterparse(z.open(part)):
-        if el.tag == _M + "row":
-            n += 1
+        if el.tag == _ROW:
+            r = el.get("r")
+            idx = int(r) - 1 if r else seq
+            seq = idx + 1
+            if any(c.find(_V) is not None or c.find(_IS) is not None for c in el):
+                last = idx
             el.clear()
-    return n
+    return last
 
 
 def workbook_rows(path: str, content: bytes, header_row: int | None = None) -> Iterator[tuple]:
-    """Rows of every sheet: (path, sheet, sheet index, row index from 0, last row
-    index, cell texts, header cells). ``header`` is the cells of row ``header_row``
-    of the same sheet for the rows after it (else null). The last row index comes
-    from a first, light pass over the sheet, so rows stream out in batches."""
+    """Rows of every sheet: (path, sheet, sheet index, row index, last row index,
+    cell texts, header cells). The row index is the Excel row number - 1, so
+    blank rows count as they do in the sheet. ``header`` is the cells of row
+    ``header_row`` of the same sheet for the rows after it (else null). The last
+    row index comes from a light first pass, so rows stream out in batches."""
     z = zipfile.ZipFile(io.BytesIO(content))
     strings = _shared_strings(z)
     dates = _date_styles(z)
     for si, (name, part) in enumerate(_sheets(z)):
-        last = _row_count(z, part) - 1
+        last = _last_row(z, part)
         head = None
-        r_i = 0
+        seq = 0
         for _, el in ET.iterparse(z.open(part)):
-            if el.tag != _M + "row":
+            if el.tag != _ROW:
                 continue
+            r = el.get("r")
+            r_i = int(r) - 1 if r else seq
+            seq = r_i + 1
             cells: dict[int, str | None] = {}
             nxt = 0
-            for c in el.iterfind("m:c", _NS):
+            for c in el:
+                if c.tag != _C:
+                    continue
                 ref = c.get("r")
-                idx = col_index(re.match(r"[A-Za-z]+", ref).group(0)) if ref else nxt
+                idx = col_index(_REF.match(ref).group(1)) if ref else nxt
                 nxt = idx + 1
                 t = c.get("t")
-                v = c.find("m:v", _NS)
                 if t == "inlineStr":
-                    text = "".join(x.text or "" for x in c.iter(_M + "t"))
-                elif v is None or v.text is None:
-                    text = None
-                elif t == "s":
-                    text = strings[int(v.text)]
-                elif t == "b":
-                    text = "TRUE" if v.text == "1" else "FALSE"
-                elif t in ("str", "e"):
-                    text = v.text
-                elif int(c.get("s", "0")) in dates:
-                    text = _serial_text(v.text)
+                    text = "".join(x.text or "" for x in c.iter(_T))
                 else:
-                    text = v.text
+                    v = c.find(_V)
+                    if v is None or v.text is None:
+                        text = None
+                    elif t == "s":
+                        text = strings[int(v.text)]
+                    elif t == "b":
+                        text = "TRUE" if v.text == "1" else "FALSE"
+                    elif t in ("str", "e"):
+                        text = v.text
+                    elif dates and int(c.get("s", "0")) in dates:
+                        text = _serial_text(v.text)
+                    else:
+                        text = v.text
                 cells[idx] = text
             width = max(cells) + 1 if cells else 0
             values = [cells.get(i) for i in range(width)]
             yield path, name, si, r_i, last, values, head
             if header_row is not None and r_i == header_row:
                 head = values
-            r_i += 1
             el.clear()
 
 
-_COLS = ["path", "sheet", "sheet_index", "row", "last_row", "cells", "header"]
-
-
 def _cells_batches(header_row):
-    cols = _COLS if header_row is not None else _COLS[:-1]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
+    """Arrow batches of cell rows (``mapInArrow``: lists go straight to Arrow, no pandas)."""
+    import pyarrow as pa
+
+    fields = [pa.field("path", pa.string()), pa.field("sheet", pa.string()), pa.field("sheet_index", pa.int32()),
+              pa.field("row", pa.int32()), pa.field("last_row", pa.int32()),
+              pa.field("cells", pa.list_(pa.string()))]
+    if header_row is not None:
+        fields.append(pa.field("header", pa.list_(pa.string())))
+    schema = pa.schema(fields)
+    width = len(fields)
+
+    def flush(buf):
+        return pa.RecordBatch.from_arrays([pa.array(col, type=f.type) for col, f in zip(zip(*buf), fields)],
+                                          schema=schema)
+
+    def run(batches):
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
                 buf = []
-                for row in workbook_rows(path, bytes(content), header_row):
-                    buf.append(row if header_row is not None else row[:-1])
+                for row in workbook_rows(path, content, header_row):
+                    buf.append(row[:width])
                     if len(buf) >= _BATCH:
-                        yield pd.DataFrame(buf, columns=cols)
+                        yield flush(buf)
                         buf = []
                 if buf:
-                    yield pd.DataFrame(buf, columns=cols)
+                    yield flush(buf)
 
     return run
 
@@ -197,7 +222,7 @@ def read_workbook_cells(spark: SparkSession, path: str | DataFrame, glob: str =
                  .option("recursiveFileLookup", True).load(path).select("path", "content"))
     # each file is one binaryFile row, parsed whole inside one task
     schema = CELLS_SCHEMA + (HEADER_FIELD if header_row is not None else "")
-    return files.mapInPandas(_cells_batches(header_row), schema)
+    return files.mapInArrow(_cells_batches(header_row), schema)
 
 
 def _thousands(c: Column, mark: str) -> Column:
