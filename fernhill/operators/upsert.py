@@ -20,17 +20,6 @@ class DuplicateKeys(ValueError):
     """The merge source holds one key more than once."""
 
 
-def check_unique(source: DataFrame, key: str | Sequence[str]) -> None:
-    """Raise when a key occurs twice in ``source``.
-
-    A distributed group-count; only "is there any" comes back to the driver.
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    dup = source.groupBy(*keys).count().where(F.col("count") > 1).limit(1)
-    if dup.count():
-        raise DuplicateKeys(f"merge source has duplicate keys on {keys}")
-
-
 def upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str],
            update: Mapping[str, Column | str] | None = None,
            insert: Mapping[str, Column | str] | None = None, check: bool = True,
