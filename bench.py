@@ -68,9 +68,14 @@ def main() -> None:
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus * 2,
                           app_name="fernhill-bench", **{"spark.driver.memory": "16g"})
     reg = load_all()
-    names = only or HEADLINE
-    for name in names:   # warm-up pass over all queries: JIT, codegen cache, landed inputs
-        reg[name].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
+    names = list(only or HEADLINE)
+    errors: dict[str, str] = {}
+    for name in list(names):   # warm-up pass over all queries: JIT, codegen cache, landed inputs
+        try:
+            reg[name].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        except Exception as e:  # noqa: BLE001 - report, keep timing the others
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            names.remove(name)
     samples: dict[str, list[float]] = {n: [] for n in names}
     for _ in range(runs):
         for name in names:
@@ -92,7 +97,8 @@ def main() -> None:
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total_median", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": float(sf) if sf else sf_dir,
-                      "cpus": cpus, "runs": runs, "reference_plan_sec": reference}))
+                      "cpus": cpus, "runs": runs, "reference_plan_sec": reference,
+                      **({"errors": errors} if errors else {})}))
     spark.stop()
 
 

@@ -100,14 +100,23 @@ def ship_package(spark: SparkSession) -> None:
     if sc.applicationId in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    out_dir = os.path.join(os.path.dirname(pkg), "build")
-    os.makedirs(out_dir, exist_ok=True)
-    zpath = os.path.join(out_dir, f"fernhill-{os.getpid()}.zip")
-    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
-        for dirpath, _, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(dirpath, f)
-                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(zpath)
+    candidates = [os.path.join(os.path.dirname(pkg), "build")]
+    ckpt = ensure_checkpoint_dir(spark)
+    if ckpt.startswith("file:"):
+        candidates.append(ckpt[len("file:"):])
+    for out_dir in candidates:
+        try:
+            os.makedirs(out_dir, exist_ok=True)
+            zpath = os.path.join(out_dir, f"fernhill-{os.getpid()}.zip")
+            with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+                for dirpath, _, files in os.walk(pkg):
+                    for f in files:
+                        if f.endswith(".py"):
+                            full = os.path.join(dirpath, f)
+                            z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+        except OSError:
+            continue
+        sc.addPyFile(zpath)
+        break
+    # otherwise the package must already be installed on the executors
     _SHIPPED.add(sc.applicationId)
