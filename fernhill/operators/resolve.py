@@ -30,6 +30,7 @@ from ..functions.casts import NO_RESULTS, norm_title, tt_id
 from ..functions.predicates import non_blank
 from ..functions.titles import parse_titles
 from .joins import not_in
+from .sets import take
 from .upsert import upsert
 
 # own kind names (the source's were scrubbed): a series has episodes, a movie stands alone
@@ -54,7 +55,7 @@ def titles_to_match(title_map: DataFrame, matches: DataFrame, limit: int | None
     done = matches.where(F.col("has_match") == F.lit(True)).select("title")
     out = not_in(todo, done, "title").distinct()
     if limit is not None:
-        out = out.orderBy("title").limit(limit)
+        out = take(out, limit, ["title"])
     return out
 
 

@@ -16,9 +16,7 @@ from ..session import scratch_path
 from ..sinks.writers import append_load, write_matches_csv, write_parquet, write_per_sheet
 from ..sources.archive import read_archive_members
 from ..sources.files import select_attachments, select_files, unique_ids
-from ..sources.readers import (
-    ACCESS_LOG_SCHEMA, read_access_log, read_report_csv, read_staged, schema_profile,
-)
+from ..sources.readers import read_access_log, read_report_csv, read_staged, schema_profile
 from ..sources.workbook import read_workbook_cells, sheet_rows
 from ..streaming.incremental import load_new_files
 from .derive import access_log_rows, messages, order_workbooks, page_archives, title_candidates

@@ -12,7 +12,7 @@ from ..operators.joins import left_anti, not_in
 from ..operators.resolve import (
     record_matches, resolve_titles, search_attempts, titles_to_match,
 )
-from ..operators.sets import count_ids, distinct_values, non_null_distinct, stack, take
+from ..operators.sets import count_ids, distinct_values, non_null_distinct, stack
 from ..operators.snapshots import first_qualifying
 from ..operators.upsert import upsert
 from .derive import match_table, raw_title, title_candidates, title_map
