@@ -139,3 +139,16 @@ def test_worklist_and_upsert(spark):
     merged = {r.title: (r.title_id, r.has_match) for r in record_matches(matches, found).collect()}
     assert merged == {"bar": ("tt9", True), "qux": (NO, True), "foo": ("tt5", True)}
     assert record_matches(matches, found).where(F.col("match_ts").isNull()).count() == 1
+
+
+def test_record_matches_refuses_conflicting_ids(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    matches = spark.createDataFrame([], "title string, title_id string, itemset_id string, has_match boolean, "
+                                        "match_ts timestamp")
+    same = spark.createDataFrame([("Foo", "tt1", None), (" foo ", "tt1", None)], "title string, title_id string, itemset_id string")
+    assert [r.title_id for r in record_matches(matches, same).collect()] == ["tt1"]
+    clash = spark.createDataFrame([("Foo", "tt1", None), ("foo", "tt2", None)], "title string, title_id string, itemset_id string")
+    with pytest.raises(PySparkException):
+        record_matches(matches, clash).collect()
