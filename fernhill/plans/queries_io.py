@@ -17,7 +17,7 @@ from ..sinks.writers import append_load, write_matches_csv, write_parquet, write
 from ..sources.archive import read_archive_members
 from ..sources.files import select_attachments, select_files, unique_ids
 from ..sources.readers import read_access_log, read_report_csv, read_staged, schema_profile
-from ..sources.workbook import read_workbook_cells, sheet_rows
+from ..sources.workbook import read_workbook_cells, sheet_rows, workbook_errors
 from ..streaming.incremental import load_new_files
 from .derive import access_log_rows, messages, order_workbooks, page_archives, title_candidates
 from .loads import channel_of, spec_for_path
@@ -93,6 +93,19 @@ def s5_workbook(spark, sf):
     return rows.drop("path", "row")
 
 
+@register("s5_workbook_errors", sql="""
+SELECT 'bad-' || CAST(page_id AS VARCHAR) || '.xlsx' AS path FROM pages
+""")
+def s5_workbook_errors(spark, sf):
+    """Unreadable workbooks (page bodies posing as .xlsx) go to a separate
+    errors output; the real workbooks built from orders produce no error rows."""
+    pages = table(spark, sf, "pages").select(
+        F.concat(F.lit("bad-"), F.col("page_id").cast("string"), F.lit(".xlsx")).alias("path"),
+        F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("content"))
+    files = order_workbooks(table(spark, sf, "orders")).unionByName(pages)
+    return workbook_errors(spark, files).select("path")
+
+
 @register("s6_archive_members", sql="""
 SELECT 'pages/' || CAST(page_id AS VARCHAR) || '.html' AS member, CAST(strlen(coalesce(html, '')) AS BIGINT) AS size,
        md5(coalesce(html, '')) AS content_md5

@@ -21,7 +21,6 @@ from collections.abc import Iterator, Sequence
 from datetime import datetime, timedelta
 from xml.etree import ElementTree as ET
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -297,18 +296,27 @@ def sheet_rows(cells: DataFrame, sheet: str | int | None = None, sheet_regex: st
     return body.select("path", "sheet", "row", *[pick(n) for n in names])
 
 
-def workbook_errors(spark: SparkSession, path: str) -> DataFrame:
-    """Workbooks that cannot be opened, one row each (kept apart from the data)."""
+def workbook_errors(spark: SparkSession, path: str | DataFrame, glob: str = "*.xlsx") -> DataFrame:
+    """Workbooks that cannot be opened, one row each (path, error), kept apart
+    from the data instead of turning into rows with an error column."""
 
     def check(batches):
-        for pdf in batches:
+        import pyarrow as pa
+
+        schema = pa.schema([pa.field("path", pa.string()), pa.field("error", pa.string())])
+        for batch in batches:
             bad = []
-            for p, content in zip(pdf["path"], pdf["content"]):
+            for p, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
                 try:
-                    _sheets(zipfile.ZipFile(io.BytesIO(bytes(content))))
-                except Exception as e:  # noqa: BLE001
+                    _sheets(zipfile.ZipFile(io.BytesIO(content)))
+                except Exception as e:  # noqa: BLE001 - any failure to open is reported
                     bad.append((p, f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(bad, columns=["path", "error"])
+            if bad:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*bad)], schema=schema)
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", "content").mapInPandas(check, ERRORS_SCHEMA)
+    if isinstance(path, DataFrame):
+        files = path.select("path", "content")
+    else:
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+                 .option("recursiveFileLookup", True).load(path).select("path", "content"))
+    return files.mapInArrow(check, ERRORS_SCHEMA)

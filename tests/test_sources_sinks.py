@@ -139,3 +139,13 @@ def test_incremental_equals_batch(spark):
     load_new_files(spark, f"{root}/in", schema, f"{root}/out", f"{root}/ck", options=opts)
     got = sorted(map(tuple, spark.read.parquet(f"{root}/out").collect()))
     assert got == sorted(map(tuple, df.collect()))
+
+
+def test_workbook_errors_output(spark):
+    from fernhill.sources.workbook import workbook_errors
+
+    good = xlsx_bytes({"S": [["a"], ["1"]]})
+    files = spark.createDataFrame([("good.xlsx", bytearray(good)), ("bad.xlsx", bytearray(b"not a zip"))],
+                                  "path string, content binary")
+    rows = workbook_errors(spark, files).collect()
+    assert [r.path for r in rows] == ["bad.xlsx"] and "BadZipFile" in rows[0].error
