@@ -110,16 +110,22 @@ def _cand_struct() -> Column:
 
 def resolve_titles(titles: DataFrame, candidates: DataFrame, title_col: str = "title",
                    min_votes: int = 200, low_votes: int = 50, low_votes_kind: str = "movie",
-                   tv_kinds: Sequence[str] = TV_KINDS, other_kinds: Sequence[str] = OTHER_KINDS) -> DataFrame:
+                   tv_kinds: Sequence[str] = TV_KINDS, other_kinds: Sequence[str] = OTHER_KINDS,
+                   assume_distinct: bool = False) -> DataFrame:
     """(title, title_id, itemset_id) for every distinct title.
 
+    ``assume_distinct``: the titles are already distinct (e.g. the C20
+    worklist), so the de-duplicating shuffle is skipped.
+
     No candidate in any attempt -> both ids "No Results"; a null title -> both null.
     Plan: titles are parsed once and exploded into attempts; candidates are
     pre-aggregated per query (first candidate) and per (query, kind, year)
     (first candidate with enough votes); three shuffled aggregations and two
     joins on small, pre-aggregated sides follow.
     """
-    uniq = titles.select(F.col(title_col).alias("title")).distinct()
+    uniq = titles.select(F.col(title_col).alias("title"))
+    if not assume_distinct:
+        uniq = uniq.distinct()
     parsed = parse_titles(uniq, "title", "parsed")
     fields = ["year", "itemset", "item"]
     attempts = search_attempts(

@@ -63,7 +63,7 @@ def match_titles(spark: SparkSession, title_map: DataFrame, matches: DataFrame,
     from there.
     """
     work = titles_to_match(title_map, matches, limit=limit)
-    found = resolve_titles(work, candidates, **rules)
+    found = resolve_titles(work, candidates, assume_distinct=True, **rules)   # the worklist is distinct
     match_file = scratch_path(spark, "title-matches")
     write_matches_csv(found, match_file)
     written = read_report_csv(spark, match_file,

@@ -281,7 +281,7 @@ WITH {MAP_SQL}, {resolved_sql('worklist')}
 SELECT title, title_id, itemset_id FROM resolved
 """)
 def c21_resolve_titles(spark, sf):
-    return resolve_titles(_worklist(spark, sf), title_candidates(_part(spark, sf)))
+    return resolve_titles(_worklist(spark, sf), title_candidates(_part(spark, sf)), assume_distinct=True)
 
 
 @register("c22_record_matches", sql=f"""
