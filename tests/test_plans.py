@@ -92,3 +92,16 @@ def test_upsert_shuffles_the_source_once(spark):
         p = plan(upsert(t, s, "k"))
     # one exchange for the source's key aggregation (reused by the join), one for the target
     assert p.count("Exchange hashpartitioning") == 2
+
+
+def test_no_registered_query_pairs_rows(spark):
+    """No cross products or nested-loop joins anywhere (broadcasts off)."""
+    import __spark_entry__ as E
+
+    bad = []
+    with no_broadcast(spark):
+        for name, build in sorted(E.queries().items()):
+            p = plan(build(spark, "/root/testdata/sf0.001"))
+            if "CartesianProduct" in p or "NestedLoopJoin" in p:
+                bad.append(name)
+    assert bad == []
