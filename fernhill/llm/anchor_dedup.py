@@ -8,9 +8,9 @@ probe of every document is held against the index; windows around a hit are exte
 35 words and compared exactly with all others, by a 96-bit hash of the words; runs of repeated
 windows are the maximal repeats.
 
-The index is probed through bit maps, 16 bits a block up to ``max_filter_mb``. They are
-broadcast and so are bounded; a bit set by chance, or many of them beyond the bound, only
-bring more windows to the exact comparison. Windows that repeat within a task are settled there: the task
+The index is probed through blocked Bloom filters, 32 bits a block of words up to
+``max_filter_mb``. They are broadcast and so are bounded; bits set by chance, or many of them beyond the
+bound, only bring more windows to the exact comparison. Windows that repeat within a task are settled there: the task
 passes on one of them, so a passage in a third of all documents gives a row per batch, not per document.
 
 Defined cases: null text has no words; empty text has none either, and the digest of no bytes;
@@ -29,9 +29,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import settle
-from .textvec import BASE_WORDS_2, places, window_hashes, word_slices
+from .textvec import BASE_WORDS_2, mix, places, window_hashes, word_slices
 
 MAP_BITS = 32768
+MARKS = 4
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -57,22 +58,56 @@ def block_index(rows: DataFrame, block: int) -> DataFrame:
     return rows.select("text").mapInArrow(emit, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
 
 
+def _marks(hashes: np.ndarray) -> np.ndarray:
+    """Four bit places inside the part of 32,768 bits, one row each."""
+    return np.stack([(hashes >> np.uint64(15 * k)) & np.uint64(MAP_BITS - 1) for k in range(MARKS)])
+
+
+def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
+    return (mix(hashes) & np.uint64(parts - 1)).astype(np.int64)
+
+
 def bit_map(hashes: DataFrame, n: int, max_filter_mb: int) -> np.ndarray:
-    """Bits of the hashes, 16 a hash and at least 2^18, at most the bound; a bounded array."""
-    bits = 1 << 18
-    while bits < 16 * n and bits < max_filter_mb << 23:
-        bits *= 2
-    place = F.col("h").bitwiseAND(F.lit(bits - 1))
-    maps = hashes.groupBy(F.floor(place / MAP_BITS).cast("int").alias("part")).agg(F.bitmap_construct_agg((place % MAP_BITS).cast("int")).alias("bits"))
-    out = np.zeros(bits // 8, np.uint8)
-    for row in maps.toLocalIterator():
+    """Blocked Bloom filter of the distinct 64-bit hashes h: 32 bits a hash, 128 KiB at
+    least and the bound at most. Each task builds whole parts, so the driver gets its bytes once."""
+    parts = 32
+    while parts * MAP_BITS < 32 * n and parts * MAP_BITS < max_filter_mb << 23:
+        parts *= 2
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column(0).to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(_part(h.view(np.uint64), parts))], names=["h", "part"])
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maps: dict[int, np.ndarray] = {}
+        for batch in batches:
+            h, part = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            order = np.argsort(part, kind="stable")
+            begins = np.flatnonzero(np.r_[True, np.diff(part[order]) > 0][:len(order)])
+            for at, end in zip(begins, np.r_[begins[1:], len(order)], strict=True):
+                own = maps.setdefault(int(part[order[at]]), np.zeros(MAP_BITS, bool))
+                own[_marks(h[order[at:end]]).ravel().astype(np.int64)] = True
+        for part, own in maps.items():
+            yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([np.packbits(own, bitorder="little").tobytes()])], names=["part", "bits"])
+
+    numbered = hashes.select("h").mapInArrow(number, "h bigint, part bigint")
+    out = np.zeros(parts * MAP_BITS // 8, np.uint8)
+    for row in numbered.repartition("part").mapInArrow(build, "part bigint, bits binary").toLocalIterator():
         out[row.part * (MAP_BITS // 8):][:MAP_BITS // 8] = np.frombuffer(row.bits, np.uint8)
     return out
 
 
 def in_map(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes & np.uint64(8 * len(bits) - 1)
-    return (bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
+    """Whether all four bits of each hash are set."""
+    begin = _part(hashes, len(bits) * 8 // MAP_BITS) * (MAP_BITS // 8)
+    live = np.arange(len(hashes))
+    for place in _marks(hashes):
+        at = place[live]
+        live = live[(bits[begin[live] + (at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0]
+    found = np.zeros(len(hashes), bool)
+    found[live] = True
+    return found
 
 
 def _open_windows(rows: DataFrame, blocks, repeated_blocks, window: int, block: int) -> DataFrame:
