@@ -12,7 +12,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-SLICE = 1 << 19
+SLICE = 1 << 18
 
 
 @lru_cache(maxsize=1)

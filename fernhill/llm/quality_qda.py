@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,19 +93,26 @@ def _statistics(data: np.ndarray, offsets: np.ndarray, words: np.ndarray, counts
         np.log1p(bangs / words_1 * 10), np.log1p(stops / words_1 * 10), np.log1p(hashes / words_1 * 10), np.log1p(symbols / words_1 * 10)], axis=1)
 
 
-def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and the transformed statistics x of each document, in the order of the rows."""
+def _measured(rows: DataFrame, text_of) -> DataFrame:
+    """The first column of ``rows`` as doc_id, and the statistics x of the texts that
+    ``text_of`` takes from a batch."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            for i, j, words, counts in word_slices(batch.column(1)):
+            text = text_of(batch)
+            data, offsets = text_bytes(text)
+            for i, j, words, counts in word_slices(text):
                 x = _statistics(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], words, counts)
                 listed = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1) * N_STATISTICS, pa.int32()), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), listed], names=["doc_id", "x"])
 
+    return rows.mapInArrow(measure, f"doc_id {rows.schema[0].dataType.simpleString()}, x array<double>")
+
+
+def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and the transformed statistics x of each document, in the order of the rows."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(measure, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, x array<double>")
+    return _measured(rows, lambda batch: batch.column(1))
 
 
 @dataclass(frozen=True)
@@ -184,5 +192,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, params
     measured = settle(document_statistics(docs, id_col, text_col), "quality-statistics")
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label")).where(F.col("label").isin(0, 1))
     model = fit(measured.join(known, "doc_id"), params)
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc_id"), F.col(text_col).alias("text"))
-    return score_rows(document_statistics(rows), model).where(F.col("score") >= threshold).select("doc_id.*")
+    # whole rows go along as one column, and the text is read from it, so that it is sent once
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    at = docs.columns.index(text_col)
+    return score_rows(_measured(rows, lambda batch: pc.fill_null(batch.column(0).field(at), "")), model).where(F.col("score") >= threshold).select("doc_id.*")

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text is worked on in slices of about so many bytes, so memory is bounded by the longest document.
-SLICE = 1 << 20
+SLICE = 1 << 18
 BASE_BYTES, BASE_WORDS, BASE_WORDS_2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 
 _IS_SPACE = np.zeros(256, bool)
