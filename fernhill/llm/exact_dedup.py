@@ -51,11 +51,16 @@ def filter_blocks(n_rows: int, max_filter_mb: int) -> int:
     return blocks
 
 
-def repeated_filter(digests: DataFrame, blocks: int) -> DataFrame:
-    """Bit map per block (column ``bits``) of the positions that at least two rows mark."""
+def bit_blocks(digests: DataFrame, blocks: int, least: int = 1) -> DataFrame:
+    """Bit map per block (column ``bits``) of the positions that at least ``least`` rows mark."""
     marked = digests.select(_block(F.col("digest"), blocks).alias("block"), F.explode(_marks(F.col("digest"))).alias("bit"))
-    twice = marked.groupBy("block", "bit").agg(F.count("*").alias("n")).where("n >= 2")
-    return twice.groupBy("block").agg(F.bitmap_construct_agg(F.col("bit")).alias("bits"))
+    often = marked.groupBy("block", "bit").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    return often.groupBy("block").agg(F.bitmap_construct_agg(F.col("bit")).alias("bits"))
+
+
+def repeated_filter(digests: DataFrame, blocks: int) -> DataFrame:
+    """The filter of possibly repeated digests: positions that at least two rows mark."""
+    return bit_blocks(digests, blocks, least=2)
 
 
 def _bit_is_set(bits: Column, position: Column) -> Column:
