@@ -100,15 +100,23 @@ def next_month(d: ColumnOrName) -> Column:
     return F.add_months(_c(d), 1)
 
 
-# fixed value: file-name stamp of a catalogue snapshot, yyyyMMdd_HHmmss
-FILE_STAMP_PATTERN = r"(\d{8}_\d{6})"
+# fixed values: stamp of a catalogue snapshot, yyyyMMdd_HHmmss, at the start of
+# the last path segment that starts with one, and as a folder value
+FILE_STAMP_PATTERN = r".*/(\d{8}_\d{6})[^/]*"
+FOLDER_STAMP_PATTERN = r"(\d{8}_\d{6})"
 
 
 def file_stamp(path: ColumnOrName, pattern: str = FILE_STAMP_PATTERN) -> Column:
-    """T5: zone-free timestamp parsed from the ``yyyyMMdd_HHmmss`` stamp in a path."""
+    """T5: zone-free timestamp from the ``yyyyMMdd_HHmmss`` stamp that the file name
+    in a path starts with (of nested stamps the last one counts); none -> null."""
     return try_timestamp(F.regexp_extract(_c(path), pattern, 1), "yyyyMMdd_HHmmss")
 
 
+def folder_stamp(folder: ColumnOrName) -> Column:
+    """T5: the same stamp read from a folder's value, e.g. a partition column."""
+    return file_stamp(folder, FOLDER_STAMP_PATTERN)
+
+
 def stamp_text(ts: ColumnOrName) -> Column:
     """T5: the text form used at the sink."""
     return F.date_format(_c(ts), "yyyy-MM-dd HH:mm:ss")

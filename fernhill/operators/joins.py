@@ -5,7 +5,9 @@ result, and a null probe value is dropped unless the subquery is empty.
 Spark plans the built-in null-aware anti join only as a broadcast hash join,
 which needs the subquery side to fit in memory. ``not_in`` gets the same rows
 with a shuffled left-anti join plus one scalar subquery (row count and null
-count of the subquery side, one row), so no side has to be broadcast.
+count of the subquery side, one row), so no side has to be broadcast. The
+subquery side is made distinct first (combined map-side, and the join then needs
+no further shuffle of it), so a key it repeats reaches one task once.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 
 def left_anti(df: DataFrame, other: DataFrame, on: str, other_on: str | None = None) -> DataFrame:
     """NOT EXISTS: rows of ``df`` with no equal key in ``other``; null keys are kept."""
-    right = other.select(F.col(other_on or on).alias("__k")).dropna()
+    right = other.select(F.col(other_on or on).alias("__k")).dropna().distinct()
     return df.join(right, F.col(on) == F.col("__k"), "left_anti")
 
 

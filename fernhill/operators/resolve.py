@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import NO_RESULTS, norm_title, tt_id
-from ..functions.predicates import non_blank
+from ..functions.predicates import candidate_qualifies, non_blank, year_matches
 from ..functions.titles import parse_titles
 from .joins import not_in
 from .sets import take
@@ -51,9 +51,9 @@ def titles_to_match(title_map: DataFrame, matches: DataFrame, limit: int | None
     """
     todo = (title_map
             .where(F.col("title_id").isNull() & F.col("itemset_id").isNull() & non_blank(title_col))
-            .select(norm_title(title_col).alias("title")))
+            .select(norm_title(title_col).alias("title")).distinct())
     done = matches.where(F.col("has_match") == F.lit(True)).select("title")
-    out = not_in(todo, done, "title").distinct()
+    out = not_in(todo, done, "title")
     if limit is not None:
         out = take(out, limit, ["title"])
     return out
@@ -64,6 +64,9 @@ def _strip(c: Column) -> Column:
 
 
 _SEP = "\u0001"
+# ranks of the bare title's searches start here: a text has fewer characters, so
+# no chain of shortenings reaches it
+SECOND_CHAIN = 1 << 31
 
 
 def _shortened(base: Column, keep_parts: Column) -> Column:
@@ -78,7 +81,7 @@ def search_attempts(parsed: DataFrame, key: str = "tid", keep: Sequence[str] = (
     """(key, rank, qn, is_tv, *keep) for every search a title would make, in order:
     the main query (title + rest-title, or the title), then each shorter form
     while ':' / '-' remain; for titles with a rest-title, then the bare title and
-    its shorter forms (ranks from 1000). A null title keeps one row with a null
+    its shorter forms (ranks from ``SECOND_CHAIN``). A null title keeps one row with a null
     query (``explode_outer``), so every title reaches the aggregation that follows.
     """
     p = F.col("parsed")
@@ -88,9 +91,9 @@ def search_attempts(parsed: DataFrame, key: str = "tid", keep: Sequence[str] = (
     tv = F.coalesce((p["itemset"] > 0) & (p["item"] > 0), F.lit(False))
     primary = F.when(has_rest, F.concat(bare, F.lit(" "), _strip(rest))).otherwise(bare)
     chains = F.when(has_rest, F.array(
-        F.struct(F.lit(0).alias("start"), primary.alias("base"), F.lit(True).alias("is_tv")),
-        F.struct(F.lit(1000).alias("start"), bare.alias("base"), F.lit(True).alias("is_tv")))) \
-        .otherwise(F.array(F.struct(F.lit(0).alias("start"), primary.alias("base"), tv.alias("is_tv"))))
+        F.struct(F.lit(0).cast("bigint").alias("start"), primary.alias("base"), F.lit(True).alias("is_tv")),
+        F.struct(F.lit(SECOND_CHAIN).cast("bigint").alias("start"), bare.alias("base"), F.lit(True).alias("is_tv")))) \
+        .otherwise(F.array(F.struct(F.lit(0).cast("bigint").alias("start"), primary.alias("base"), tv.alias("is_tv"))))
     chains = F.when(p.isNull(), F.lit(None)).otherwise(chains)
     c = parsed.select(key, *keep, F.explode_outer(chains).alias("c")).select(
         key, *keep, F.col("c.start").alias("start"), F.col("c.base").alias("base"), F.col("c.is_tv").alias("tv0"))
@@ -100,7 +103,7 @@ def search_attempts(parsed: DataFrame, key: str = "tid", keep: Sequence[str] = (
                      F.explode_outer(F.sequence(F.lit(0), F.coalesce(n_sep, F.lit(0)))).alias("j"))
     j = F.col("j")
     q = F.when(j == 0, base).otherwise(_shortened(base, n_sep + 1 - j))
-    return steps.select(key, (F.col("start") + j).cast("int").alias("rank"), norm_title(q).alias("qn"),
+    return steps.select(key, (F.col("start") + j).alias("rank"), norm_title(q).alias("qn"),
                         F.when(j == 0, F.col("tv0")).otherwise(F.lit(True)).alias("is_tv"), *keep)
 
 
@@ -108,6 +111,29 @@ def _cand_struct() -> Column:
     return F.struct(*[F.col(c) for c in CANDIDATE_FIELDS])
 
 
+def with_episode(df: DataFrame, candidates: DataFrame, parent: str, itemset: str, item: str,
+                 spread_by: str, where: Column | None = None) -> DataFrame:
+    """Add ``episode_id``, the smallest candidate id under the row's parent with
+    its numbers; null where there is none or ``where`` does not hold.
+
+    Rows that look nothing up ("No Results" and un-numbered titles may be most of
+    a table) take ``spread_by`` for their join key: it is no parent's id under
+    the condition, and spreads them over all tasks where nulls would fill one.
+    """
+    episodes = (candidates.where(F.col("parent_id").isNotNull())
+                .groupBy("parent_id", "itemset_no", "item_no")
+                .agg(F.min("id").alias("episode_id"))
+                .select(F.col("parent_id").alias("_p"), F.col("itemset_no").alias("_s"), F.col("item_no").alias("_i"),
+                        "episode_id"))
+    known = F.col(parent).isNotNull() & F.col(itemset).isNotNull() & F.col(item).isNotNull()
+    looks = F.coalesce(known if where is None else known & where, F.lit(False))
+    rows = df.withColumn("_looks", looks).withColumn(
+        "_key", F.when(F.col("_looks"), F.col(parent)).otherwise(F.col(spread_by).cast("string")))
+    return (rows.join(episodes, F.col("_looks") & (F.col("_key") == F.col("_p")) & (F.col(itemset) == F.col("_s"))
+                      & (F.col(item) == F.col("_i")), "left")
+            .drop("_looks", "_key", "_p", "_s", "_i"))
+
+
 def resolve_titles(titles: DataFrame, candidates: DataFrame, title_col: str = "title",
                    min_votes: int = 200, low_votes: int = 50, low_votes_kind: str = "movie",
                    tv_kinds: Sequence[str] = TV_KINDS, other_kinds: Sequence[str] = OTHER_KINDS,
@@ -118,10 +144,11 @@ def resolve_titles(titles: DataFrame, candidates: DataFrame, title_col: str = "t
     worklist), so the de-duplicating shuffle is skipped.
 
     No candidate in any attempt -> both ids "No Results"; a null title -> both null.
-    Plan: titles are parsed once and exploded into attempts; candidates are
-    pre-aggregated per query (first candidate) and per (query, kind, year)
-    (first candidate with enough votes); three shuffled aggregations and two
-    joins on small, pre-aggregated sides follow.
+    Plan: titles are parsed once and exploded into attempts; candidates are read
+    once and pre-aggregated, per (query, kind, year) and then per query, to the
+    first candidate of all and the first with enough votes of each kind and year
+    (a list no longer than kinds times years); one join on the query, one
+    aggregation per title and the episode lookup follow.
     """
     uniq = titles.select(F.col(title_col).alias("title"))
     if not assume_distinct:
@@ -134,40 +161,30 @@ def resolve_titles(titles: DataFrame, candidates: DataFrame, title_col: str = "t
         key="title", keep=fields + ["null_title"])
 
     cand = candidates.withColumn("qn", norm_title("query"))
-    firsts = cand.groupBy("qn").agg(F.min(_cand_struct()).alias("first"))
-    votes = F.coalesce(F.col("votes"), F.lit(0))
-    passing = (cand.where((votes > min_votes) | ((F.col("kind") == low_votes_kind) & (votes > low_votes)))
-               .groupBy("qn", "kind", "year").agg(F.min(_cand_struct()).alias("best")))
+    usable = F.array(*[F.lit(k) for k in dict.fromkeys([*tv_kinds, *other_kinds])])
+    passes = candidate_qualifies("kind", "votes", usable, min_votes, low_votes, low_votes_kind)
+    per_query = (cand.groupBy("qn", "kind", "year")
+                 .agg(F.min(_cand_struct()).alias("first"), F.min(F.when(passes, _cand_struct())).alias("best"))
+                 .groupBy("qn").agg(F.min("first").alias("first"), F.collect_list("best").alias("bests")))
 
     # First attempt (in order) with any candidate; titles without one keep a row with no hit
-    hit = (attempts.join(firsts, "qn", "left")
+    hit = (attempts.join(per_query, "qn", "left")
            .groupBy("title")
-           .agg(F.min(F.struct(F.col("first").isNull().alias("miss"), "rank", "qn", "is_tv", *fields,
-                               "null_title", "first")).alias("w"))
-           .select("title", *[F.col(f"w.{f}").alias(f) for f in ["qn", "is_tv", *fields, "null_title", "first"]]))
-
-    # First qualifying candidate of the winning query. One left join on
-    # the pre-aggregated candidates (at most kinds x years rows per query), then
-    # the minimum per title; ``hit`` is used once, so its work is not repeated.
-    allowed = F.when(F.col("h.is_tv"), F.array(*[F.lit(k) for k in tv_kinds])) \
+           .agg(F.min_by(F.struct("is_tv", *fields, "null_title", "first", "bests"),
+                         F.struct(F.col("first").isNull().alias("miss"), "rank")).alias("w"))
+           .select("title", "w.*"))
+
+    # First qualifying candidate of the winning query
+    allowed = F.when(F.col("is_tv"), F.array(*[F.lit(k) for k in tv_kinds])) \
         .otherwise(F.array(*[F.lit(k) for k in other_kinds]))
-    want = F.col("h.year")
-    cond = ((F.col("h.qn") == F.col("p.qn")) & F.array_contains(allowed, F.col("p.kind"))
-            & (want.isNull() | (want == 0) | (F.col("p.year") == want)))
-    hit_cols = ["title", "itemset", "item", "null_title", "first"]
-    chosen = (hit.alias("h").join(passing.alias("p"), cond, "left")
-              .groupBy(*[F.col(f"h.{c}").alias(c) for c in hit_cols])
-              .agg(F.min("p.best").alias("best"))
-              .withColumn("c", F.coalesce("best", "first")))
+    fits = F.filter("bests", lambda b: F.array_contains(allowed, b["kind"]) & year_matches(F.col("year"), b["year"]))
+    chosen = hit.select("title", "itemset", "item", "null_title",
+                        F.coalesce(F.array_min(fits), F.col("first")).alias("c"))
 
     # Ids by kind; a series with itemset and item numbers looks up its episode
-    episodes = (candidates.where(F.col("parent_id").isNotNull())
-                .groupBy("parent_id", "itemset_no", "item_no").agg(F.min("id").alias("episode_id")))
     numbered = F.coalesce((F.col("itemset") > 0) & (F.col("item") > 0), F.lit(False))
-    r = chosen.join(episodes,
-                    (F.col("c.kind") == "series") & numbered & (F.col("c.id") == F.col("parent_id"))
-                    & (F.col("itemset") == F.col("itemset_no")) & (F.col("item") == F.col("item_no")),
-                    "left")
+    r = with_episode(chosen, candidates, "c.id", "itemset", "item", spread_by="title",
+                     where=(F.col("c.kind") == "series") & numbered)
     kind = F.col("c.kind")
     none = F.col("c").isNull()
     item_id = (F.when(F.col("null_title"), F.lit(None))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.casts import file_stamp
+from ..functions.casts import file_stamp, folder_stamp
 from ..functions.predicates import on_weekday
 
 
@@ -63,7 +63,7 @@ def weekday_snapshots(feed: DataFrame, day: int = 4, path_col: str = "source_fil
     e.g. ``snap=20240103_000000``), the weekday test becomes a partition filter:
     only the matching folders are listed and read.
     """
-    stamp = file_stamp(stamp_col) if stamp_col else file_stamp(path_col)
+    stamp = folder_stamp(stamp_col) if stamp_col else file_stamp(path_col)
     out = feed.withColumn("report_ts", stamp).where(on_weekday("report_ts", day))
     if as_text:
         out = out.withColumn("report_ts", F.date_format("report_ts", "yyyy-MM-dd HH:mm:ss"))

@@ -54,6 +54,32 @@ def access_log_rows(events: DataFrame) -> DataFrame:
     return events.select([cols[f.name].cast(f.dataType).alias(f.name) for f in ACCESS_LOG_SCHEMA.fields])
 
 
+def snapshot_stamp(events: DataFrame) -> F.Column:
+    """Stamp of the snapshot file an event lands in: its own day for even users; for
+    the others the days run backwards, so their later files hold older rows."""
+    day = F.to_date("ts")
+    back = F.date_sub(F.to_date(F.lit("2024-12-31")), F.date_diff(day, F.to_date(F.lit("2024-01-01"))))
+    return F.date_format(F.when(F.col("user_id") % 2 == 0, day).otherwise(back), "yyyyMMdd_000000")
+
+
+def land_stamped_files(feed: DataFrame, stamp_col: str, path: str) -> None:
+    """Write ``feed`` as gzip JSON lines, one ``<stamp>_items.json.gz`` a stamp, under ``path``.
+
+    Spark writes one folder a stamp; its files are then renamed (names only, no rows)."""
+    spark = feed.sparkSession
+    staged = f"{path}-staged"
+    (feed.repartition(stamp_col).write.partitionBy(stamp_col).option("compression", "gzip")
+     .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(staged))
+    jpath = spark._jvm.org.apache.hadoop.fs.Path
+    fs = jpath(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(jpath(path))
+    for folder in fs.listStatus(jpath(staged)):
+        if folder.isDirectory():
+            stamp = folder.getPath().getName().split("=", 1)[1]
+            for i, part in enumerate(p for p in fs.listStatus(folder.getPath()) if p.getPath().getName().startswith("part-")):
+                fs.rename(part.getPath(), jpath(f"{path}/{stamp}_items{f'-{i}' if i else ''}.json.gz"))
+
+
 def snapshot_folder(ts_col: str = "ts") -> F.Column:
     """Folder stamp ``yyyyMMdd_000000`` of the day a catalogue row was landed."""
     return F.date_format(F.col(ts_col), "yyyyMMdd_000000")

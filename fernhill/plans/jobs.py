@@ -11,6 +11,8 @@ one lazy plan, with one written table where a stage's output is reused.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,19 +20,30 @@ from ..operators.resolve import record_matches, resolve_titles, titles_to_match
 from ..operators.snapshots import catalogue_latest, weekday_snapshots
 from ..operators.views import cdn_furthest_view
 from ..session import scratch_path
+from ..operators.shaping import require_columns
 from ..sinks.writers import append_load, write_matches_csv, write_parquet
 from ..sources.readers import read_access_log, read_json_feed, read_report_csv, with_source_file
-from .loads import LoadSpec, load_projection
+from .loads import LoadSpec, load_projection, spec_for_path
 
 
-def load_reports(spark: SparkSession, path: str, spec: LoadSpec, table_path: str, run_id: str,
-                 start=None, end=None, constants: dict | None = None, idempotent: bool = True,
-                 na_values=()) -> None:
+def load_reports(spark: SparkSession, path: str, spec: LoadSpec | Mapping[str, LoadSpec], table_path: str,
+                 run_id: str, start=None, end=None, constants: dict | None = None, idempotent: bool = True,
+                 na_values=(), required: Sequence[str] | None = None, multiline: bool = True) -> None:
     """CSV reports under ``path`` -> typed by ``spec`` -> appended to ``table_path``.
 
+    ``spec`` may be specs by report name: the one for ``.../<channel>/<report>/<file>``
+    is taken and the channel joins the constants (P10). ``required`` columns
+    (default: one accepted name of each field, and the period's columns; ``()``
+    loads absent columns as null, P2) must be in the files or nothing is written
+    (P7); every file must carry the same header, or the load fails and commits nothing.
+
     ``idempotent`` replaces this run's partition, so re-running a run after a
     failure leaves one copy (the reference's forced reload would double it)."""
-    raw = read_report_csv(spark, path, na_values=na_values)
+    if not isinstance(spec, LoadSpec):
+        spec, channel = spec_for_path(path, spec)
+        constants = {"channel_name": channel, **(constants or {})}
+    raw = read_report_csv(spark, path, na_values=na_values, multiline=multiline, enforceSchema=False)
+    require_columns(raw, spec.required(raw.columns) if required is None else required)
     typed = load_projection(raw, spec, run_id=run_id, start=start, end=end, constants=constants)
     append_load(typed, table_path, idempotent=idempotent)
 
@@ -52,22 +65,24 @@ def catalogue_snapshot(spark: SparkSession, feed: str, out: str, keys: str | Non
 
 
 def match_titles(spark: SparkSession, title_map: DataFrame, matches: DataFrame, candidates: DataFrame,
-                 out: str, limit: int | None = None, **rules) -> DataFrame:
+                 out: str, limit: int | None = None, export: str | None = None, **rules) -> DataFrame:
     """Worklist (C20) -> resolution (C21) -> match file (K6) -> upsert.
 
-    The resolved titles are written once, as the match file, to a fresh folder
-    under the shared checkpoint directory and the merge reads them back: the
-    merge does not recompute the resolution, and a lost executor during the
-    merge does not send it back through the search. The merged table is written
+    The resolved titles are written once, in parquet, to a fresh folder under
+    the shared checkpoint directory and the merge reads them back: every
+    character survives, the merge does not recompute the resolution, and a lost
+    executor during the merge does not send it back through the search.
+    ``export`` also writes the match file (K6). The merged table is written
     to ``out`` (a new version; parquet has no in-place MERGE) and returned as read
     from there.
     """
     work = titles_to_match(title_map, matches, limit=limit)
     found = resolve_titles(work, candidates, assume_distinct=True, **rules)   # the worklist is distinct
-    match_file = scratch_path(spark, "title-matches")
-    write_matches_csv(found, match_file)
-    written = read_report_csv(spark, match_file,
-                              schema="title string, title_id string, itemset_id string")
+    handed = scratch_path(spark, "title-matches")
+    found.write.parquet(handed)
+    written = spark.read.schema(found.schema).parquet(handed)
+    if export is not None:
+        write_matches_csv(written, export)
     merged = record_matches(matches, written)
     merged.write.mode("overwrite").parquet(out)
     return spark.read.parquet(out).select(*[F.col(c) for c in matches.columns])

@@ -84,6 +84,11 @@ class LoadSpec:
         if dup:
             raise ValueError(f"spec {self.name}: target named twice: {sorted(dup)}")
 
+    def required(self, have: Sequence[str]) -> list[str]:
+        """Per field the accepted name found among ``have``, else its usual one; then the period's columns."""
+        names = [next((s for s in f.sources if s in have), f.sources[0]) for f in self.fields]
+        return list(dict.fromkeys([*names, *self.period.cols]))
+
     def source_names(self) -> list[str]:
         return [f.sources[0] for f in self.fields]
 

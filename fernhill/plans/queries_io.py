@@ -8,12 +8,11 @@ later job would see.
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators.resolve import resolve_titles
 from ..session import scratch_path
-from ..sinks.writers import append_load, write_matches_csv, write_parquet, write_per_sheet
+from ..sinks.writers import append_load, write_matches_csv, write_parquet, write_per_sheet, write_report_csv
 from ..sources.archive import read_archive_members
 from ..sources.files import select_attachments, select_files, unique_ids
 from ..sources.readers import read_access_log, read_report_csv, read_staged, schema_profile
@@ -45,19 +44,20 @@ def s1_access_log(spark, sf):
 
 @register("s3_report_csv", sql="""
 SELECT o_orderkey, o_orderstatus,
-       CASE o_orderstatus WHEN 'F' THEN 'NA' WHEN 'P' THEN NULL ELSE o_orderpriority END AS note
+       CASE o_orderstatus WHEN 'F' THEN 'NA' WHEN 'P' THEN NULL
+       ELSE 'a "' || o_orderpriority || '", b' || chr(10) || chr(92) || o_orderkey END AS note
 FROM orders
 """)
 def s3_report_csv(spark, sf):
-    """S3: header names with a leading blank are trimmed, "NA" is kept, empty is null."""
+    """S3: header names with a leading blank are trimmed, "NA" is kept, empty is null;
+    quotes, commas, line breaks and backslashes inside a field survive."""
     o = table(spark, sf, "orders")
     note = F.when(F.col("o_orderstatus") == "F", "NA").when(F.col("o_orderstatus") == "P", "") \
-        .otherwise(F.col("o_orderpriority"))
+        .otherwise(F.expr("'a \"' || o_orderpriority || '\", b' || chr(10) || chr(92) || o_orderkey"))
     path = scratch_path(spark, "report-csv")
-    (o.select(F.col("o_orderkey").alias(" o_orderkey"), F.col("o_orderstatus").alias("  o_orderstatus"),
-              note.alias("note"))
-     .write.option("header", True).csv(path))
-    r = read_report_csv(spark, path)
+    write_report_csv(o.select(F.col("o_orderkey").alias(" o_orderkey"), F.col("o_orderstatus").alias("  o_orderstatus"),
+                              note.alias("note")), path, rows_per_file=30_000)
+    r = read_report_csv(spark, path, multiline=True)
     return r.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderstatus", "note")
 
 
@@ -65,15 +65,15 @@ def s3_report_csv(spark, sf):
 SELECT o_orderkey, o_totalprice, true AS part_within_limit FROM orders
 """)
 def s4_split_parts(spark, sf):
-    """A big CSV written in parts of at most 3,000 rows, read back whole."""
+    """A big CSV written in parts of at most 30,000 rows, read back whole."""
     path = scratch_path(spark, "split-csv")
-    (table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-     .write.option("header", True).option("maxRecordsPerFile", 3000).csv(path))
+    write_report_csv(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"), path, rows_per_file=30_000)
     r = read_report_csv(spark, path).withColumn("_f", F.col("_metadata.file_path"))
-    n = F.count(F.lit(1)).over(Window.partitionBy("_f"))
-    return r.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
+    # rows per part: one row a file after the map-side count
+    parts = r.groupBy("_f").agg(F.count(F.lit(1)).alias("n"))
+    return r.join(parts, "_f").select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
                     F.col("o_totalprice").cast("double").alias("o_totalprice"),
-                    (n <= 3000).alias("part_within_limit"))
+                    (F.col("n") <= 30_000).alias("part_within_limit"))
 
 
 @register("s5_workbook", sql="""
@@ -150,15 +150,20 @@ def s9_all_files(spark, sf):
 
 
 @register("s10_schema_profile", sql="""
-SELECT * FROM (VALUES
-  (1, 'l_orderkey', 'bigint', true), (2, 'l_partkey', 'bigint', true), (3, 'l_suppkey', 'bigint', true),
-  (4, 'l_linenumber', 'int', true), (5, 'l_quantity', 'double', true), (6, 'l_extendedprice', 'double', true),
-  (7, 'l_discount', 'double', true), (8, 'l_tax', 'double', true), (9, 'l_returnflag', 'string', true),
-  (10, 'l_linestatus', 'string', true), (11, 'l_shipdate', 'timestamp_ntz', true)
-) AS t(position, column_name, data_type, nullable)
+SELECT p.position, p.column_name, p.data_type, p.nullable,
+       CASE p.column_name WHEN 'event_id' THEN c1 WHEN 'ts' THEN c2 WHEN 'user_id' THEN c3
+            WHEN 'event_type' THEN c4 WHEN 'value' THEN c5 ELSE c6 END AS filled
+FROM (VALUES (1, 'event_id', 'bigint', true), (2, 'ts', 'timestamp_ntz', true), (3, 'user_id', 'bigint', true),
+             (4, 'event_type', 'string', true), (5, 'value', 'double', true), (6, 'props', 'string', true)
+     ) AS p(position, column_name, data_type, nullable),
+     (SELECT count(event_id) AS c1, count(ts) AS c2, count(nullif(user_id, 7)) AS c3, count(event_type) AS c4,
+             count(nullif(value, 0)) AS c5, count(props) AS c6 FROM events) AS n
 """)
 def s10_schema_profile(spark, sf):
-    return schema_profile(table(spark, sf, "lineitem"))
+    """Schema and filled rows per column, counted in one pass (some cells blanked)."""
+    e = table(spark, sf, "events")
+    return schema_profile(e.withColumns({"user_id": F.nullif("user_id", F.lit(7)),
+                                         "value": F.nullif("value", F.lit(0.0))}))
 
 
 @register("s11_select_attachments", sql="""
@@ -329,8 +334,8 @@ def p10_spec_for_path(spark, sf):
     root = scratch_path(spark, "landing")
     path = f"{root}/{channel}/{spec.name}"
     li = table(spark, sf, "lineitem")
-    li.select([F.expr(e).alias(n) for n, e in report_columns(spec)]).write.option("header", True).csv(path)
-    typed = load_projection(read_report_csv(spark, path), spec, run_id="run-1")
+    write_report_csv(li.select([F.expr(e).alias(n) for n, e in report_columns(spec)]), path, rows_per_file=30_000)
+    typed = load_projection(read_report_csv(spark, path, multiline=True), spec, run_id="run-1")
     got = typed.select(channel_of(F.col("source_key"), -3).alias("channel"))
     return got.groupBy("channel").agg(F.count(F.lit(1)).alias("n_rows")).select(
         "channel", F.lit(spec.name).alias("spec"), F.lit(len(spec.fields)).alias("n_fields"), "n_rows")

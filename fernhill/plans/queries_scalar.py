@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..functions import casts as X
-from ..functions.predicates import all_given, flag_true, non_blank, year_matches
+from ..functions.predicates import all_given, candidate_qualifies, flag_true, non_blank, year_matches
 from ..operators.shaping import blank_nulls
 from .registry import register, table
 
@@ -137,10 +139,13 @@ def t8_day_window(spark, sf):
     return e.where(X.day_window("ts", F.lit("2024-01-20").cast("date"), days_back=7, length=3)).select("event_id", "ts")
 
 
-@register("t9_run_clock")
+@register("t9_run_clock", sql="SELECT o_orderkey, true AS stamped, true AS one_clock FROM orders")
 def t9_run_clock(spark, sf):
-    """Rows-only: the load time differs per run by design."""
-    return table(spark, sf, "orders").select("o_orderkey", X.run_clock().alias("loaded_ts"))
+    """Every row has the load time, after the query was built and the same on all rows of a run."""
+    built = F.lit(dt.datetime.now(dt.timezone.utc) - dt.timedelta(seconds=1))
+    loaded = table(spark, sf, "orders").select("o_orderkey", X.run_clock().alias("loaded_ts"))
+    return loaded.select("o_orderkey", F.coalesce(F.col("loaded_ts") >= built, F.lit(False)).alias("stamped"),
+                         (F.col("loaded_ts") == X.run_clock()).alias("one_clock"))
 
 
 # ------------------------------------------------------------------ strings
@@ -276,7 +281,7 @@ WITH p AS (SELECT *, CASE WHEN p_size > 40 THEN NULL ELSE 1990 + p_size // 10 EN
                       1990 + p_size // 12 AS cand_year FROM part)
 SELECT p_partkey, p_type, wanted_year, cand_year FROM p
 WHERE p_type IN ('ECONOMY', 'PROMO', 'SMALL') AND (wanted_year IS NULL OR wanted_year = cand_year)
-  AND p_retailprice > 950
+  AND (p_retailprice > 950 OR (p_type = 'SMALL' AND p_retailprice > 920))
 """)
 def f7_candidate_filter(spark, sf):
     p = table(spark, sf, "part")
@@ -284,8 +289,9 @@ def f7_candidate_filter(spark, sf):
                  F.when(F.col("p_size") > 40, F.lit(None)).otherwise(1990 + F.floor(F.col("p_size") / 10))
                  .cast("int").alias("wanted_year"),
                  (1990 + F.floor(F.col("p_size") / 12)).cast("int").alias("cand_year"))
-    cond = (F.col("p_type").isin("ECONOMY", "PROMO", "SMALL") & year_matches("wanted_year", "cand_year")
-            & (F.col("p_retailprice") > 950))
+    kinds = F.array(*[F.lit(k) for k in ("ECONOMY", "PROMO", "SMALL")])
+    cond = year_matches("wanted_year", "cand_year") & candidate_qualifies(
+        "p_type", "p_retailprice", kinds, min_votes=950, low_votes=920, low_votes_kind="SMALL")
     return p.where(cond).select("p_partkey", "p_type", "wanted_year", "cand_year")
 
 

@@ -10,7 +10,7 @@ from ..functions.predicates import candidate_qualifies
 from ..functions.titles import ITEM_ITEMSET_PATTERN, ITEMSET_ONLY_PATTERN, YEAR_PATTERN, parse_titles
 from ..operators.joins import left_anti, not_in
 from ..operators.resolve import (
-    record_matches, resolve_titles, search_attempts, titles_to_match,
+    SECOND_CHAIN, record_matches, resolve_titles, search_attempts, titles_to_match, with_episode,
 )
 from ..operators.sets import count_ids, distinct_values, non_null_distinct, stack
 from ..operators.snapshots import first_qualifying
@@ -97,7 +97,7 @@ def attempts_sql(src: str = "parsed") -> str:
     def chain(base: str, start: int, cond: str) -> str:
         parts = split.format(b=base)
         return f"""
-  SELECT title, CAST({start} + j AS INTEGER) AS rank,
+  SELECT title, {start} + CAST(j AS BIGINT) AS rank,
          array_to_string(list_transform({parts}[1:len({parts}) - j], lambda x: trim(x)), ': ') AS q, true AS is_tv
   FROM (SELECT *, unnest(range(1, len({parts}))) AS j FROM a0 WHERE {cond} AND regexp_matches({base}, '[:-]'))"""
 
@@ -109,10 +109,10 @@ a0 AS (
   FROM {src} WHERE title IS NOT NULL
 ),
 chains AS (
-  SELECT title, 0 AS rank, prim AS q, CASE WHEN has_rest THEN true ELSE tv END AS is_tv FROM a0
+  SELECT title, CAST(0 AS BIGINT) AS rank, prim AS q, CASE WHEN has_rest THEN true ELSE tv END AS is_tv FROM a0
   UNION ALL {chain('prim', 0, 'true')}
-  UNION ALL SELECT title, 1000, ptitle, true FROM a0 WHERE has_rest
-  UNION ALL {chain('ptitle', 1000, 'has_rest')}
+  UNION ALL SELECT title, {SECOND_CHAIN}, ptitle, true FROM a0 WHERE has_rest
+  UNION ALL {chain('ptitle', SECOND_CHAIN, 'has_rest')}
 )"""
 
 
@@ -257,14 +257,14 @@ def j4_title_lookup(spark, sf):
 
 @register("m6_rest_title_search", sql=f"""
 WITH {RAW_TITLES_CTE}, {parse_sql('raw_titles')}, {CAND_SQL}, {attempts_sql()}, {HIT_SQL}
-SELECT h.title, h.qn AS query, h.rank >= 1000 AS bare_title_used
+SELECT h.title, h.qn AS query, h.rank >= {SECOND_CHAIN} AS bare_title_used
 FROM hit h JOIN a0 ON a0.title = h.title WHERE a0.has_rest
 """)
 def m6_rest_title_search(spark, sf):
     """M6: titles with a rest-title: did the "title rest" search or the bare title find candidates?"""
     j = j4_title_lookup(spark, sf)
     parsed = _parsed(spark, sf).where(F.col("p.item_title").isNotNull()).select("title")
-    return j.join(parsed, "title").select("title", "query", (F.col("rank") >= 1000).alias("bare_title_used"))
+    return j.join(parsed, "title").select("title", "query", (F.col("rank") >= SECOND_CHAIN).alias("bare_title_used"))
 
 
 @register("m5_ids_by_kind", sql=f"""
@@ -327,13 +327,20 @@ def w2_first_qualifying(spark, sf):
     return first_qualifying(p, "p_name", "p_partkey", F.col("p_retailprice") > 990).select("p_name", "p_partkey")
 
 
-@register("j5_parent_lookup", sql="""
-SELECT n.n_nationkey, n.n_name, r.r_name AS parent_name FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+@register("j5_parent_lookup", sql=f"""
+WITH {CAND_SQL},
+wanted AS (SELECT position, parent_id, itemset_no, item_no + CASE WHEN position % 5 = 0 THEN 1 ELSE 0 END AS item_no FROM cand),
+e AS (SELECT parent_id, itemset_no, item_no, min(id) AS episode_id FROM cand WHERE parent_id IS NOT NULL GROUP BY ALL)
+SELECT w.position, w.parent_id, e.episode_id FROM wanted w
+LEFT JOIN e ON w.parent_id = e.parent_id AND w.itemset_no = e.itemset_no AND w.item_no = e.item_no
 """)
 def j5_parent_lookup(spark, sf):
-    """Item -> its parent (nation -> region) as an equi left join."""
-    n, r = table(spark, sf, "nation"), table(spark, sf, "region")
-    return n.join(r, n.n_regionkey == r.r_regionkey, "left").select("n_nationkey", "n_name", F.col("r_name").alias("parent_name"))
+    """Episode under a parent by its numbers; some numbers are off, series and movies look nothing up."""
+    cand = title_candidates(_part(spark, sf))
+    wanted = cand.select("position", "parent_id", "itemset_no",
+                         (F.col("item_no") + F.when(F.col("position") % 5 == 0, 1).otherwise(0)).alias("item_no"))
+    return with_episode(wanted, cand, "parent_id", "itemset_no", "item_no",
+                        spread_by="position").select("position", "parent_id", "episode_id")
 
 
 # -------------------------------------------------------------- anti joins

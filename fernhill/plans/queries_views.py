@@ -11,8 +11,8 @@ from ..operators.snapshots import catalogue_latest, latest_per_key, rank_first,
 from ..operators.views import cdn_furthest_view, group_max, group_min, join_on_keys, view_points
 from ..session import scratch_path
 from ..sources.readers import read_json_feed, with_source_file
-from .derive import access_log_rows, snapshot_folder
-from .registry import register, table
+from .derive import access_log_rows, land_stamped_files, snapshot_folder, snapshot_stamp
+from .registry import register, table, table_state
 
 # DuckDB: the same log rows as derive.access_log_rows, then the parsed view points.
 LOG_CTE = r"""
@@ -182,13 +182,13 @@ def f3_weekday(spark, sf):
 
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-_FEEDS: dict[tuple[str, str], str] = {}
+_FEEDS: dict[tuple, str] = {}
 
 
 def landed_feed(spark: SparkSession, sf: str) -> str:
     """Land ``events`` as a gzip JSON-lines catalogue feed, one folder per day
-    (``snap=yyyyMMdd_000000``), under the shared scratch folder; once per table."""
-    key = (spark.sparkContext.applicationId, sf)
+    (``snap=yyyyMMdd_000000``), under the shared scratch folder; once per state of the table."""
+    key = ("folders", *table_state(spark, sf, "events"))
     if key not in _FEEDS:
         path = scratch_path(spark, "feed")
         (table(spark, sf, "events").withColumn("snap", snapshot_folder())
@@ -198,6 +198,27 @@ def landed_feed(spark: SparkSession, sf: str) -> str:
     return _FEEDS[key]
 
 
+def landed_files(spark: SparkSession, sf: str) -> str:
+    """Land ``events`` as files named ``yyyyMMdd_000000_items.json.gz``, below a folder
+    that carries a stamp of its own; once per state of the table."""
+    key = ("files", *table_state(spark, sf, "events"))
+    if key not in _FEEDS:
+        path = scratch_path(spark, "feed") + "/20230101_000000"
+        events = table(spark, sf, "events")
+        land_stamped_files(events.withColumn("snap", snapshot_stamp(events)), "snap", path)
+        _FEEDS[key] = path
+    return _FEEDS[key]
+
+
+def _file_feed(spark, sf):
+    return with_source_file(read_json_feed(spark, landed_files(spark, sf), schema=EVENTS_SCHEMA, glob="*.gz"))
+
+
+# the stamp of derive.snapshot_stamp
+STAMP_SQL = ("CASE WHEN user_id % 2 = 0 THEN date_trunc('day', ts) ELSE TIMESTAMP '2024-12-31' "
+             "- (date_trunc('day', ts) - TIMESTAMP '2024-01-01') END")
+
+
 def _feed(spark, sf):
     return with_source_file(read_json_feed(spark, landed_feed(spark, sf), schema=EVENTS_SCHEMA))
 
@@ -215,26 +236,46 @@ def s8_source_file(spark, sf):
                                    .alias("snapshot"))
 
 
-@register("t5_file_stamp", sql="""
-SELECT event_id, date_trunc('day', ts) AS report_ts, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS report_text
+@register("t5_file_stamp", sql=f"""
+SELECT event_id, {STAMP_SQL} AS report_ts, strftime({STAMP_SQL}, '%Y-%m-%d %H:%M:%S') AS report_text
 FROM events
 """)
 def t5_file_stamp(spark, sf):
     ts = file_stamp("source_filename")
-    return _feed(spark, sf).select("event_id", ts.alias("report_ts"),
+    return _file_feed(spark, sf).select("event_id", ts.alias("report_ts"),
                                    F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("report_text"))
 
 
-@register("c2_catalogue_latest", sql="""
+C2_SQL = f"""
 SELECT event_id, ts, user_id, event_type, value, props FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY {STAMP_SQL} DESC, event_id DESC) AS rn FROM events
 ) WHERE rn = 1
-""")
+"""
+
+
+@register("c2_catalogue_latest", sql=C2_SQL)
 def c2_catalogue_latest(spark, sf):
-    out = catalogue_latest(_feed(spark, sf), "user_id", tie_breaker=["ts", "event_id"], by_stamp=True)
+    """The newest file (by name) decides, though it may hold older rows."""
+    return catalogue_latest(_file_feed(spark, sf), "user_id", tie_breaker=["event_id"]).drop("source_filename")
+
+
+@register("c2_latest_by_stamp", sql=C2_SQL)
+def c2_latest_by_stamp(spark, sf):
+    """C2 by the stamp parsed from the file name: the files of one snapshot rank as equals."""
+    out = catalogue_latest(_file_feed(spark, sf), "user_id", tie_breaker=["event_id"], by_stamp=True)
     return out.drop("source_filename")
 
 
+@register("c3_weekday_files", sql=f"""
+SELECT event_id, user_id, event_type, value, {STAMP_SQL} AS report_ts
+FROM events WHERE dayofweek({STAMP_SQL}) = 3
+""")
+def c3_weekday_files(spark, sf):
+    """The weekday comes from the stamp in the file name."""
+    out = weekday_snapshots(_file_feed(spark, sf))
+    return out.select("event_id", "user_id", "event_type", "value", "report_ts")
+
+
 @register("c3_weekday_snapshots", sql="""
 SELECT event_id, user_id, event_type, value, date_trunc('day', ts) AS report_ts
 FROM events WHERE dayofweek(ts) = 3

@@ -37,11 +37,16 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given parquet tables (spread over the cores when it arrives as
-    fewer partitions than there are cores; see ``session.spread``)."""
-    from ..session import spread
+    """One of the given parquet tables."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+def table_state(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    """What tells one state of a given table's files from another: path, size, time."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return (spark.sparkContext.applicationId, str(path.toString()), fs.getContentSummary(path).getLength(),
+            fs.getFileStatus(path).getModificationTime())
 
 
 def load_all() -> dict[str, Query]:

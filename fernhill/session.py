@@ -40,18 +40,21 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/fernhill-checkpoints") -> str:
+def ensure_checkpoint_dir(spark: SparkSession, local_folder: str = "/tmp/fernhill-checkpoints") -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    A cluster names it in ``spark.checkpoint.dir``; only when nothing is set
-    (a bare local test session) do we set our own fallback.
+    A cluster names it in ``spark.checkpoint.dir``. Where it is unset, a session
+    whose master is local (one machine, as in tests) gets ``local_folder``; any
+    other session fails, since its executors would not share such a folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or fallback)
+    if not configured and not (sc.master or "").startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+    sc.setCheckpointDir(configured or local_folder)
     return sc.getCheckpointDir()
 
 
@@ -64,27 +67,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/fernhill/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df, min_share: float = 0.5, min_bytes: int = 1 << 20):
-    """Round-robin repartition an input that arrived in fewer partitions than the
-    cluster has cores (e.g. one small file with one row group), so the CPU work
-    before the first shuffle runs in parallel. Inputs smaller than ``min_bytes``
-    (by the optimizer's size estimate) are left alone -- spreading them costs a
-    shuffle and buys nothing -- and so is a scan that already has enough
-    partitions, i.e. any real input at scale."""
-    sc = df.sparkSession.sparkContext
-    want = sc.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    if have >= max(1, int(want * min_share)):
-        return df
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: spread
-        size = min_bytes
-    if size < min_bytes:
-        return df
-    return df.repartition(want)
-
-
 _SHIPPED: set[str] = set()
 
 

@@ -47,6 +47,17 @@ def append_load(df: DataFrame, path: str, columns: Sequence[str] | None = None,
         w.mode("append").parquet(path)
 
 
+def write_report_csv(df: DataFrame, path: str, mode: str = "append", rows_per_file: int | None = None) -> None:
+    """CSV with a header and standard quoting (quotes doubled, blanks kept),
+    in parts of at most ``rows_per_file`` rows when given."""
+    w = (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    if rows_per_file:
+        w = w.option("maxRecordsPerFile", int(rows_per_file))
+    w.csv(path)
+
+
 def write_matches_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K6: CSV with a header of (title, title id, itemset id)."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """K6: CSV with a header of (title, title id, itemset id). An export: an empty
+    text is written as ``""``, which readers commonly take for null."""
+    write_report_csv(df, path, mode=mode)

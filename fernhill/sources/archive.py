@@ -4,8 +4,8 @@
 its members are emitted in Arrow batches (at most 1,000 members or 64 MB per
 batch), so archives are unpacked in parallel and nothing passes through the
 driver. A file that is not an archive (by suffix)
-is passed on as its own single member. Members above ``max_bytes`` are
-reported with null content and their size instead of being loaded.
+is passed on as its own single member. A member that a binary value cannot
+hold (2 GB) fails the job.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 
 MEMBERS_SCHEMA = "archive string, member string, size long, content binary"
-MAX_MEMBER_BYTES = 2 * 1024 ** 3 - 1
 
 
 def archive_kind(path: str) -> str:
@@ -33,29 +32,26 @@ def archive_kind(path: str) -> str:
     return "plain"
 
 
-def archive_members(path: str, content: bytes, max_bytes: int = MAX_MEMBER_BYTES) -> Iterator[tuple]:
+def archive_members(path: str, content: bytes) -> Iterator[tuple]:
     kind = archive_kind(path)
     if kind == "zip":
         with zipfile.ZipFile(io.BytesIO(content)) as z:
             for info in z.infolist():
                 if info.is_dir():
                     continue
-                data = z.read(info) if info.file_size <= max_bytes else None
-                yield path, info.filename, info.file_size, data
+                yield path, info.filename, info.file_size, z.read(info)
     elif kind in ("tar", "tar.gz"):
         mode = "r:gz" if kind == "tar.gz" else "r:"
         with tarfile.open(fileobj=io.BytesIO(content), mode=mode) as t:
             for m in t:
                 if not m.isfile():
                     continue
-                data = t.extractfile(m).read() if m.size <= max_bytes else None
-                yield path, m.name, m.size, data
+                yield path, m.name, m.size, t.extractfile(m).read()
     else:
         yield path, path.rsplit("/", 1)[-1], len(content), content
 
 
-def read_archive_members(spark: SparkSession, path: str | DataFrame, glob: str | None = None,
-                         max_bytes: int = MAX_MEMBER_BYTES) -> DataFrame:
+def read_archive_members(spark: SparkSession, path: str | DataFrame, glob: str | None = None) -> DataFrame:
     """Every member of every archive under ``path`` (or of a ``path, content`` DataFrame)."""
     if isinstance(path, DataFrame):
         files = path.select("path", "content")
@@ -73,9 +69,9 @@ def read_archive_members(spark: SparkSession, path: str | DataFrame, glob: str |
         for batch in batches:
             for p, c in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
                 buf, held = [], 0
-                for row in archive_members(p, c, max_bytes):
+                for row in archive_members(p, c):
                     buf.append(row)
-                    held += len(row[3] or b"")
+                    held += len(row[3])
                     if len(buf) >= 1000 or held >= 64 * 1024 * 1024:
                         yield pa.RecordBatch.from_arrays([pa.array(col) for col in zip(*buf)], schema=schema)
                         buf, held = [], 0

@@ -67,27 +67,42 @@ def read_json_feed(spark: SparkSession, path: str | list[str], schema: T.StructT
 
 
 def read_report_csv(spark: SparkSession, path: str | list[str], na_values: Iterable[str] = (),
-                    schema: T.StructType | None = None, **opts) -> DataFrame:
+                    schema: T.StructType | str | None = None, multiline: bool = False,
+                    corrupt_col: str | None = None, **opts) -> DataFrame:
     """CSV report with a header; blanks after the delimiter dropped.
 
+    Standard quoting: a quote inside a quoted field is doubled, a backslash is
+    plain text. ``multiline`` also reads line breaks inside quoted fields; such a
+    file cannot be split, so land it in parts (S4). Rows with too few or too many
+    fields are padded or cut; ``corrupt_col`` names a text column that holds the
+    raw line of each such row (null for good rows), to count or set aside.
+
     Every column is read as text and typed once, later, by the load projection
     (no per-file or per-chunk inference). Empty fields, quoted or not, are null
     (the reader's own rule); values listed in ``na_values`` become null as well;
     other text such as "NA" is kept. Big files split on their own.
     """
-    r = (spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True)
-         .option("mode", "PERMISSIVE"))
-    if schema is not None:
-        r = r.schema(schema)
-    for k, v in opts.items():
-        r = r.option(k, v)
-    df = r.csv(path)
+    def reader():
+        r = (spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True)
+             .option("quote", '"').option("escape", '"').option("multiLine", multiline)
+             .option("mode", "PERMISSIVE"))
+        for k, v in opts.items():
+            r = r.option(k, v)
+        return r
+
+    if corrupt_col is not None:
+        # the reader fills the column only when the schema names it
+        known = reader().csv(path).schema if schema is None else schema
+        known = T.StructType.fromDDL(known) if isinstance(known, str) else known
+        schema = T.StructType([*known.fields, T.StructField(corrupt_col, T.StringType())])
+        opts["columnNameOfCorruptRecord"] = corrupt_col
+    df = (reader() if schema is None else reader().schema(schema)).csv(path)
     na = [v for v in na_values if v != ""]
     if not na:
         return df
     return df.select([
         F.when(F.col(f"`{c}`").isin(na), F.lit(None).cast("string")).otherwise(F.col(f"`{c}`")).alias(c)
-        if isinstance(df.schema[c].dataType, T.StringType) else F.col(f"`{c}`")
+        if c != corrupt_col and isinstance(df.schema[c].dataType, T.StringType) else F.col(f"`{c}`")
         for c in df.columns])
 
 
@@ -107,14 +122,16 @@ def with_source_file(df: DataFrame, name: str = "source_filename") -> DataFrame:
 
 
 def schema_profile(df: DataFrame) -> DataFrame:
-    """(position, column, type) of a DataFrame's schema, as a DataFrame.
-
-    Built from the schema alone (metadata on the driver, no data read).
+    """(position, column_name, data_type, nullable, filled) of every column;
+    ``filled`` counts its non-null rows, all columns in one map-side combined pass.
     """
-    spark = df.sparkSession
-    rows = [(i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(
-        rows, "position int, column_name string, data_type string, nullable boolean")
+    counts = df.agg(*[F.count(F.col("`" + f.name.replace("`", "``") + "`")).alias(f"n{i}")
+                      for i, f in enumerate(df.schema.fields)])
+    rows = [F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column_name"),
+                     F.lit(f.dataType.simpleString()).alias("data_type"), F.lit(f.nullable).alias("nullable"),
+                     F.col(f"n{i}").alias("filled"))
+            for i, f in enumerate(df.schema.fields)]
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def sample_rows(df: DataFrame, n: int = 20) -> DataFrame:
