@@ -4,8 +4,7 @@
 refuse it. ``upsert`` returns the merged table as a DataFrame -- one full
 outer join on the key (one shuffle of each side; with both sides bucketed
 by the key on write, none) -- to be written to a new version folder.
-``merge_into`` uses Spark's ``mergeInto`` when the target is a table that
-supports it.
+A table that does support it takes ``DataFrame.mergeInto`` as it is.
 """
 
 from __future__ import annotations
@@ -74,12 +73,3 @@ def upsert(target: DataFrame, source: DataFrame, key: str | Sequence[str],
             upd, ins = kept, F.col(f"s.{c}")
         out.append(F.when(matched, upd).when(only_s, ins).otherwise(kept).cast(target.schema[c].dataType).alias(c))
     return j.select(out)
-
-
-def merge_into(table: str, source: DataFrame, key: str, update: Mapping[str, Column],
-               insert: Mapping[str, Column]):
-    """Spark's own MERGE for tables that support row-level writes."""
-    return (source.mergeInto(table, F.col(f"{table}.{key}") == source[key])
-            .whenMatched().update(dict(update))
-            .whenNotMatched().insert(dict(insert))
-            .merge())

@@ -54,6 +54,10 @@ def test_lenient_dates(spark):
     ts = one(spark, X.file_stamp("v"), "s3://b/feed/20220105_101112_items.json.gz")
     assert ts == dt.datetime(2022, 1, 5, 10, 11, 12)
     assert one(spark, on_weekday(X.file_stamp("v"), 4), "x/20220105_101112.gz") is True
+    nested = "s3://b/20230101_000000/20240103_101500.json.gz"
+    assert one(spark, X.file_stamp("v"), nested) == dt.datetime(2024, 1, 3, 10, 15)
+    assert one(spark, X.file_stamp("v"), "s3://b/feed/items.json.gz") is None
+    assert one(spark, X.folder_stamp("v"), "20240103_101500") == dt.datetime(2024, 1, 3, 10, 15)
 
 
 def test_quarter_and_month_periods(spark):

@@ -4,6 +4,11 @@ import datetime as dt
 import gzip
 import os
 
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+
+from fernhill.operators.shaping import MissingColumns
 from fernhill.plans.jobs import catalogue_snapshot, cdn_view_points, load_reports, match_titles
 from fernhill.plans.loads import F_, LoadSpec, Period
 from fernhill.session import scratch_path
@@ -27,6 +32,34 @@ def test_load_reports_is_idempotent(spark):
     assert rows == [("20220105", 2, dt.date(2022, 1, 6)), ("20220106", 2, dt.date(2022, 1, 7))]
 
 
+def test_load_reports_refuses_changed_files(spark):
+    spec = LoadSpec("basic", (F_("date", "text", "date"), F_("views", "number", "views", "Views")))
+    src = scratch_path(spark, "t-p7") + "/channel-z/basic"
+    os.makedirs(local(src))
+    with open(f"{local(src)}/r.csv", "w") as f:
+        f.write("date,visits\n20220105,1\n")
+    out = scratch_path(spark, "t-p7-out")
+    with pytest.raises(MissingColumns):
+        load_reports(spark, f"{src}/r.csv", {"basic": spec}, out, run_id="r1")
+    assert not os.path.exists(local(out))
+    load_reports(spark, src, spec, out, run_id="r1", required=())      # absent columns as null, on request
+    assert [r.views for r in spark.read.parquet(out).collect()] == [None]
+    # the spec and the channel come from the path; another accepted name will do
+    with open(f"{local(src)}/r.csv", "w") as f:
+        f.write("date, Views\n20220105,1\n")
+    spec = LoadSpec("basic", spec.fields, constants=("channel_name",))
+    out = scratch_path(spark, "t-p10-out")
+    load_reports(spark, f"{src}/r.csv", {"basic": spec}, out, run_id="r1")
+    assert [(int(r.views), r.channel_name) for r in spark.read.parquet(out).collect()] == [(1, "channel-z")]
+    # a second file with other columns fails the load and leaves nothing behind
+    with open(f"{local(src)}/s.csv", "w") as f:
+        f.write("Views,date\n7,20220106\n")
+    out = scratch_path(spark, "t-p7-mixed")
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        load_reports(spark, src, spec, out, run_id="r1")
+    assert not os.path.exists(f"{local(out)}/_SUCCESS")
+
+
 def test_cdn_and_catalogue_jobs(spark):
     logs = scratch_path(spark, "t-e2")
     os.makedirs(local(logs))
@@ -52,7 +85,8 @@ def test_cdn_and_catalogue_jobs(spark):
 
 
 def test_match_titles_job(spark):
-    tmap = spark.createDataFrame([("Foo S01E02", None, None), ("Bar", None, None)],
+    odd = '"odd",\nback\\slash'
+    tmap = spark.createDataFrame([("Foo S01E02", None, None), ("Bar", None, None), (odd, None, None)],
                                  "title string, title_id string, itemset_id string")
     matches = spark.createDataFrame([("bar", "tt9", None, False, None)],
                                     "title string, title_id string, itemset_id string, has_match boolean, "
@@ -64,4 +98,5 @@ def test_match_titles_job(spark):
         "itemset_no int, item_no int")
     out = match_titles(spark, tmap, matches, cands, scratch_path(spark, "t-e3"))
     got = {r.title: (r.title_id, r.itemset_id, r.has_match) for r in out.collect()}
-    assert got == {"foo s01e02": ("tte1", "tts1", True), "bar": ("ttm1", None, True)}
+    assert got == {"foo s01e02": ("tte1", "tts1", True), "bar": ("ttm1", None, True),
+                   odd: ("No Results", "No Results", True)}

@@ -2,11 +2,13 @@
 with broadcasts switched off so the plans are the ones large inputs get)."""
 
 import contextlib
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from fernhill.operators.joins import not_in
+from fernhill.operators.resolve import resolve_titles, with_episode
 from fernhill.operators.snapshots import latest_per_key, weekday_snapshots
 from fernhill.operators.upsert import upsert
 from fernhill.operators.views import furthest_view
@@ -85,6 +87,57 @@ def test_load_projection_stays_in_the_jvm(spark):
     assert "Exchange" not in p
 
 
+def test_not_in_sends_each_subquery_key_once(spark):
+    left = spark.range(100).select(F.col("id").cast("string").alias("k"))
+    right = spark.range(1000).select((F.col("id") % 2).cast("string").alias("k"))
+    with no_broadcast(spark):
+        p = plan(not_in(left, right, "k"))
+    assert "keys=[__k" in p                                    # distinct, partly before its exchange
+    assert p.count("Exchange hashpartitioning") == 2
+    assert not_in(left, right, "k").count() == 98
+
+
+CANDIDATES = ("query string, position long, id string, kind string, year int, votes int, parent_id string, "
+              "itemset_no int, item_no int")
+
+
+def test_resolution_reads_candidates_once_and_joins_twice(spark):
+    titles = spark.range(10).select(F.concat(F.lit("t"), F.col("id")).alias("title"))
+    cand = spark.createDataFrame([("t1", 1, "m1", "movie", 2000, 60, None, None, None)], CANDIDATES)
+    with no_broadcast(spark):
+        p = plan(resolve_titles(titles, cand, assume_distinct=True))
+    assert p.count("SortMergeJoin") == 2                       # query lookup, episode lookup
+    assert p.count("Exchange hashpartitioning") <= 7
+
+
+def test_titles_without_an_episode_spread_over_tasks(spark):
+    rows = spark.range(20000).select(F.concat(F.lit("t"), F.col("id")).alias("title"), F.lit(None).cast("string").alias("p"),
+                                     F.lit(None).cast("int").alias("s"), F.lit(None).cast("int").alias("i"))
+    cand = spark.createDataFrame([("q", 1, "e1", "episode", 2000, 60, "t7", 1, 1)], CANDIDATES)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with no_broadcast(spark):
+            out = with_episode(rows, cand, "p", "s", "i", spread_by="title")
+            sizes = out.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 7000
+    assert out.where("episode_id IS NOT NULL").count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="test tables not present")
+@pytest.mark.parametrize("name", ["c1_furthest_view", "w1_latest_per_key", "f3_weekday", "c20_titles_to_match"])
+def test_plans_keep_their_shape_as_tables_grow(spark, name):
+    import re
+
+    import __spark_entry__ as E
+
+    with no_broadcast(spark):
+        small, large = (re.findall(r"\w*(?:Exchange|Join|Aggregate|Sort|Window\w*)\b", plan(E.queries()[name](spark, f"/root/testdata/{sf}")))
+                        for sf in ("sf0.01", "sf0.1"))
+    assert small == large
+
+
 def test_upsert_shuffles_the_source_once(spark):
     t = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("v"))
     s = spark.range(50, 150).select(F.col("id").alias("k"), F.lit("y").alias("v"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fernhill.operators.shaping import MissingColumns, keep_columns, require_columns
 from fernhill.plans.derive import xlsx_bytes
 from fernhill.session import scratch_path
-from fernhill.sinks.writers import append_load
+from fernhill.sinks.writers import append_load, write_report_csv
 from fernhill.sources.archive import read_archive_members
 from fernhill.sources.files import select_attachments, select_files
 from fernhill.sources.readers import read_access_log, read_report_csv
@@ -53,6 +53,31 @@ def test_report_csv_header_na_and_empty(spark):
     assert sorted(map(tuple, df2.collect()))[0] == ("1", None, "x")
 
 
+def test_report_csv_standard_quoting(spark):
+    p = scratch_path(spark, "t-quote")
+    write_text(p, "r.csv", 'a,n\n"a ""b"" c, d",1\n"two\nlines",2\n"back\\slash\\",3\n')
+    assert sorted(map(tuple, read_report_csv(spark, p, multiline=True).collect())) == [
+        ('a "b" c, d', "1"), ("back\\slash\\", "3"), ("two\nlines", "2")]
+
+
+TEXTS = ['say "hi", x', "two\nlines", "cr\r\nlf", "back\\slash\\", '"', "trail  ", "plain", "# no comment", None]
+
+
+def test_report_csv_round_trip(spark):
+    p = scratch_path(spark, "t-trip")
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(TEXTS)], "k string, v string")
+    write_report_csv(df, p, rows_per_file=2)
+    got = read_report_csv(spark, p, schema="k string, v string", multiline=True)
+    assert sorted(map(tuple, got.collect())) == [(str(i), v) for i, v in enumerate(TEXTS)]
+
+
+def test_report_csv_rejects(spark):
+    p = scratch_path(spark, "t-bad")
+    write_text(p, "r.csv", "a,b\n1,2\n3\n4,5,6\n")
+    df = read_report_csv(spark, p, corrupt_col="bad", na_values=["2"])
+    assert sorted(map(tuple, df.collect())) == [("1", None, None), ("3", None, "3"), ("4", "5", "4,5,6")]
+
+
 def test_require_and_keep_columns(spark):
     df = spark.createDataFrame([(1, 2)], "a int, `Completion %` int")
     assert keep_columns(df, ["Completion %"]).columns == ["Completion %"]
