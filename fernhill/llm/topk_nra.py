@@ -31,7 +31,7 @@ from .common import settle
 
 SCALE = 1024
 #: Shares of each list that have been read after each round.
-DEPTHS = (0.4, 0.6, 0.8)
+DEPTHS = (1 / 2, 3 / 4, 7 / 8)
 
 
 def _packed(rows: DataFrame, block_rows: int, name: str) -> DataFrame:
@@ -80,39 +80,46 @@ def _top(scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> np.nd
 
 
 class RowBlock:
-    """Rows with one sorted list per component."""
+    """Rows with one sorted list per component; ``data`` has a component per line."""
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray, data: np.ndarray):
-        self.ids, self.rows, self.data = ids, rows, data
-        self.lists = np.sort(data, axis=0)
+    def __init__(self, rows: np.ndarray, data: np.ndarray):
+        self.rows, self.data = rows, data
+        self.lists = np.sort(data, axis=1)
+
+    def _read(self, place: int, up: np.ndarray) -> np.ndarray:
+        """The value at ``place`` of each list, counted from the end that is read first."""
+        return np.where(up, self.lists[:, -1 - place], self.lists[:, place])
 
     def search(self, query: np.ndarray, own_row: int, k: int, floor: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Places and scores of all rows that can be among the k best; ``floor`` is a
         score that k other rows are known to reach."""
-        n = len(self.ids)
+        n = len(self.rows)
+        up = query > 0
         live = np.flatnonzero(self.rows != own_row)
-        if len(live) == 0:
-            return live, np.zeros(0, np.int64)
-        used = np.flatnonzero(query)
-        products = self.data[:, used] * query[used]
-        # products in reading order: the largest of each list first
-        best_first = np.where(query[used] > 0, self.lists[::-1][:, used], self.lists[:, used]) * query[used]
-        smallest = best_first[-1] if n else np.zeros(len(used), np.int64)
-        products = products[live]
+        products = self.data * query[:, None]
+        if len(live) < n:
+            products = products[:, live]
+        least = (self._read(n - 1, up) * query)[:, None]
         for depth in DEPTHS:
-            last = best_first[min(n - 1, int(n * depth))]
-            met = products > last
-            upper = np.where(met, products, last).sum(axis=1)
+            if len(live) <= k:
+                break
+            last = (self._read(min(n - 1, int(n * depth)), up) * query)[:, None]
+            if floor is not None:
+                # a product that was not met is at most the last one read
+                upper = np.maximum(products, last).sum(axis=0, dtype=products.dtype)
+                keep = np.flatnonzero(upper >= floor)
+                live, products = live[keep], products[:, keep]
             if len(live) > k:
-                lower = np.where(met, products, smallest).sum(axis=1)
+                lower = np.where(products > last, products, least).sum(axis=0, dtype=products.dtype)
                 kth = int(np.partition(lower, len(live) - k)[len(live) - k])
                 floor = kth if floor is None else max(floor, kth)
-            if floor is not None:
-                keep = upper >= floor
-                live, products = live[keep], products[keep]
-            if len(live) <= k:
-                break
-        return live, products.sum(axis=1)
+        return live, products.sum(axis=0, dtype=np.int64)
+
+
+def _narrow(data: np.ndarray, queries: np.ndarray) -> type:
+    """int32 if every sum of products fits it, else int64."""
+    most = max(int(np.abs(data).max(initial=0)), 1) * max(int(np.abs(queries).max(initial=0)), 1) * max(data.shape[1], 1)
+    return np.int32 if most < 2 ** 31 else np.int64
 
 
 def _search_pairs(k: int, part_rows: int):
@@ -127,9 +134,11 @@ def _search_pairs(k: int, part_rows: int):
                 data, queries = np.zeros((len(rows), width), np.int64), np.zeros((len(q_rows), width), np.int64)
                 data[:, :pair["width"]] = np.frombuffer(pair["data"], "<i8").reshape(len(rows), pair["width"])
                 queries[:, :pair["q_width"]] = np.frombuffer(pair["q_data"], "<i8").reshape(len(q_rows), pair["q_width"])
+                kind = _narrow(data, queries)
+                data, queries = np.ascontiguousarray(data.T, kind), queries.astype(kind)
                 best = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(q_rows)
                 for at in range(0, len(rows), part_rows):
-                    block = RowBlock(ids[at:at + part_rows], rows[at:at + part_rows], data[at:at + part_rows])
+                    block = RowBlock(rows[at:at + part_rows], data[:, at:at + part_rows])
                     for q in range(len(q_rows)):
                         places, scores = best[q]
                         floor = int(scores[-1]) if len(scores) >= k else None
