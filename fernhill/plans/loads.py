@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from ..functions import casts as X
 from ..operators.shaping import q
 from ..sources.readers import source_file_column
+from ..sources.workbook import sheet_rows
 
 # kind -> (cast builder over a text Column, Spark type of the result)
 _KINDS = {
@@ -166,6 +167,24 @@ def load_projection(df: DataFrame, spec: LoadSpec, run_id: str | None = None, st
     return typed
 
 
+def load_sheets(cells: DataFrame, spec: LoadSpec, run_id: str | None = None, start=None, end=None,
+                constants: Mapping[str, str] | None = None, **options) -> DataFrame:
+    """S5 + P1: sheets of a cells table -> the typed table of ``spec``.
+
+    ``options`` are those of ``sheet_rows``. Every accepted header name is looked for
+    in every sheet; of two spellings of one field the first that holds a value is taken.
+    The workbook's path is the source file and its sheet the ``sheet`` column.
+    """
+    wanted = [s.strip() for f in spec.fields for s in f.sources] + [c for c in spec.period.cols if c != "sheet"]
+    rows = sheet_rows(cells, names=list(dict.fromkeys(wanted)), **options)
+    by_name = {f.sources[0]: F.coalesce(*[F.col(q(s.strip())) for s in f.sources]).alias(f.sources[0]) for f in spec.fields}
+    for c in spec.period.cols:
+        by_name.setdefault(c, F.col(q(c)))
+    book = F.col("path").alias("workbook path")
+    return load_projection(rows.select(book, *by_name.values()), spec, run_id=run_id, start=start, end=end,
+                           constants=constants, source_key=F.col("`workbook path`"))
+
+
 def with_constants(df: DataFrame, **values) -> DataFrame:
     """Run constants as columns."""
     return df.select("*", *[F.lit(v).alias(k) for k, v in values.items()])

@@ -11,14 +11,15 @@ compared columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.shaping import keep_columns, q, require_columns, shape
 from ..session import scratch_path
 from ..sinks.writers import write_report_csv
 from ..sources.readers import read_report_csv
-from .loads import LoadSpec, load_projection, with_audit, with_constants
+from ..sources.workbook import parse_usecols
+from .loads import LoadSpec, load_projection, load_sheets, with_audit, with_constants
 from .registry import register, table, table_state
 from .specs import SPECS
 
@@ -234,6 +235,74 @@ for _job in SPECS:
     register(f"{_job}_{_JOB_NAMES[_job]}", sql=load_oracle_sql(_job))(_make(_job))
 
 
+# ------------------------------------------- workbook-shaped loads (S5 + P1)
+
+# job -> (sheet name or None for the month sheets, file columns in use, sheet options)
+SHEETS = {
+    "c11": ("Sheet1", None, {"sheet": 0, "skip_footer": 4}),
+    "c12": (None, "B:H", {"sheet_regex": [r"\d{2}\.\d{4}"], "skip": 4, "thousands": ",", "usecols": "B:H"}),
+    "c13": ("Sheet1", None, {"sheet": 0}),
+    "c14": ("VOD by Asset", "A:G,I,K,M", {"sheet": "VOD by Asset", "thousands": ",", "usecols": "A:G,I,K,M"}),
+}
+_BOOK_KEYS = 4096   # order keys a workbook: the number of books grows with the table
+
+
+def report_cells(spark: SparkSession, sf: str, job: str) -> DataFrame:
+    """The derived report of ``job`` as a cells table: books by order key, with skipped
+    rows, unused columns, footer rows, thousands marks and a sheet that is not wanted."""
+    spec = SPECS[job]
+    sheet, usecols, options = SHEETS[job]
+    cols = [(n, sql) for n, sql in report_columns(spec) if n != "sheet"]
+    marked = {s for f in spec.fields if f.kind == "int" for s in f.sources} if options.get("thousands") else set()
+    used = parse_usecols(usecols) if usecols else list(range(len(cols)))
+
+    def laid_out(values):
+        at = dict(zip(used, values))
+        return F.array(*[at.get(i, F.lit("unused")) for i in range(max(used) + 1)])
+
+    def text(name, sql):
+        return F.regexp_replace(F.expr(sql), r"^(\d+)(\d{3})\.", "$1,$2.") if name in marked else F.expr(sql)
+
+    sheet_sql = F.lit(sheet) if sheet else F.expr(dict(report_columns(spec))["sheet"])
+    folder = f"{QUARTER_FOLDER}/" if spec.period.how == "file_quarter" else ""
+    li = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.format_string(f"{folder}book-%d.xlsx", F.floor(F.col("l_orderkey") / _BOOK_KEYS)).alias("path"),
+        sheet_sql.alias("sheet"), (F.lit(0) if sheet else F.col("l_linenumber").cast("int")).alias("sheet_index"),
+        laid_out([text(n, sql) for n, sql in cols]).alias("cells"))
+    within = Window.partitionBy("path", "sheet")
+    skip, footer = options.get("skip", 0), options.get("skip_footer", 0)
+    li = li.select("*", F.row_number().over(within.orderBy("l_orderkey", "l_linenumber")).alias("n"),
+                   F.count("*").over(within).cast("int").alias("size"))
+
+    def line(row, cells, of=None):
+        return F.struct(F.lit(of).cast("string").alias("sheet") if of else F.col("sheet"),
+                        (F.lit(9) if of else F.col("sheet_index")).alias("sheet_index"), row.cast("int").alias("row"),
+                        (F.lit(1) if of else F.col("size") + skip + footer).cast("int").alias("last_row"), cells.alias("cells"))
+
+    head = laid_out([F.lit(n) for n, _ in cols])
+    own = line(F.col("n") + skip, F.col("cells"))
+    around = [*(line(F.lit(i), F.array(F.lit("note"))) for i in range(skip)), line(F.lit(skip), head),
+              *(line(F.col("size") + skip + 1 + i, F.array(F.lit("Total"))) for i in range(footer)),
+              line(F.lit(0), head, "Notes"), line(F.lit(1), F.array(F.lit("not a report row")), "Notes")]
+    lines = F.when(F.col("n") == 1, F.array(own, *around)).otherwise(F.array(own))
+    return li.select("path", F.explode(lines).alias("line")).select("path", "line.*")
+
+
+def _make_sheets(job: str):
+    def build(spark, sf):
+        options = SHEETS[job][2]
+        return load_sheets(report_cells(spark, sf, job), SPECS[job], run_id=RUN_ID, start=RUN_START, end=RUN_END,
+                           constants=CONSTANTS, **options).drop(*COMPARED_DROP)
+
+    build.__name__ = f"{job}_sheet_{_JOB_NAMES[job]}"
+    build.__doc__ = f"{job.upper()}: typed load '{SPECS[job].name}' from the sheets of a cells table."
+    return build
+
+
+for _job in SHEETS:
+    register(f"{_job}_sheet_{_JOB_NAMES[_job]}", sql=load_oracle_sql(_job))(_make_sheets(_job))
+
+
 # --------------------------------------------------- projection pieces (P*)
 
 @register("p1_load_projection", sql=load_oracle_sql("c5"))

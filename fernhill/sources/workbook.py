@@ -19,6 +19,8 @@ import re
 import zipfile
 from collections.abc import Iterator, Sequence
 from datetime import datetime, timedelta
+from functools import reduce
+from operator import or_
 from xml.etree import ElementTree as ET
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -230,18 +232,22 @@ def _thousands(c: Column, mark: str) -> Column:
     return F.when(looks_numeric, plain).otherwise(c)
 
 
-def sheet_rows(cells: DataFrame, sheet: str | int | None = None, sheet_regex: str | None = None,
+def sheet_rows(cells: DataFrame, sheet: str | int | None = None, sheet_regex: str | Sequence[str] | None = None,
                header: int | None = 0, skip: int = 0, skip_footer: int = 0,
                usecols: str | Sequence[int] | None = None, thousands: str | None = None,
                names: Sequence[str] | None = None) -> DataFrame:
     """S5 options as column work. Returns (path, sheet, row, <named text columns>).
 
-    Sheet choice: by name, by index, by full-match regex, or all. ``skip`` rows
-    are dropped, row ``header`` (counted after the skip) names the columns,
-    ``skip_footer`` last rows of each sheet are dropped, ``usecols`` keeps column
-    positions (Excel letters allowed), ``thousands`` removes the mark from
-    numeric-looking cells. Header names are read from the header rows only (one
-    row per sheet) to build the projection; data rows never leave the executors.
+    Sheet choice: by name, by index, by one or more regexes that match the start of
+    the sheet's name, or all. ``skip`` rows are dropped, row ``header`` (counted
+    after the skip) names the columns, ``skip_footer`` last rows of each sheet are
+    dropped, ``usecols`` keeps column positions (Excel letters allowed),
+    ``thousands`` removes the mark from numeric-looking cells.
+
+    ``names`` are the header names to turn into columns; one that a sheet lacks is
+    null there. Without them the result has one column ``cells``, a map from header
+    name to cell: headers differ between sheets, and finding them all would be a job
+    of its own. Blank header names and the later of two equal ones are left out.
     """
     df = cells
     if isinstance(sheet, int):
@@ -249,7 +255,8 @@ def sheet_rows(cells: DataFrame, sheet: str | int | None = None, sheet_regex: st
     elif isinstance(sheet, str):
         df = df.where(F.col("sheet") == sheet)
     if sheet_regex:
-        df = df.where(F.col("sheet").rlike(f"^(?:{sheet_regex})$"))
+        starts = [sheet_regex] if isinstance(sheet_regex, str) else sheet_regex
+        df = df.where(reduce(or_, [F.col("sheet").rlike(f"^(?:{x})") for x in starts]))
     df = df.where(F.col("row") >= skip)
     if skip_footer:
         df = df.where(F.col("row") <= F.col("last_row") - skip_footer)
@@ -271,23 +278,16 @@ def sheet_rows(cells: DataFrame, sheet: str | int | None = None, sheet_regex: st
         # the reader attached the header row of each sheet (see read_workbook_cells)
         body = df.where((F.col("row") > head_row) & F.col("header").isNotNull()) \
             .select("path", "sheet", "row", cells_c.alias("cells"), cut(F.col("header")).alias("_head"))
-        heads = None
     else:
+        # one header row a sheet; how they meet the rows is left to Spark's own size check
         heads = df.where(F.col("row") == head_row).select("path", "sheet", cut(F.col("cells")).alias("_head"))
-        body = df.where(F.col("row") > head_row).select("path", "sheet", "row", cells_c.alias("cells"))
-        # one header row per sheet: a small, bounded broadcast
-        body = body.join(F.broadcast(heads), ["path", "sheet"])
-    if names is None:
-        src = heads if heads is not None else body.select("_head")
-        # bounded: one header per selected sheet
-        seen: list[str] = []
-        for r in src.select("_head").distinct().collect():
-            for h in r["_head"]:
-                h = (h or "").strip()
-                if h and h not in seen:
-                    seen.append(h)
-        names = seen
+        body = df.where(F.col("row") > head_row).select("path", "sheet", "row", cells_c.alias("cells")) \
+            .join(heads, ["path", "sheet"])
     trimmed = F.transform("_head", lambda h: F.coalesce(F.trim(h), F.lit("")))
+    if names is None:
+        known = F.filter(trimmed, lambda h, i: (h != "") & (F.array_position(trimmed, h) == i + 1))
+        pairs = F.transform(known, lambda h: F.struct(h, F.try_element_at("cells", F.array_position(trimmed, h).cast("int"))))
+        return body.select("path", "sheet", "row", F.map_from_entries(pairs).alias("cells"))
 
     def pick(n: str) -> Column:
         pos = F.array_position(trimmed, F.lit(n)).cast("int")

@@ -102,12 +102,49 @@ def test_workbook_reader_options(spark):
     for header_row in (None, 2):
         cells = read_workbook_cells(spark, files, header_row=header_row)
         rows = sheet_rows(cells, sheet_regex=r"\d{2}\.\d{4}", skip=2, skip_footer=1, usecols="A:B,D",
-                          thousands=",")
+                          thousands=",", names=["Name", "Qty", "Day"])
         got = sorted((r.sheet, r.Name, r.Qty, r.Day) for r in rows.collect())
         assert got == [("05.2022", "a", "1234", "2022-05-03 00:00:00"), ("05.2022", "b", "7", "2022-05-04 00:00:00"),
                        ("06.2022", "c", "2", None)], header_row
     one = sheet_rows(read_workbook_cells(spark, files), sheet=0, header=0)
-    assert one.columns == ["path", "sheet", "row", "x"] and one.count() == 0
+    assert one.columns == ["path", "sheet", "row", "cells"] and one.count() == 0
+
+
+def test_sheets_are_chosen_by_the_start_of_their_names(spark):
+    """Several regexes; headers that differ, repeat or are blank; no names given."""
+    def sheet(name, i, *lines):
+        return [("b.xlsx", name, i, n, len(lines) - 1, list(c)) for n, c in enumerate(lines)]
+
+    cells = spark.createDataFrame(
+        sheet("01.2022 final", 0, ("Name", "Qty", "Qty", None), ("a", "1", "2", "3"), ("b",))
+        + sheet("Extra", 1, (" Name ", "Day"), ("c", "d")) + sheet("x 02.2022", 2, ("Name",), ("e",)),
+        "path string, sheet string, sheet_index int, row int, last_row int, cells array<string>")
+    chosen = [r"\d{2}\.\d{4}", "Ext"]
+    named = sheet_rows(cells, sheet_regex=chosen, names=["Name", "Qty", "Day"])
+    assert sorted(((r.sheet, r.Name, r.Qty, r.Day) for r in named.collect()), key=str) == [
+        ("01.2022 final", "a", "1", None), ("01.2022 final", "b", None, None), ("Extra", "c", None, "d")]
+    mapped = sheet_rows(cells, sheet_regex=chosen)
+    assert sorted((r.sheet, sorted(r.cells.items(), key=str)) for r in mapped.collect()) == [
+        ("01.2022 final", [("Name", "a"), ("Qty", "1")]), ("01.2022 final", [("Name", "b"), ("Qty", None)]),
+        ("Extra", [("Day", "d"), ("Name", "c")])]
+
+
+def test_sheets_load_by_a_spec(spark):
+    """Footer rows, a misspelt header in one of two books, a header that is absent."""
+    from fernhill.plans.loads import F_, LoadSpec, Period, load_sheets
+
+    def book(path, *lines):
+        return [(path, "Sheet1", 0, n, len(lines) - 1, list(c)) for n, c in enumerate(lines)]
+
+    cells = spark.createDataFrame(
+        book("a.xlsx", ("Title", "Share"), ("t1", "1.5"), ("Total", "1.5"))
+        + book("b.xlsx", ("Share", "Tittle"), ("2.5", "t2"), ("9", "Total")),
+        "path string, sheet string, sheet_index int, row int, last_row int, cells array<string>")
+    spec = LoadSpec("s", (F_("title", "text", "Title", "Tittle"), F_("share", "float", "Share"), F_("units", "int", "Units")),
+                    Period("params"))
+    out = load_sheets(cells, spec, run_id="r", start="2024-01-01", end="2024-01-08", sheet=0, skip_footer=1)
+    assert sorted((r.title, r.share, r.units, r.source_key, r.run_id) for r in out.collect()) == [
+        ("t1", 1.5, None, "a.xlsx", "r"), ("t2", 2.5, None, "b.xlsx", "r")]
 
 
 def test_archive_members(spark):
