@@ -10,11 +10,16 @@ labelled shingles and for the first occurrences alone, and the smaller counts, s
 line repeated in both does not make two texts alike. Links have 0.8 or more; classes are the
 connected components of the links.
 
-A bucket is never expanded into its pairs. Its members are held against three of them: the one
+A bucket is never expanded into its pairs. Its members are first held against three of them: the one
 that meets the most others over all buckets, and two by hash. Pairs whose lengths or 20 minima rule
-out the threshold are left out; of the others each document's most similar pair is aligned first, and
+out the threshold wait; of the others each document's most similar pair is aligned first, and
 then all that would still join two classes. Equal word sequences are one node from the start.
 
+Members of buckets that are then still in several classes, as in a family whose members share a passage but
+are not similar, are held against one another by an exact prefix filter: shingles are ordered, frequent ones
+last, and two texts at the threshold share one among the first fifth of both. Each such
+pair of different classes is aligned, whatever its minima.
+
 Defined cases: null text is empty; a text without words is a class of its own; a text of one to four
 words is one shingle; a class has the smallest id that is not null; repeated rows are equal
 texts. Other columns are ignored by ``near_classes`` and kept by ``drop_near``. An empty table gives an empty result.
@@ -38,9 +43,12 @@ from .textvec import BASE_WORDS_2, inverse, mix, places, powers, window_hashes,
 SHINGLE = 5
 SKETCHES = 20
 TAKEN = 3
-#: Of the 20 minima so many at least must agree before a pair is aligned; at a similarity of 0.8, 16 do on average and 99.9 % of pairs reach 10.
+#: Of the 20 minima so many at least must agree before a pivot's pair is aligned; at a similarity of 0.8, 16 do on average and 99.9 % of pairs reach 10.
+#: The others are left to the prefix filter.
 AGREE = 10
 FILTER_MB = 32
+#: Shingles that more rows than this have come last in the order of the prefix filter; this changes nothing but time.
+FREQUENT = 8
 #: The bit of a labelled shingle that marks first occurrences; it is the lowest of the upper 32.
 FIRST = np.uint64(1 << 32)
 
@@ -235,8 +243,8 @@ def components(edges: DataFrame) -> DataFrame:
         labels = labels.drop("old")
 
 
-def _likely_pairs(nodes: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b, agree) of a bucket's member and one of its three pivots."""
+def _likely_pairs(nodes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b, agree) of a bucket's member and one of its three pivots; node, bucket of all shared buckets."""
     by_hash = F.struct(F.xxhash64("node", "bucket").alias("h"), "node")
     buckets = nodes.select("node", F.explode("keys").alias("bucket"))
     shared = settle(buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "near-buckets")
@@ -251,7 +259,64 @@ def _likely_pairs(nodes: DataFrame, threshold: float) -> DataFrame:
     side = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"{c}_n"), F.col("minima").alias(f"{c}_min"))
     told = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n"))
     agree = F.aggregate(F.zip_with("a_min", "b_min", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    return settle(told.select("a", "b", agree.alias("agree")).where(F.col("agree") >= AGREE), "near-likely")
+    return settle(told.select("a", "b", agree.alias("agree")).where(F.col("agree") >= AGREE), "near-likely"), members.select("node", "bucket")
+
+
+def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """node, label of the members of buckets that hold several classes."""
+    told = settle(members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "near-told")
+    several = told.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
+    return settle(told.join(several, "bucket").select("node", "label").distinct(), "near-unsettled")
+
+
+def _frequent_map(shingles: DataFrame):
+    """A broadcast bit map of the shingles that many of the rows have; bounded, may hold others by chance."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, n = np.unique(np.concatenate([np.unique(np.frombuffer(x.as_py(), "<u4")) for x in batch.column(0)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(mix(found.astype(np.uint64)).view(np.int64)), pa.array(n)], names=["h", "n"])
+
+    often = settle(shingles.select("shingles").mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where(
+        F.col("n") > FREQUENT).select("h"), "near-frequent")
+    return shingles.sparkSession.sparkContext.broadcast(bit_map(often, often.count(), FILTER_MB))
+
+
+def prefix_pairs(unsettled: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
+    """All pairs (a, b) of nodes with different labels that can reach the threshold, and some others.
+
+    Of n shingles, a pair at threshold t shares m >= t / (1 + t) (n_a + n_b). So in any order the first
+    shared one has at most n - m others before it in either text: it is among the first
+    (1 - 2 t / (1 + t)) n + 1 of the shorter and the first (1 - t) n + 1 of the longer."""
+    frequent = _frequent_map(shingles)
+
+    def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, found = [], []
+            for x in batch.column(2):
+                own = np.frombuffer(x.as_py(), "<u4")
+                sizes.append(len(own))
+                own = mix(np.unique(own).astype(np.uint64))
+                order = np.lexsort((own, in_map(frequent.value, own)))
+                found.append(own[order[:int((1 - threshold) * sizes[-1] + 1e-6) + 1]])
+            counts = np.array([len(f) for f in found])
+            row, place = places(counts)
+            n = np.array(sizes)[row]
+            short = place <= (1 - 2 * threshold / (1 + threshold)) * n + 1e-6
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(pa.array(row)) for c in (0, 1)), pa.array(np.concatenate(found).view(np.int64)), pa.array(n), pa.array(place), pa.array(short)],
+                names=["node", "label", "shingle", "n", "place", "short"])
+
+    rows = settle(unsettled.join(shingles, "node").select("node", "label", "shingles").mapInArrow(
+        first_ones, "node binary, label binary, shingle bigint, n bigint, place bigint, short boolean"), "near-prefixes")
+    several = rows.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("short").alias("any")).where(
+        "lo <> hi AND any").select("shingle")
+    rows = settle(rows.join(several, "shingle"), "near-prefixes")
+    a, b = rows.where("short").alias("a"), rows.alias("b")
+    need = F.lit(threshold / (1 + threshold)) * (F.col("a.n") + F.col("b.n")) - 1e-6
+    can = ((F.col("a.label") != F.col("b.label")) & ((F.col("a.n") < F.col("b.n")) | (F.col("a.n") == F.col("b.n")) & (F.col("a.node") < F.col("b.node")))
+           & (F.col("a.n") - F.col("a.place") >= need) & (F.col("b.n") - F.col("b.place") >= need) & (F.col("a.n") >= need))
+    return settle(a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & can).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "near-within")
 
 
 def near_nodes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -260,7 +325,7 @@ def near_nodes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
     signed = settle(signatures(docs, id_col, text_col), "near-signatures")
     nodes = settle(signed.where("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.min("n").alias("n"), F.first("keys").alias("keys"), F.first("minima").alias("minima")), "near-nodes")
-    likely = _likely_pairs(nodes, threshold)
+    likely, members = _likely_pairs(nodes, threshold)
     ends = settle(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-ends")
     shingles = settle(shingle_rows(docs, ends, text_col), "near-shingles")
     # each document's most similar pair first, then what would still join two classes
@@ -272,7 +337,10 @@ def near_nodes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
     rest = likely.join(best, ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left").where(
         F.coalesce("a_label", "a") != F.coalesce("b_label", "b"))
     more = _align(settle(rest, "near-rest"), shingles, threshold, "near-links")
-    labels = components(links.union(more))
+    links = links.union(more)
+    unsettled = _unsettled(members, components(links))
+    shingles = settle(shingle_rows(docs, unsettled.select("node"), text_col).join(unsettled.select("node"), "node"), "near-shingles")
+    labels = components(links.union(_align(prefix_pairs(unsettled, shingles, threshold), shingles, threshold, "near-links")))
     known = nodes.select("node", "least", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     classes = settle(known.groupBy("label").agg(
         F.min("least").alias("class_id"), F.sum("copies").alias("class_size"),

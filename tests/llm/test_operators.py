@@ -171,6 +171,44 @@ def test_near_copies_against_all_pairs(spark):
     assert got == want
 
 
+def test_near_copies_inside_a_large_family(spark):
+    """Members share 85 % of their shingles with the family and are not similar; planted pairs among them are."""
+    rng = np.random.default_rng(11)
+    base = [f"w{rng.integers(10 ** 9)}" for _ in range(400)]
+    rows, want = [], {}
+
+    def add(words, of):
+        rows.append((len(rows), " ".join(words)))
+        want[len(rows) - 1] = of
+
+    for g in range(2000):
+        # one run of 15 % of the text is the member's own, at the same place in all
+        at = 170
+        text = base[:at] + [f"o{g}x{k}" for k in range(60)] + base[at + 60:]
+        add(text, len(rows))
+        if g % 20 == 0:
+            of, own = len(rows) - 1, list(text)
+            # its copy changes 32 to 40 of these words, so 0.80 to 0.84 stay alike, little more than in any two members
+            much = 32 + g // 20 % 9
+            start = at + 60 - much
+            own[start:start + much] = [f"c{g}x{k}" for k in range(much)]
+            add(own, of)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    shingles = lambda t: np.unique([hash(tuple(t[i:i + 5])) for i in range(len(t) - 4)])
+    like = lambda x, y: len(np.intersect1d(x, y)) / len(np.union1d(x, y))
+    sets = [shingles(t.split()) for _, t in rows]
+    planted = [(a, b) for b, a in want.items() if a != b]
+    assert all(0.8 <= like(sets[a], sets[b]) < 0.87 for a, b in planted)
+    got = {r.doc_id: r.class_id for r in order_minhash.near_classes(docs).collect()}
+    assert [p for p in planted if got[p[0]] != got[p[1]]] == []
+    # texts of one class are linked by pairs at the threshold
+    groups = defaultdict(list)
+    for i, c in got.items():
+        groups[c].append(i)
+    for own in groups.values():
+        assert all(any(like(sets[i], sets[j]) >= 0.8 for j in own if j != i) for i in own) or len(own) == 1
+
+
 def test_alignment_is_the_ordered_overlap():
     a = np.arange(2, 202, 2, dtype=np.uint32)
     b = a.copy()
