@@ -4,9 +4,9 @@ A document is the sequence of its five-word shingles, each labelled with its occ
 number (Marçais et al.). A sketch takes the three labelled shingles that are smallest under
 one of 20 hash orders, in the order of the text; documents with an equal sketch meet in a
 bucket. The similarity of two documents is that of their best alignment: matches /
-(shingles of both - matches), where matches are labelled shingles that stand in the
-same order and not further off the diagonal than a pair at the threshold can be. It is taken for all
-labelled shingles and for the first occurrences alone, and the smaller counts, so that one
+(shingles of both - matches), where matches are the longest common subsequence of the shingles without
+labels, so that a repeat dropped early does not shift all later ones. It is taken for all
+shingles and for the first occurrences alone, and the smaller counts, so that one
 line repeated in both does not make two texts alike. Links have 0.8 or more; classes are the
 connected components of the links.
 
@@ -63,8 +63,9 @@ def _sequence_hash(words: np.ndarray, counts: np.ndarray, base: int) -> np.ndarr
     return mix((sums[ends] - sums[begins]) * scale[begins] + counts.astype(np.uint64))
 
 
-def labelled_shingles(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Shingles labelled with their occurrence in text order, shingles per row, and two hashes of each row's words."""
+def labelled_shingles(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles labelled with their occurrence in text order, shingles per row, two hashes of each row's
+    words, and 31 bits of the shingles without labels over a lowest bit that marks first occurrences."""
     one, two = _sequence_hash(words, counts, 0x2545F4914F6CDD1D), _sequence_hash(words, counts, BASE_WORDS_2)
     row, place = places(counts)
     hashes = window_hashes(words, SHINGLE)
@@ -83,7 +84,8 @@ def labelled_shingles(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray
     labelled = mix(hashes + occurrence * np.uint64(BASE_WORDS_2))
     # the middle bit tells first occurrences from others
     labelled = np.where(occurrence == 0, labelled | FIRST, labelled & ~FIRST)
-    return labelled, np.bincount(row, minlength=len(counts)), one, two
+    plain = (hashes >> np.uint64(32)).astype("<u4") & ~np.uint32(1) | (occurrence == 0)
+    return labelled, np.bincount(row, minlength=len(counts)), one, two, plain.astype("<u4")
 
 
 def sketch_rows(shingles: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +131,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, words, counts in word_slices(batch.column(1)):
-                shingles, n, one, two = labelled_shingles(words, counts)
+                shingles, n, one, two, _ = labelled_shingles(words, counts)
                 some = n > 0
                 keys, minima = sketch_rows(shingles, n[some]) if some.any() else (np.zeros((0, SKETCHES), np.uint64), np.zeros((0, SKETCHES), np.uint32))
                 listed = lambda m, kind: pa.ListArray.from_arrays(
@@ -159,15 +161,14 @@ def _node_map(nodes: DataFrame):
 
 
 def shingle_rows(docs: DataFrame, nodes: DataFrame, text_col: str) -> DataFrame:
-    """node, shingles (their upper 32 bits in text order), once for each of the (distinct, written) nodes, and some others."""
+    """node, shingles (without labels, 32 bits each in text order), once for each of the (distinct, written) nodes, and some others."""
     wanted = _node_map(nodes)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, words, counts in word_slices(batch.column(0)):
-                shingles, n, one, two = labelled_shingles(words, counts)
+                _, n, one, two, small = labelled_shingles(words, counts)
                 ends = np.cumsum(n)
-                small = (shingles >> np.uint64(32)).astype("<u4")
                 _, first = np.unique(_fold(one, two), return_index=True)
                 some = first[(n[first] > 0) & in_map(wanted.value, _fold(one, two)[first])]
                 yield pa.RecordBatch.from_arrays(
@@ -176,37 +177,83 @@ def shingle_rows(docs: DataFrame, nodes: DataFrame, text_col: str) -> DataFrame:
     return _texts(docs, text_col).mapInArrow(emit, "node binary, shingles binary").groupBy("node").agg(F.min("shingles").alias("shingles"))
 
 
+def relabelled(plain: np.ndarray) -> np.ndarray:
+    """A row's shingles, each hashed with its occurrence number."""
+    value = plain >> 1
+    order = np.argsort(value, kind="stable")
+    nth = np.arange(len(order))
+    again = np.r_[False, value[order][1:] == value[order][:-1]][:len(order)]
+    occurrence = np.empty(len(order), np.uint64)
+    occurrence[order] = nth - np.maximum.accumulate(np.where(again, 0, nth))
+    return mix(value.astype(np.uint64) + occurrence * np.uint64(BASE_WORDS_2))
+
+
+def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
+    """Length of the longest common subsequence, a row of the table at a time as the bits of one integer (Hyyrö)."""
+    order = np.argsort(b, kind="stable")
+    values, begins, counts = np.unique(b[order], return_index=True, return_counts=True)
+    masks: dict[int, int | list[int]] = {}
+    for value, begin, count in zip(values.tolist(), begins.tolist(), counts.tolist(), strict=True):
+        at = order[begin:begin + count]
+        if count > 64:
+            flags = np.zeros(len(b), np.uint8)
+            flags[at] = 1
+            masks[value] = int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+        else:
+            masks[value] = at.tolist()  # masks of rare shingles would together take the square of the length
+    every = left = (1 << len(b)) - 1
+    for value in a.tolist():
+        mask = masks.get(value, 0)
+        if isinstance(mask, list):
+            mask = sum(1 << k for k in mask)
+        met = left & mask
+        left = ((left + met) | (left - met)) & every
+    return len(b) - left.bit_count()
+
+
 def alignment(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
-    """Similarity by the best alignment inside the band, 0 if below the threshold for sure."""
+    """Similarity by the best alignment, 0 if below the threshold for sure."""
     total = len(a) + len(b)
-    # matches >= t (total - matches), so the unmatched of both, which the path can stray by, are at most:
-    need = threshold / (1 + threshold) * total
-    band = int(total - 2 * need) + 1
-    order = np.argsort(b, kind="stable")
-    at = np.searchsorted(b[order], a)
-    at[at == len(b)] = 0
-    where = order[at]
-    i = np.flatnonzero((b[where] == a) & (np.abs(where - np.arange(len(a))) <= band))
-    if len(i) < need - 1e-9:
+    # matches >= t (total - matches)
+    need = threshold / (1 + threshold) * total - 1e-9
+    if min(len(a), len(b)) < need:
+        return 0.0
+    # equal beginnings and ends belong to a best alignment, and shingles of one text alone to none
+    same = min(len(a), len(b))
+    other = np.flatnonzero(a[:same] != b[:same])
+    head = int(other[0]) if len(other) else same
+    a, b, same = a[head:], b[head:], same - head
+    other = np.flatnonzero(a[len(a) - same:][::-1] != b[len(b) - same:][::-1])
+    tail = int(other[0]) if len(other) else same
+    a, b = a[:len(a) - tail], b[:len(b) - tail]
+    a, b = a[np.isin(a, b)], b[np.isin(b, a)]
+    _, times_a = np.unique(a, return_counts=True)
+    _, times_b = np.unique(b, return_counts=True)
+    if head + tail + np.minimum(times_a, times_b).sum() < need:
         return 0.0
-    where = where[i]
-    if np.all(where[1:] > where[:-1]):
-        matches = len(where)
+    if len(times_a) == len(a) and len(times_b) == len(b):
+        order = np.argsort(b)
+        where = order[np.searchsorted(b[order], a)]
+        if np.all(where[1:] > where[:-1]):
+            matches = len(where)
+        else:
+            tails: list[int] = []
+            for w in where.tolist():
+                k = bisect_left(tails, w)
+                if k == len(tails):
+                    tails.append(w)
+                else:
+                    tails[k] = w
+            matches = len(tails)
     else:
-        tails: list[int] = []
-        for w in where.tolist():
-            k = bisect_left(tails, w)
-            if k == len(tails):
-                tails.append(w)
-            else:
-                tails[k] = w
-        matches = len(tails)
+        matches = common_subsequence(a, b)
+    matches += head + tail
     return matches / (total - matches)
 
 
 def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
     """Whether all shingles, and the first occurrences alone, align at the threshold."""
-    if alignment(a, b, threshold) < threshold:
+    if alignment(a >> 1, b >> 1, threshold) < threshold:
         return False
     first_a, first_b = a[a & 1 > 0], b[b & 1 > 0]
     return len(first_a) + len(first_b) == len(a) + len(b) or alignment(first_a, first_b, threshold) >= threshold
@@ -274,8 +321,8 @@ def _frequent_map(shingles: DataFrame):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, n = np.unique(np.concatenate([np.unique(np.frombuffer(x.as_py(), "<u4")) for x in batch.column(0)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(mix(found.astype(np.uint64)).view(np.int64)), pa.array(n)], names=["h", "n"])
+            found, n = np.unique(np.concatenate([relabelled(np.frombuffer(x.as_py(), "<u4")) for x in batch.column(0)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["h", "n"])
 
     often = settle(shingles.select("shingles").mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where(
         F.col("n") > FREQUENT).select("h"), "near-frequent")
@@ -294,9 +341,8 @@ def prefix_pairs(unsettled: DataFrame, shingles: DataFrame, threshold: float) ->
         for batch in batches:
             sizes, found = [], []
             for x in batch.column(2):
-                own = np.frombuffer(x.as_py(), "<u4")
+                own = relabelled(np.frombuffer(x.as_py(), "<u4"))
                 sizes.append(len(own))
-                own = mix(np.unique(own).astype(np.uint64))
                 order = np.lexsort((own, in_map(frequent.value, own)))
                 found.append(own[order[:int((1 - threshold) * sizes[-1] + 1e-6) + 1]])
             counts = np.array([len(f) for f in found])

@@ -219,6 +219,33 @@ def test_alignment_is_the_ordered_overlap():
     assert order_minhash.alignment(a, moved, 0.8) < 0.8
 
 
+def test_repeated_line_removed_near_the_start():
+    """Later repeats are not shifted by one that is gone, whatever their share of the text."""
+    import pyarrow as pa
+
+    from fernhill.llm import textvec
+
+    line = [f"line{k}" for k in range(20)]
+    text = [w for n in range(100) for w in [*line, *(f"u{n}x{k}" for k in range(8))]]
+    _, _, words, counts = next(textvec.word_slices(pa.array([" ".join(text), " ".join(text[20:]), " ".join(text[::-1])])))
+    *_, n, _, _, plain = order_minhash.labelled_shingles(words, counts)
+    whole, cut, back = np.split(plain, np.cumsum(n)[:2])
+    assert order_minhash.alignment(whole >> 1, cut >> 1, 0.8) > 0.98
+    assert order_minhash.similar(whole, cut, 0.8) and not order_minhash.similar(whole, back, 0.8)
+
+
+def test_common_subsequence_against_the_table():
+    rng = np.random.default_rng(4)
+    for letters in (2, 5, 40, 1000):
+        a, b = rng.integers(0, letters, 150), rng.integers(0, letters, 130)
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last, row = row, [0]
+            for k, y in enumerate(b):
+                row.append(last[k] + 1 if x == y else max(last[k + 1], row[k]))
+        assert order_minhash.common_subsequence(a, b) == row[-1]
+
+
 def test_packing(odd, none):
     from tokenizers import Tokenizer
 
