@@ -8,8 +8,8 @@ gaps of the squared number of open sequences with that gap becomes smallest, and
 a sequence only where no open one has room. So each task leaves about one sequence unfilled.
 
 Defined cases: null text is an empty one, that is the end id alone; a null or repeated
-doc_id is packed like any other; an empty table gives an empty result. Special token
-strings in a text are ordinary text. Other columns of the documents are ignored.
+doc_id is packed like any other; an empty table gives an empty result. A text that
+holds an added token of the tokenizer file gets its id there. Other columns of the documents are ignored.
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class ChunkEncoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes.
+    """Ids of whole texts as little-endian unsigned 32-bit bytes; added tokens are ordinary text here.
 
     The vocabulary is read with ``tokenizers``; since its ids are ranks, ``tiktoken``
     merges the chunks by it, which takes less than half the time for the same ids."""
@@ -77,10 +77,29 @@ class ChunkEncoder:
             yield b"".join([recent[c] for c in chunks])
 
 
+class TextEncoder:
+    """Ids of whole texts as ``tokenizers`` gives them: texts that hold an added token go through
+    it, all others, whose chunks stand for themselves, through the faster encoder."""
+
+    def __init__(self, tokenizer_path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.chunks = ChunkEncoder(tokenizer_path)
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        holds = [self.added is not None and self.added.search(t) is not None for t in texts]
+        others = self.chunks.encode([t for t, h in zip(texts, holds, strict=True) if not h])
+        for text, held in zip(texts, holds, strict=True):
+            yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if held else next(others)
+
+
 @lru_cache(maxsize=1)
-def encoder_of(tokenizer_path: str) -> ChunkEncoder:
+def encoder_of(tokenizer_path: str) -> TextEncoder:
     """A Python worker keeps its encoder from task to task."""
-    return ChunkEncoder(tokenizer_path)
+    return TextEncoder(tokenizer_path)
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, id_col: str = "doc_id",

@@ -303,6 +303,16 @@ def test_chunks_do_not_change_ids():
     assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_added_tokens_get_their_ids(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    texts = ["<|endoftext|>", "one <|endoftext|> two<|endoftext|><|endoftext|>\n three", "plain  text", "", "<|endoftext", "a <|other|> b"]
+    assert 50256 in tokenizer.encode(texts[1], add_special_tokens=False).ids
+    got = packing.token_pieces(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), tokenizer_path(), with_ids=True).collect()
+    assert {r.doc_id: r.ids for r in got} == {n: tokenizer.encode(t, add_special_tokens=False).ids + [0] for n, t in enumerate(texts)}
+
+
 def test_quality(odd, none, odd_labels):
     got = quality_qda.quality_scores(odd, odd_labels).collect()
     assert len(got) == odd.count() and all(0 <= r.score <= 1 for r in got)
