@@ -6,11 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import anchor_dedup, exact_dedup, jump_shards, language_svm, order_minhash, packing, quality_qda, source_mix, topk_nra, toxicity_kn
+from . import (
+    anchor_dedup, centroids, exact_dedup, interpolated_lm, jump_shards, language_svm, order_minhash, packing, quality_qda, source_mix, spelling, topk_nra,
+    toxicity_kn)
 from .common import held_out, read_table
 
 QUALITY_THRESHOLD, TOXIC_THRESHOLD = 0.3, 0.5
 LABEL_FOLDS, LABEL_FOLD, LANG_FOLDS, LANG_FOLD = 5, 0, 4, 2
+LM_FOLDS, LM_FOLD = 7, 2
 
 
 def tokenizer_path() -> str:
@@ -72,9 +75,47 @@ def op10_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(read_table(spark, sf_dir, "documents"))
+
+
+def op12_simplex_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_report(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = held_out(F.col("doc_id"), LM_FOLDS, LM_FOLD)
+    return interpolated_lm.text_scores(read_table(spark, sf_dir, "documents"), ~out).select(
+        "doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_order_minhash, op2_quality_qda, op3_toxicity_kn, op4_bloom_exact_dedup, op5_jump_sharding, op6_sainte_lague_mix, op7_nra_top_k,
-    op8_anchor_substring_dedup, op9_hierarchical_language, op10_sum_of_squares_packing)}
+    op8_anchor_substring_dedup, op9_hierarchical_language, op10_sum_of_squares_packing, op11_spelling_variants, op12_simplex_clusters,
+    op13_interpolated_lm)}
+
+
+def _cluster_sql(rounds: int = 3) -> str:
+    """Rounds of assignment and exact floor means, one common table expression each."""
+    distance = "list_sum([(v[i] - m[i]) * (v[i] - m[i]) FOR i IN range(1, 65)])"
+    # the remainder of SQL has the dividend's sign, so it is made positive before it is taken off
+    floor = "((sum(v[i]) - ((sum(v[i]) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT"
+    text = """
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+           WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS (SELECT (row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1)::INTEGER AS c, v AS m FROM v WHERE vec_id IS NOT NULL QUALIFY c < 16)"""
+    for n in range(rounds + 1):
+        text += f""",
+a{n} AS (SELECT r, any_value(vec_id) AS vec_id, any_value(v) AS v, min(ROW({distance}::BIGINT, c)) AS best FROM v, c{n} GROUP BY r)"""
+        if n < rounds:
+            text += f""",
+u{n} AS (SELECT c, list(x ORDER BY i) AS m FROM (SELECT best[2] AS c, i, {floor} AS x FROM a{n}, range(1, 65) AS t(i) GROUP BY best[2], i) GROUP BY c),
+c{n + 1} AS (SELECT c, coalesce(u{n}.m, c{n}.m) AS m FROM c{n} LEFT JOIN u{n} USING (c))"""
+    return text + f"""
+SELECT vec_id, c AS cluster, best[1] AS distance, (sum(best[1]) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(best[1]) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c = best[2]"""
+
 
 SQL = {
     "op4_bloom_exact_dedup": r"""
@@ -129,4 +170,27 @@ word AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM d),
 kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM word ANTI JOIN gone USING (r, p) GROUP BY r)
 SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (r)""",
+    # CRC-32 by its rule; words are near if they are equal but for one place, or once one place is deleted
+    "op11_spelling_variants": r"""
+WITH RECURSIVE
+t AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+      FROM range(256) AS r(i)),
+run AS (SELECT coalesce(doc_id::VARCHAR, 'null') AS did,
+               unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS w FROM documents),
+own AS (SELECT did, w, count(*) AS n, hex(encode(did || ':' || w)) AS x FROM run WHERE length(w) >= 5 GROUP BY did, w),
+code AS (SELECT w, n, xor(list_reduce([4294967295] || [('0x' || substr(x, 2 * k + 1, 2))::BIGINT FOR k IN range(len(x) // 2)],
+                                      lambda c, b: xor(c >> 8, t[(xor(c, b) % 256 + 1)::INTEGER])), 4294967295) AS h FROM own, t),
+slip AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, (h % length(w))::INTEGER) || substr(w, (h % length(w) + 2)::INTEGER) ELSE w END AS word, n FROM code),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM slip WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+gap AS (SELECT word, n, substr(word, 1, i - 1) AS l, substr(word, i + 1) AS r FROM words, unnest(range(1, length(word) + 1)) AS u(i)),
+near AS (SELECT a.word, b.word AS other, b.n FROM gap AS a JOIN gap AS b USING (l, r) WHERE a.word <> b.word
+         UNION SELECT g.word, w.word, w.n FROM gap AS g JOIN words AS w ON w.word = g.l || g.r
+         UNION SELECT w.word, g.word, g.n FROM gap AS g JOIN words AS w ON w.word = g.l || g.r),
+best AS (SELECT word, count(*) AS n_near, min(ROW(-n, other)) AS b FROM near GROUP BY word),
+forms AS (SELECT word, CASE WHEN -b[1] >= 2 * n THEN b[2] END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN -b[1] >= 2 * n THEN -b[1] END AS form_n
+          FROM words LEFT JOIN best USING (word)),
+up AS (SELECT word, word AS root FROM forms UNION ALL SELECT up.word, f.form FROM up JOIN forms AS f ON f.word = up.root WHERE f.form IS NOT NULL),
+top AS (SELECT up.word, up.root FROM up JOIN forms AS f ON f.word = up.root WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN top USING (word)""",
+    "op12_simplex_clusters": _cluster_sql(),
 }
