@@ -9,7 +9,7 @@ a sequence only where no open one has room. So each task leaves about one sequen
 
 Defined cases: null text is an empty one, that is the end id alone; a null or repeated
 doc_id is packed like any other; an empty table gives an empty result. A text that
-holds an added token of the tokenizer file gets its id there. Other columns of the documents are ignored.
+holds an added token of the tokenizer file gets its id there. Memory is bounded by the longest text. Other columns of the documents are ignored.
 """
 
 from __future__ import annotations
@@ -26,14 +26,8 @@ from pyspark.sql import functions as F
 
 from .common import settle
 
-# The published byte-level pre-tokenizer pattern and Unicode's White_Space characters.
+# Fixed value: the published byte-level pre-tokenizer pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-WHITE_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: A chunk is a run of white space and the run of other characters after it. The
-#: pre-tokenizer always breaks before white space, so a chunk's ids do not depend on its neighbours.
-CHUNK = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
-#: Chunks that a worker remembers in each of two generations; this changes nothing but time.
-REMEMBERED = 250_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -44,56 +38,28 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + n): b for n, b in enumerate(others)}
 
 
-class ChunkEncoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes; added tokens are ordinary text here.
+class TextEncoder:
+    """Ids of whole texts as ``tokenizers`` gives them, as little-endian unsigned 32-bit bytes.
 
-    The vocabulary is read with ``tokenizers``; since its ids are ranks, ``tiktoken``
-    merges the chunks by it, which takes less than half the time for the same ids."""
+    The vocabulary is read with ``tokenizers``; since its ids are ranks, ``tiktoken`` merges
+    by it in a fraction of the time. Texts that hold an added token go through ``tokenizers`` itself."""
 
     def __init__(self, tokenizer_path: str):
         import tiktoken
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
         alphabet = byte_alphabet()
-        ranks = {bytes(alphabet[c] for c in token): n for token, n in tokenizer.get_vocab(with_added_tokens=False).items()
+        ranks = {bytes(alphabet[c] for c in token): n for token, n in self.tokenizer.get_vocab(with_added_tokens=False).items()
                  if all(c in alphabet for c in token) and not (token.startswith("<|") and token.endswith("|>"))}
         self.ids = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def learn(self, chunks: set[str]) -> None:
-        if len(self.recent) > REMEMBERED:
-            self.older, self.recent = self.recent, {}
-        recent, older, ids = self.recent, self.older, self.ids
-        for c in chunks - recent.keys():
-            recent[c] = older[c] if c in older else np.array(ids(c), "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        split = [CHUNK.findall(t) for t in texts]
-        self.learn(set().union(*split))
-        recent = self.recent
-        for chunks in split:
-            yield b"".join([recent[c] for c in chunks])
-
-
-class TextEncoder:
-    """Ids of whole texts as ``tokenizers`` gives them: texts that hold an added token go through
-    it, all others, whose chunks stand for themselves, through the faster encoder."""
-
-    def __init__(self, tokenizer_path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(tokenizer_path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(map(re.escape, added))) if added else None
-        self.chunks = ChunkEncoder(tokenizer_path)
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        holds = [self.added is not None and self.added.search(t) is not None for t in texts]
-        others = self.chunks.encode([t for t, h in zip(texts, holds, strict=True) if not h])
-        for text, held in zip(texts, holds, strict=True):
-            yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if held else next(others)
+    def encode(self, text: str) -> bytes:
+        if self.added is not None and self.added.search(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.ids(text), "<u4").tobytes()
 
 
 @lru_cache(maxsize=1)
@@ -114,8 +80,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, end
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 rows: list[list] = [[] for _ in range(6)]
-                for n, ids in enumerate(encoder.encode(part.column(1).to_pylist())):
-                    ids += end
+                for n, text in enumerate(part.column(1)):
+                    ids = encoder.encode(text.as_py()) + end
                     count = len(ids) // 4
                     stop, start, piece = (count - 1) % capacity + 1, 0, 0
                     while start < count:

@@ -293,14 +293,13 @@ def test_sum_of_squares_rule():
         gaps[b] = gaps.get(b, 20) - s
 
 
-def test_chunks_do_not_change_ids():
+def test_ids_are_those_of_the_tokenizer_file():
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
-    texts = ["a  b\n\n c\t\xa0 d", " lead", "trail  \n", "　wide   space", "don't  stop <|endoftext|> 12345  é\r\nß", "", "\x1c\x1f odd \x85x"]
-    got = [np.frombuffer(b, "<u4").tolist() for b in packing.ChunkEncoder(tokenizer_path()).encode(texts)]
-    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    tokenizer, encoder = Tokenizer.from_file(tokenizer_path()), packing.TextEncoder(tokenizer_path())
+    texts = ["a  b\n\n c\t\xa0 d", " lead", "trail  \n", "　wide   space", "don't  stop <|endoftext|> 12345  é\r\nß", "", "\x1c\x1f odd \x85x",
+             "x" * 20000, " " * 5000 + "a", "ab" * 3000 + "\n" * 300]
+    assert [np.frombuffer(encoder.encode(t), "<u4").tolist() for t in texts] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def test_added_tokens_get_their_ids(spark):
