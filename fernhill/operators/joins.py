@@ -4,10 +4,10 @@
 result, and a null probe value is dropped unless the subquery is empty.
 Spark plans the built-in null-aware anti join only as a broadcast hash join,
 which needs the subquery side to fit in memory. ``not_in`` gets the same rows
-with a shuffled left-anti join plus one scalar subquery (row count and null
-count of the subquery side, one row), so no side has to be broadcast. The
-subquery side is made distinct first (combined map-side, and the join then needs
-no further shuffle of it), so a key it repeats reaches one task once.
+with a shuffled left-anti join plus one scalar subquery (is it empty, does it hold a
+null: one row), so no side has to be broadcast. The subquery side is made
+distinct first (combined map-side), nulls included; that one exchange serves both the
+scalar subquery and the join, so the subquery side is read and shuffled once.
 """
 
 from __future__ import annotations
@@ -24,10 +24,10 @@ def left_anti(df: DataFrame, other: DataFrame, on: str, other_on: str | None = N
 
 def not_in(df: DataFrame, other: DataFrame, on: str, other_on: str | None = None) -> DataFrame:
     """``df WHERE on NOT IN (SELECT other_on FROM other)``, null-aware."""
-    col = other_on or on
-    keys = other.select(F.col(col).alias("__k"))
-    # one scalar subquery (one scan of the subquery side): row count and null count
+    # a struct is never null, so the join adds no null filter to the subquery side, and its
+    # plan stays the one that the scalar subquery has: both use the same exchange
+    keys = other.select(F.struct(F.col(other_on or on).alias("k")).alias("__k")).distinct()
     stats = keys.select(F.struct(F.count(F.lit(1)).alias("n"),
-                                 F.count_if(F.col("__k").isNull()).alias("nulls"))).scalar()
-    kept = left_anti(df, keys, on, "__k")
+                                 F.count_if(F.col("__k.k").isNull()).alias("nulls"))).scalar()
+    kept = df.join(keys, F.struct(F.col(on).alias("k")) == F.col("__k"), "left_anti")
     return kept.where((stats["n"] == 0) | (F.col(on).isNotNull() & (stats["nulls"] == 0)))

@@ -23,12 +23,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.casts import NO_RESULTS, norm_title, tt_id
 from ..functions.predicates import candidate_qualifies, non_blank, year_matches
 from ..functions.titles import parse_titles
+from ..sinks.bucketed import Manifest, read_bucketed, upsert_bucketed
 from .joins import not_in
 from .sets import take
 from .upsert import upsert
@@ -208,9 +210,22 @@ def record_matches(matches: DataFrame, found: DataFrame, check: bool = True) ->
     true and the run time; new titles are inserted the same way ("No Results"
     counts as a match, as in the source, so such titles are not tried again).
     """
+    src, update, insert = _match_merge(found, matches.schema["match_ts"].dataType)
+    return upsert(matches, src, "title", update=update, insert=insert, check=check, distinct_source=True)
+
+
+def _match_merge(found: DataFrame, ts_type: T.DataType) -> tuple[DataFrame, dict, dict]:
+    """Merge source, update and insert expressions."""
     src = found.select(norm_title("title").alias("title"), "title_id", "itemset_id")
-    now = F.current_timestamp().cast(matches.schema["match_ts"].dataType)
+    now = F.current_timestamp().cast(ts_type)
     setters = {"title_id": F.col("s.title_id"), "itemset_id": F.col("s.itemset_id"),
                "has_match": F.lit(True), "match_ts": now}
-    inserts = dict(setters, title=F.col("s.title"))
-    return upsert(matches, src, "title", update=setters, insert=inserts, check=check, distinct_source=True)
+    return src, setters, dict(setters, title=F.col("s.title"))
+
+
+def record_matches_bucketed(spark: SparkSession, root: str, found: DataFrame, check: bool = True) -> Manifest:
+    """C22 on a match table kept in buckets by title: only buckets that hold a found title are
+    read and written. ``found`` is read twice: hand over a written table."""
+    ts_type = read_bucketed(spark, root).schema["match_ts"].dataType
+    src, update, insert = _match_merge(found, ts_type)
+    return upsert_bucketed(src, root, update, insert, check, distinct_source=True)

@@ -22,7 +22,9 @@ from ..operators.views import cdn_furthest_view
 from ..session import scratch_path
 from ..operators.shaping import require_columns
 from ..sinks.writers import append_load, write_matches_csv, write_parquet
+from ..sources.files import file_manifest
 from ..sources.readers import read_access_log, read_json_feed, read_report_csv, with_source_file
+from ..sources.split_csv import read_split_csv
 from .loads import LoadSpec, load_projection, spec_for_path
 
 
@@ -42,12 +44,29 @@ def load_reports(spark: SparkSession, path: str, spec: LoadSpec | Mapping[str, L
     if not isinstance(spec, LoadSpec):
         spec, channel = spec_for_path(path, spec)
         constants = {"channel_name": channel, **(constants or {})}
-    raw = read_report_csv(spark, path, na_values=na_values, multiline=multiline, enforceSchema=False)
+    if multiline:
+        raw, file = read_split_csv(spark, path, na_values=na_values, source_col="landed file", same_header=True), F.col("`landed file`")
+    else:
+        raw, file = read_report_csv(spark, path, na_values=na_values, enforceSchema=False), None
     require_columns(raw, spec.required(raw.columns) if required is None else required)
-    typed = load_projection(raw, spec, run_id=run_id, start=start, end=end, constants=constants)
+    typed = load_projection(raw, spec, run_id=run_id, start=start, end=end, constants=constants, source_key=file)
     append_load(typed, table_path, idempotent=idempotent)
 
 
+def csv_to_parquet(spark: SparkSession, path: str, out: str, threshold: int = 31_457_280, rows_per_part: int = 30_000,
+                   force: bool = False, glob: str | None = None, **options) -> None:
+    """CSV files under ``path`` -> text parquet, appended to ``out``.
+
+    Files of at least ``threshold`` bytes, or all with ``force``, go to parts of at most
+    ``rows_per_part`` rows; the others keep what a read task gives them. Either kind
+    is read by byte ranges, so a file of any size is many tasks' work."""
+    files = file_manifest(spark, path, glob).withColumn("big", (F.col("length") >= threshold) | F.lit(force))
+    by_size = {r.big: r.paths for r in files.groupBy("big").agg(F.collect_list("path").alias("paths")).collect()}   # the names that the reader lists anyway
+    for big, paths in sorted(by_size.items()):
+        rows = read_split_csv(spark, paths, same_header=True, **options)
+        write_parquet(rows, out, rows_per_file=rows_per_part if big else None)
+
+
 def cdn_view_points(spark: SparkSession, logs: str, out: str, paired: bool = False) -> None:
     """``*.log.gz`` access logs -> furthest view point per viewer and file, appended."""
     log = read_access_log(spark, logs, glob="*.log.gz")

@@ -284,7 +284,7 @@ def c21_resolve_titles(spark, sf):
     return resolve_titles(_worklist(spark, sf), title_candidates(_part(spark, sf)), assume_distinct=True)
 
 
-@register("c22_record_matches", sql=f"""
+RECORD_MATCHES_SQL = f"""
 WITH {MAP_SQL}, {resolved_sql('worklist')},
 src AS (SELECT DISTINCT trim(lower(title)) AS title, title_id, itemset_id FROM resolved)
 SELECT coalesce(m.title, s.title) AS title,
@@ -292,11 +292,17 @@ SELECT coalesce(m.title, s.title) AS title,
        CASE WHEN s.title IS NOT NULL THEN s.itemset_id ELSE m.itemset_id END AS itemset_id,
        CASE WHEN s.title IS NOT NULL THEN true ELSE m.has_match END AS has_match
 FROM matches m FULL OUTER JOIN src s ON m.title = s.title
-""")
+"""
+
+
+def _match_rows(spark, sf):
+    """The match table and the titles found for it."""
+    return match_table(_part(spark, sf)), c21_resolve_titles(spark, sf)
+
+
+@register("c22_record_matches", sql=RECORD_MATCHES_SQL)
 def c22_record_matches(spark, sf):
-    p = _part(spark, sf)
-    found = c21_resolve_titles(spark, sf)
-    return record_matches(match_table(p), found).drop("match_ts")
+    return record_matches(*_match_rows(spark, sf)).drop("match_ts")
 
 
 @register("m4_candidate_choice", sql=f"""

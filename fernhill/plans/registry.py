@@ -51,6 +51,6 @@ def table_state(spark: SparkSession, sf_dir: str, name: str) -> tuple:
 
 def load_all() -> dict[str, Query]:
     """Import every query module (they register on import) and return the registry."""
-    from . import queries_io, queries_loads, queries_scalar, queries_titles, queries_views  # noqa: F401
+    from . import queries_io, queries_landing, queries_loads, queries_scalar, queries_titles, queries_views  # noqa: F401
 
     return REGISTRY

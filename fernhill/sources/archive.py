@@ -6,6 +6,10 @@ batch), so archives are unpacked in parallel and nothing passes through the
 driver. A file that is not an archive (by suffix)
 is passed on as its own single member. A member that a binary value cannot
 hold (2 GB) fails the job.
+
+An archive that cannot be read fails the job as well, unless ``skip_bad`` is set: then each
+archive is read through once before its members are emitted, a bad one gives no member at
+all, and ``archive_errors`` lists it with the reason.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from __future__ import annotations
 import io
 import tarfile
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,15 +56,42 @@ def archive_members(path: str, content: bytes) -> Iterator[tuple]:
         yield path, path.rsplit("/", 1)[-1], len(content), content
 
 
-def read_archive_members(spark: SparkSession, path: str | DataFrame, glob: str | None = None) -> DataFrame:
-    """Every member of every archive under ``path`` (or of a ``path, content`` DataFrame)."""
+def archive_fault(path: str, content: bytes) -> str | None:
+    """Why an archive cannot be read to its end; None if it can."""
+    try:
+        for _ in archive_members(path, content):
+            pass
+    except (zipfile.BadZipFile, tarfile.TarError, EOFError, OSError, zlib.error, RuntimeError, NotImplementedError) as e:
+        return f"{type(e).__name__}: {e}"
+    return None
+
+
+def _archive_files(spark: SparkSession, path: str | DataFrame, glob: str | None) -> DataFrame:
     if isinstance(path, DataFrame):
-        files = path.select("path", "content")
-    else:
-        r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        if glob:
-            r = r.option("pathGlobFilter", glob)
-        files = r.load(path).select("path", "content")
+        return path.select("path", "content")
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    return r.load(path).select("path", "content")
+
+
+def archive_errors(spark: SparkSession, path: str | DataFrame, glob: str | None = None) -> DataFrame:
+    """(path, reason) of the archives that cannot be read."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            found = [(p, archive_fault(p, c)) for p, c in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist())]
+            bad = [f for f in found if f[1] is not None]
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in bad], pa.string()) for k in (0, 1)], names=["path", "reason"])
+
+    return _archive_files(spark, path, glob).mapInArrow(run, "path string, reason string")
+
+
+def read_archive_members(spark: SparkSession, path: str | DataFrame, glob: str | None = None, skip_bad: bool = False) -> DataFrame:
+    """Every member of every archive under ``path`` (or of a ``path, content`` DataFrame)."""
+    files = _archive_files(spark, path, glob)
 
     def run(batches):
         import pyarrow as pa
@@ -68,6 +100,8 @@ def read_archive_members(spark: SparkSession, path: str | DataFrame, glob: str |
                             pa.field("size", pa.int64()), pa.field("content", pa.binary())])
         for batch in batches:
             for p, c in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                if skip_bad and archive_fault(p, c) is not None:
+                    continue
                 buf, held = [], 0
                 for row in archive_members(p, c):
                     buf.append(row)
