@@ -54,8 +54,8 @@ COUNT_BUCKETS = 64
 class InterpolationParams:
     #: One in so many training documents is held out for the weights.
     deleted: int = 10
-    block_bytes: int = 8 << 20
-    bucket_bytes: int = 8 << 20
+    block_bytes: int = 4 << 20
+    bucket_bytes: int = 4 << 20
     #: Longer texts are cut into parts of about this size.
     part_bytes: int = 1 << 20
     most_steps: int = 25
@@ -152,22 +152,24 @@ class Block:
         told[begins] = False
         at = np.flatnonzero(told)
         token, before = sequence[at], sequence[at - 1]
-        self.part = np.repeat(np.arange(len(sizes)), lengths - 1)
-        word_key = lambda h: mix(h ^ np.uint64(BASE_WORDS)) | np.uint64(1)
-        pair_key = mix(mix(before * np.uint64(BASE_WORDS_2)) + token) & ~np.uint64(1)
+        self.part = np.repeat(np.arange(len(sizes), dtype=np.int32), lengths - 1)
         # contexts are tokens of the block themselves but for those at the beginnings of parts
         contexts = np.unique(sequence[begins])
-        words, self.word = np.unique(np.r_[word_key(token), word_key(contexts)], return_inverse=True)
-        self.word = self.word[:len(token)]
-        pairs, first, self.pair, pair_n = np.unique(pair_key, return_index=True, return_inverse=True, return_counts=True)
+        del sequence, is_word, told, at, got
+        word_key = lambda h: mix(h ^ np.uint64(BASE_WORDS)) | np.uint64(1)
+        pair_key = mix(mix(before * np.uint64(BASE_WORDS_2)) + token) & ~np.uint64(1)
+        pairs, first, inverse, self.pair_n = np.unique(pair_key, return_index=True, return_inverse=True, return_counts=True)
+        self.pair = inverse.astype(np.int32)
+        before = before[first]
+        del pair_key, inverse
+        words = np.unique(np.r_[word_key(token), word_key(contexts)])
+        word = np.searchsorted(words, word_key(token)).astype(np.int32)
+        self.pair_word, self.pair_context = word[first], np.searchsorted(words, word_key(before))
         self.keys = np.sort(np.r_[words, pairs])
         self.words_at, self.pairs_at = np.searchsorted(self.keys, words), np.searchsorted(self.keys, pairs)
-        self.pair_word = self.word[first]
-        self.pair_context = np.searchsorted(words, word_key(before[first]))
-        self.pair_n = pair_n
         self.n = np.zeros(len(self.keys), np.int64)
-        self.n[self.words_at] = np.bincount(self.word, minlength=len(words))
-        self.n[self.pairs_at] = pair_n
+        self.n[self.words_at] = np.bincount(word, minlength=len(words))
+        self.n[self.pairs_at] = self.pair_n
 
     @staticmethod
     def of(table: pa.Table | pa.RecordBatch, k: int) -> Block:
