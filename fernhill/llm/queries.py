@@ -125,35 +125,27 @@ WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
 SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
        row_number() OVER w = 1 AS kept, text_sha256
 FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id NULLS LAST)""",
-    # seats are listed one by one, the streams are summed up in one window per source
+    # seats are listed one by one, and so are the words of each source around its circle
     "op6_sainte_lague_mix": r"""
-WITH d AS (SELECT doc_id, coalesce('0' || source, '1') AS skey, coalesce(doc_id::VARCHAR, 'null') AS did,
-                  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('0' || source, '1') AS skey, coalesce(doc_id::VARCHAR, 'null') AS did,
+                  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
 s AS (SELECT skey, sum(size)::BIGINT AS source_size FROM d GROUP BY skey),
 w AS (SELECT *, 3 * source_size AS cap, (row_number() OVER (ORDER BY skey) - 1) % 3 + 1 AS weight FROM s),
 t AS (SELECT sum(source_size)::BIGINT AS total, sum(weight)::BIGINT AS weights, count(*) AS n FROM w),
 l AS (SELECT w.*, (total - coalesce(sum(cap) OVER o, 0))::DOUBLE / (weights - coalesce(sum(weight) OVER o, 0))::DOUBLE AS level
       FROM w, t WINDOW o AS (ORDER BY cap::DOUBLE / weight, skey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 g AS (SELECT skey, source_size, least(cap::DOUBLE, max(level) OVER () * weight) AS target FROM l),
-b AS (SELECT greatest(least(greatest(pow(2, floor(log2(greatest(total, 1) / (1024.0 * n)))), 16), 2048)::BIGINT,
-                      (total + 1073741823) // 1073741824) AS block, total FROM t),
-seats AS (SELECT skey, target, unnest(range(1, (target / block)::BIGINT + n::BIGINT + 3)) AS k FROM g, b, t WHERE target > 0),
+seats AS (SELECT skey, target, unnest(range(1, (target / 4)::BIGINT + n::BIGINT + 3)) AS k FROM g, t WHERE target > 0),
 won AS (SELECT skey, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, skey, k) AS place FROM seats),
-q AS (SELECT skey, count(*) AS quota FROM won, b WHERE place <= floor(total / block + 0.5) GROUP BY skey),
-p0 AS (SELECT g.*, block, ceil(source_size / block)::BIGINT AS blocks,
-              least(coalesce(quota, 0), 3 * ceil(source_size / block)::BIGINT) AS quota FROM g LEFT JOIN q USING (skey), b),
-p AS (SELECT *, quota // greatest(blocks, 1) AS rounds, quota % greatest(blocks, 1) AS rest,
-             ('0x' || substr(md5('17:start:' || skey), 1, 7))::BIGINT % greatest(blocks, 1) AS start FROM p0),
-x AS (SELECT d.*, source_size, target, block, greatest(blocks, 1) AS m, rounds, rest, start,
-             coalesce(sum(size) OVER (PARTITION BY d.skey ORDER BY md5('17:' || did), did, size
-                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS a FROM d JOIN p USING (skey)),
-y AS (SELECT *, a + size AS z FROM x)
-SELECT doc_id, size, source_size, target,
-       (rounds * size
-        + block * ((z // block + start) * rest // m) + (z % block) * ((z // block + 1 + start) * rest // m - (z // block + start) * rest // m)
-        - block * ((a // block + start) * rest // m) - (a % block) * ((a // block + 1 + start) * rest // m - (a // block + start) * rest // m)
-       )::BIGINT AS taken
-FROM y""",
+q AS (SELECT skey, count(*) AS quota FROM won, t WHERE place <= floor(total / 4.0 + 0.5) GROUP BY skey),
+p AS (SELECT g.*, least(4 * coalesce(quota, 0), 3 * source_size) AS given,
+             4 * (('0x' || substr(md5('17:start:' || skey), 1, 13))::BIGINT % greatest(ceil(source_size / 4.0)::BIGINT, 1)) AS start
+      FROM g LEFT JOIN q USING (skey)),
+word AS (SELECT r, skey, row_number() OVER (PARTITION BY skey ORDER BY md5('17:' || did), did, size, r, i) - 1 AS place
+         FROM (SELECT *, unnest(range(size)) AS i FROM d)),
+times AS (SELECT r, sum(given // source_size + CASE WHEN (place - start + source_size) % source_size < given % source_size THEN 1 ELSE 0 END)::BIGINT AS taken
+          FROM word JOIN p USING (skey) GROUP BY r)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM d JOIN p USING (skey) LEFT JOIN times USING (r)""",
     "op7_nra_top_k": r"""
 WITH v AS (SELECT row_number() OVER () AS r, vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),

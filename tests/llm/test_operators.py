@@ -94,10 +94,10 @@ def test_mix(odd, none):
     mixed = source_mix.mix_rows(odd)
     assert mixed.columns == odd.columns
     words = {r.source: r.n for r in mixed.groupBy("source").agg(F.sum(source_mix.count_words(F.col("text"))).alias("n")).collect()}
-    keyed = source_mix.plan_mix(odd).groupBy("skey").agg(F.first("target").alias("t"), F.first("block").alias("b"), F.first("source_size").alias("s")).collect()
+    keyed = source_mix.plan_mix(odd).groupBy("skey").agg(F.first("target").alias("t"), F.first("ends").alias("ends")).collect()
     for r in keyed:
         source = None if r.skey == "1" else r.skey[1:]
-        assert abs(words.get(source, 0) - r.t) <= 4 * r.b
+        assert abs(words.get(source, 0) - r.t) <= 4 and words.get(source, 0) == r.ends[-1] and sorted(r.ends) == list(r.ends)
         sources[source] = r.t
     assert abs(sum(sources.values()) - total) < 1e-6 * max(1, total)
     assert sum(words.values()) == sum(r.taken for r in got.collect())
@@ -105,6 +105,56 @@ def test_mix(odd, none):
     assert source_mix.mix_amounts(none).count() == 0 and source_mix.mix_rows(none).count() == 0
 
 
+def test_mix_rows_hold_the_quotas_of_each_shard(odd):
+    """Word by word against the plan: every shard has its quotas, each document what the amounts say."""
+    shards = source_mix.mix_rows(odd, shard_col="_shard")
+    n = source_mix.count_words(F.col("text"))
+    got = {(r.source, r._shard): r.n for r in shards.groupBy("source", "_shard").agg(F.sum(n).alias("n")).collect()}
+    for r in source_mix.plan_mix(odd).groupBy("skey").agg(F.first("ends").alias("ends")).collect():
+        source = None if r.skey == "1" else r.skey[1:]
+        for k, (lo, hi) in enumerate(zip([0, *r.ends], r.ends)):
+            assert got.get((source, k), 0) == hi - lo
+    want, texts = Counter(), defaultdict(Counter)
+    for r in source_mix.mix_amounts(odd).collect():
+        want[r.doc_id] += r.taken
+    for r in odd.select("doc_id", "text").collect():
+        texts[r.doc_id].update(WORD.findall(r.text or ""))
+    have = Counter()
+    for r in shards.select("doc_id", "text").collect():
+        words = Counter(WORD.findall(r.text))
+        have[r.doc_id] += words.total()
+        assert words.keys() <= texts[r.doc_id].keys()
+    assert {k: v for k, v in have.items() if v} == {k: v for k, v in want.items() if v}
+
+
+@pytest.mark.parametrize("broadcast_runs", [50_000, 0])
+def test_repeated_rows_take_their_turns(spark, broadcast_runs):
+    """Rows that share source, id and size: equal and different texts, joined with and without a broadcast."""
+    rows = [(1, "a b c d e f", "s")] * 5 + [(1, "g h i j k l", "s")] * 3 + [(2, "m n o", "s"), (3, "p q r s t u v w", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    params = source_mix.MixParams(broadcast_runs=broadcast_runs, shards=3, block_words=2)
+    amounts = source_mix.mix_amounts(docs, params).collect()
+    mixed = source_mix.mix_rows(docs, params).collect()
+    assert len(amounts) == len(rows)
+    assert sum(r.taken for r in amounts) == sum(len(r.text.split()) for r in mixed)
+    for i in (1, 2, 3):
+        assert sum(r.taken for r in amounts if r.doc_id == i) == sum(len(r.text.split()) for r in mixed if r.doc_id == i)
+
+
+@pytest.mark.parametrize("big", [200_000, 5_000_000])
+def test_small_sources_come_near_their_targets_beside_any_other(spark, big):
+    """What a small source gives does not depend on the size of the table."""
+    text = lambda n: F.array_join(F.array_repeat(F.lit("w"), n), " ")
+    docs = spark.range(100).select(F.col("id").alias("doc_id"), text(big // 100).alias("text"), F.lit("a").alias("source"))
+    for source, sizes in (("b", [100, 150, 50]), ("c", [350, 350]), ("d", [7]), ("e", [1, 0])):
+        for k, n in enumerate(sizes):
+            docs = docs.union(spark.range(1).select(F.lit(1000 + k), text(n), F.lit(source)))
+    got = source_mix.mix_amounts(docs).groupBy("target", "source_size").agg(F.sum("taken").alias("n")).collect()
+    told = {r.source_size: (r.target, r.n) for r in got}
+    assert {k: v for k, v in told.items() if k != big} == {300: (900, 900), 700: (2100, 2100), 7: (21, 20), 1: (3, 3)}
+    assert abs(told[big][1] - told[big][0]) <= 4
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(3)
     vectors = [(i, rng.normal(size=6).tolist()) for i in range(400)] + [
