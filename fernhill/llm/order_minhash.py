@@ -17,12 +17,16 @@ then all that would still join two classes. Equal word sequences are one node fr
 
 Members of buckets that are then still in several classes, as in a family whose members share a passage but
 are not similar, are held against one another by an exact prefix filter: shingles are ordered, frequent ones
-last, and two texts at the threshold share one among the first fifth of both. Each such
-pair of different classes is aligned, whatever its minima.
+last, and two texts at the threshold share one among the first fifth of both. What they share there
+and what follows their last common one bounds all they can share; pairs below are ruled out, the others aligned as
+before, each document's best one first and then all that still join two classes, whatever their minima.
+
+The alignment is banded: a pair of matching shingles that lie further apart than the texts may differ at
+the threshold is part of no alignment that reaches it, so only those inside the band are looked at.
 
 Defined cases: null text is empty; a text without words is a class of its own; a text of one to four
 words is one shingle; a class has the smallest id that is not null; repeated rows are equal
-texts. Other columns are ignored by ``near_classes`` and kept by ``drop_near``. An empty table gives an empty result.
+texts. Memory is bounded by the longest text, however long. Other columns are ignored by ``near_classes`` and kept by ``drop_near``. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,7 +42,7 @@ from pyspark.sql import functions as F
 
 from .anchor_dedup import bit_map, in_map
 from .common import settle
-from .textvec import BASE_WORDS_2, inverse, mix, places, powers, window_hashes, word_slices
+from .textvec import BASE_WORDS_2, byte_slices, inverse, mix, places, powers, window_hashes, word_slices
 
 SHINGLE = 5
 SKETCHES = 20
@@ -188,8 +192,9 @@ def relabelled(plain: np.ndarray) -> np.ndarray:
     return mix(value.astype(np.uint64) + occurrence * np.uint64(BASE_WORDS_2))
 
 
-def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the longest common subsequence, a row of the table at a time as the bits of one integer (Hyyrö)."""
+def common_subsequence(a: np.ndarray, b: np.ndarray, low: np.ndarray | None = None, high: np.ndarray | None = None) -> int:
+    """Length of the longest common subsequence, a row of the table at a time as the bits of one integer
+    (Hyyrö). The nth of ``a`` may match places ``low[n]`` to ``high[n]`` - 1 of ``b`` only, if given."""
     order = np.argsort(b, kind="stable")
     values, begins, counts = np.unique(b[order], return_index=True, return_counts=True)
     masks: dict[int, int | list[int]] = {}
@@ -202,10 +207,13 @@ def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
         else:
             masks[value] = at.tolist()  # masks of rare shingles would together take the square of the length
     every = left = (1 << len(b)) - 1
-    for value in a.tolist():
+    low, high = [0] * len(a) if low is None else low.tolist(), [len(b)] * len(a) if high is None else high.tolist()
+    for value, lo, hi in zip(a.tolist(), low, high, strict=True):
         mask = masks.get(value, 0)
         if isinstance(mask, list):
-            mask = sum(1 << k for k in mask)
+            mask = sum(1 << k for k in mask if lo <= k < hi)
+        else:
+            mask = mask >> lo << lo & (1 << hi) - 1
         met = left & mask
         left = ((left + met) | (left - met)) & every
     return len(b) - left.bit_count()
@@ -226,7 +234,10 @@ def alignment(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
     other = np.flatnonzero(a[len(a) - same:][::-1] != b[len(b) - same:][::-1])
     tail = int(other[0]) if len(other) else same
     a, b = a[:len(a) - tail], b[:len(b) - tail]
-    a, b = a[np.isin(a, b)], b[np.isin(b, a)]
+    at_a, at_b = np.flatnonzero(np.isin(a, b)), np.flatnonzero(np.isin(b, a))
+    # a match of places i and j leaves len(b) - (j - i) matches at most, or len(a) - (i - j): the band where that is enough
+    right, left = len(b) - (need - head - tail), len(a) - (need - head - tail)
+    a, b = a[at_a], b[at_b]
     _, times_a = np.unique(a, return_counts=True)
     _, times_b = np.unique(b, return_counts=True)
     if head + tail + np.minimum(times_a, times_b).sum() < need:
@@ -234,6 +245,8 @@ def alignment(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
     if len(times_a) == len(a) and len(times_b) == len(b):
         order = np.argsort(b)
         where = order[np.searchsorted(b[order], a)]
+        beyond = at_b[where] - at_a
+        where = where[(beyond <= right) & (beyond >= -left)]
         if np.all(where[1:] > where[:-1]):
             matches = len(where)
         else:
@@ -246,7 +259,7 @@ def alignment(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
                     tails[k] = w
             matches = len(tails)
     else:
-        matches = common_subsequence(a, b)
+        matches = common_subsequence(a, b, np.searchsorted(at_b, at_a - left), np.searchsorted(at_b, at_a + right, "right"))
     matches += head + tail
     return matches / (total - matches)
 
@@ -265,7 +278,7 @@ def _align(pairs: DataFrame, shingles: DataFrame, threshold: float, name: str) -
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = [n for n, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True))
-                    if similar(np.frombuffer(x.as_py(), "<u4"), np.frombuffer(y.as_py(), "<u4"), threshold)]
+                    if similar(np.frombuffer(x.as_buffer(), "<u4"), np.frombuffer(y.as_buffer(), "<u4"), threshold)]
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, pa.int64())) for c in (0, 1)], names=["a", "b"])
 
     side = lambda c: shingles.select(F.col("node").alias(c), F.col("shingles").alias(f"{c}_shingles"))
@@ -321,8 +334,9 @@ def _frequent_map(shingles: DataFrame):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, n = np.unique(np.concatenate([relabelled(np.frombuffer(x.as_py(), "<u4")) for x in batch.column(0)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["h", "n"])
+            for part in byte_slices(batch, 0):
+                found, n = np.unique(np.concatenate([relabelled(np.frombuffer(x.as_buffer(), "<u4")) for x in part.column(0)]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["h", "n"])
 
     often = settle(shingles.select("shingles").mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where(
         F.col("n") > FREQUENT).select("h"), "near-frequent")
@@ -330,28 +344,31 @@ def _frequent_map(shingles: DataFrame):
 
 
 def prefix_pairs(unsettled: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
-    """All pairs (a, b) of nodes with different labels that can reach the threshold, and some others.
+    """Pairs (a, b, agree) of nodes with different labels: all that can reach the threshold, and some others;
+    ``agree`` counts the shingles that both have among their first ones.
 
     Of n shingles, a pair at threshold t shares m >= t / (1 + t) (n_a + n_b). So in any order the first
     shared one has at most n - m others before it in either text: it is among the first
-    (1 - 2 t / (1 + t)) n + 1 of the shorter and the first (1 - t) n + 1 of the longer."""
+    (1 - 2 t / (1 + t)) n + 1 of the shorter and the first (1 - t) n + 1 of the longer. All others that
+    they share come after the last one shared among these, in both texts."""
     frequent = _frequent_map(shingles)
 
     def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, found = [], []
-            for x in batch.column(2):
-                own = relabelled(np.frombuffer(x.as_py(), "<u4"))
-                sizes.append(len(own))
-                order = np.lexsort((own, in_map(frequent.value, own)))
-                found.append(own[order[:int((1 - threshold) * sizes[-1] + 1e-6) + 1]])
-            counts = np.array([len(f) for f in found])
-            row, place = places(counts)
-            n = np.array(sizes)[row]
-            short = place <= (1 - 2 * threshold / (1 + threshold)) * n + 1e-6
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(pa.array(row)) for c in (0, 1)), pa.array(np.concatenate(found).view(np.int64)), pa.array(n), pa.array(place), pa.array(short)],
-                names=["node", "label", "shingle", "n", "place", "short"])
+            for part in byte_slices(batch, 2):
+                sizes, found = [], []
+                for x in part.column(2):
+                    own = relabelled(np.frombuffer(x.as_buffer(), "<u4"))
+                    sizes.append(len(own))
+                    order = np.lexsort((own, in_map(frequent.value, own)))
+                    found.append(own[order[:int((1 - threshold) * sizes[-1] + 1e-6) + 1]])
+                counts = np.array([len(f) for f in found])
+                row, place = places(counts)
+                n = np.array(sizes)[row]
+                short = place <= (1 - 2 * threshold / (1 + threshold)) * n + 1e-6
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c).take(pa.array(row)) for c in (0, 1)), pa.array(np.concatenate(found).view(np.int64)), pa.array(n), pa.array(place), pa.array(short)],
+                    names=["node", "label", "shingle", "n", "place", "short"])
 
     rows = settle(unsettled.join(shingles, "node").select("node", "label", "shingles").mapInArrow(
         first_ones, "node binary, label binary, shingle bigint, n bigint, place bigint, short boolean"), "near-prefixes")
@@ -362,7 +379,25 @@ def prefix_pairs(unsettled: DataFrame, shingles: DataFrame, threshold: float) ->
     need = F.lit(threshold / (1 + threshold)) * (F.col("a.n") + F.col("b.n")) - 1e-6
     can = ((F.col("a.label") != F.col("b.label")) & ((F.col("a.n") < F.col("b.n")) | (F.col("a.n") == F.col("b.n")) & (F.col("a.node") < F.col("b.node")))
            & (F.col("a.n") - F.col("a.place") >= need) & (F.col("b.n") - F.col("b.place") >= need) & (F.col("a.n") >= need))
-    return settle(a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & can).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct(), "near-within")
+    met = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & can).groupBy(F.col("a.node").alias("a"), F.col("b.node").alias("b")).agg(
+        F.count("*").alias("agree"), F.least(F.min(F.col("a.n") - F.col("a.place")), F.min(F.col("b.n") - F.col("b.place"))).alias("left"),
+        F.first(F.col("a.n") + F.col("b.n")).alias("both"))
+    enough = F.col("agree") + F.col("left") - 1 >= F.lit(threshold / (1 + threshold)) * F.col("both") - 1e-6
+    return settle(met.where(enough).select("a", "b", "agree"), "near-within")
+
+
+def _joined(pairs: DataFrame, shingles: DataFrame, threshold: float, links: DataFrame | None = None) -> DataFrame:
+    """``links`` and the links among the written ``pairs`` (a, b, agree) that hold their classes together: each
+    document's most similar pair is aligned first, and then all that would still join two classes."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "agree")
+    best = settle(ends.groupBy("node").agg(F.max(F.struct("agree", "a", "b")).alias("best")).select("best.a", "best.b").distinct(), "near-best")
+    first = _align(best, shingles, threshold, "near-links")
+    links = first if links is None else links.union(first)
+    labels = components(links)
+    side = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
+    rest = pairs.join(best, ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left").where(
+        F.coalesce("a_label", "a") != F.coalesce("b_label", "b"))
+    return links.union(_align(settle(rest, "near-rest"), shingles, threshold, "near-links"))
 
 
 def near_nodes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -374,19 +409,10 @@ def near_nodes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
     likely, members = _likely_pairs(nodes, threshold)
     ends = settle(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-ends")
     shingles = settle(shingle_rows(docs, ends, text_col), "near-shingles")
-    # each document's most similar pair first, then what would still join two classes
-    best = likely.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "agree").groupBy("node").agg(
-        F.max(F.struct("agree", "a", "b")).alias("best")).select("best.a", "best.b").distinct()
-    links = _align(best, shingles, threshold, "near-links")
-    labels = components(links)
-    side = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
-    rest = likely.join(best, ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left").where(
-        F.coalesce("a_label", "a") != F.coalesce("b_label", "b"))
-    more = _align(settle(rest, "near-rest"), shingles, threshold, "near-links")
-    links = links.union(more)
+    links = _joined(likely, shingles, threshold)
     unsettled = _unsettled(members, components(links))
     shingles = settle(shingle_rows(docs, unsettled.select("node"), text_col).join(unsettled.select("node"), "node"), "near-shingles")
-    labels = components(links.union(_align(prefix_pairs(unsettled, shingles, threshold), shingles, threshold, "near-links")))
+    labels = components(_joined(prefix_pairs(unsettled, shingles, threshold), shingles, threshold, links))
     known = nodes.select("node", "least", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     classes = settle(known.groupBy("label").agg(
         F.min("least").alias("class_id"), F.sum("copies").alias("class_size"),

@@ -103,6 +103,16 @@ def word_slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         i = j
 
 
+def byte_slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about SLICE bytes in a binary column, of one row at least."""
+    _, offsets = text_bytes(batch.column(column))
+    i = 0
+    while i < batch.num_rows:
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE, "right")) - 1)
+        yield batch.slice(i, j - i)
+        i = j
+
+
 def window_hashes(words: np.ndarray, size: int, base: int = BASE_WORDS) -> np.ndarray:
     """Hash of each run of ``size`` words, also of runs that cross documents."""
     if len(words) < size:

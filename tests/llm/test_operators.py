@@ -435,3 +435,34 @@ def test_long_texts_hash_like_short_ones():
     finally:
         textvec.SLICE = old
     assert whole.tolist() == cut.tolist() and len(whole) == 20002
+
+
+def test_banded_alignment_decides_as_the_whole_table():
+    rng = np.random.default_rng(6)
+
+    def table(x, y):
+        row = [0] * (len(y) + 1)
+        for v in x:
+            last, row = row, [0]
+            for k, w in enumerate(y):
+                row.append(last[k] + 1 if v == w else max(last[k + 1], row[k]))
+        return row[-1]
+
+    reached = 0
+    for n in range(300):
+        a = rng.integers(0, 30 if n % 2 else 10 ** 6, 90).astype(np.uint32)
+        b = list(a)
+        for _ in range(int(rng.integers(0, 12))):
+            k = int(rng.integers(len(b)))
+            b[k:k + int(rng.integers(0, 3))] = rng.integers(0, 40, int(rng.integers(0, 3))).tolist()
+        if n % 3 == 0:     # a moved passage, inside the band or beyond it
+            k, m = int(rng.integers(40)), int(rng.integers(1, 25))
+            b = b[:k] + b[k + m:] + b[k:k + m] if n % 2 else b[k:k + m] + b[:k] + b[k + m:]
+        b = np.array(b, np.uint32)
+        want = table(a.tolist(), b.tolist())
+        want /= len(a) + len(b) - want
+        for t in (0.8, 0.6):
+            got = order_minhash.alignment(a, b, t)
+            assert (got >= t) == (want >= t - 1e-12) and (got < t or abs(got - want) < 1e-12)
+            reached += want >= t
+    assert 100 < reached < 550
