@@ -54,7 +54,7 @@ COUNT_BUCKETS = 64
 class InterpolationParams:
     #: One in so many training documents is held out for the weights.
     deleted: int = 10
-    block_bytes: int = 4 << 20
+    block_bytes: int = 2 << 20
     bucket_bytes: int = 4 << 20
     #: Longer texts are cut into parts of about this size.
     part_bytes: int = 1 << 20
