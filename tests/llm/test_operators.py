@@ -1,6 +1,7 @@
 """Each operator against brute force on odd rows, and on an empty table."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -392,21 +393,72 @@ def test_toxicity(odd, none, odd_labels):
     assert {r.score for r in toxicity_kn.toxicity_scores(odd, odd_labels.limit(0)).collect()} == {0.5}
 
 
-def test_word_model_against_a_direct_one(spark):
-    texts = [("foo bar foo", 0), ("foo baz bad", 1), ("bar bar bax", 0), ("bad bad foo", 1)]
-    counts = toxicity_kn.gram_counts(spark.createDataFrame(texts, "text string, label int"))
-    want = [Counter(), Counter()]
-    for t, y in texts:
-        for n, w in enumerate(t.split()):
-            w = w + " " * (n < 2)  # the last word of a text has no end
-            for k in range(len(w)):
-                want[y][w[:k + 1]] += 1
-    code = lambda p: int.from_bytes(p[::-1].encode() + b" " * (8 - len(p)), "little")
-    assert {r.gram: (r.n0, r.n1) for r in counts.collect()} == {code(p): (want[0][p], want[1][p]) for p in want[0] | want[1]}
-    grams, contexts = toxicity_kn.log_ratios(counts, 0.75)
-    ratio = {r.gram: r.ratio for r in grams.collect()}
-    assert ratio[code("bad")] > 0 > ratio[code("bar")]
-    assert contexts.count() == len({p[:-1] for p in want[0] | want[1]})
+def _symbols_of(text):
+    """Lower-case letters and single spaces, as the operator's alphabet has them for ASCII texts."""
+    return re.sub(r"[^a-z]+", " ", text.lower()).lstrip(" ")
+
+
+def _direct_evidence(training, texts, params):
+    """The statistic by its definition, symbol by symbol."""
+    order, d, share = toxicity_kn.ORDER, params.discount, params.toxic_share
+    counts = [Counter(), Counter()]
+    grams_of = lambda t: [(" " * order + t)[k + 1:k + 1 + order] for k in range(len(t))]
+    for t, y in training:
+        counts[y].update(grams_of(_symbols_of(t)))
+    every = set(counts[0]) | set(counts[1])
+    four, two = Counter(g[-4:] for g in every), Counter()
+    two.update(f[-2:] for f in four)
+
+    def share_of(table, key, below):
+        own = [k for k in table if k[:-1] == key[:-1]]
+        total = sum(table[k] for k in own)
+        return (table[key] - d) / total + d * len(own) / total * below
+
+    def ratio(g):
+        seen = [[k for k in c if k[:-1] == g[:-1]] for c in counts]
+        totals = [sum(c[k] for k in own) for c, own in zip(counts, seen)]
+        freed = [d * len(own) / total if total else 1.0 for own, total in zip(seen, totals)]
+        if g in every:
+            back = share_of(four, g[-4:], share_of(two, g[-2:], 1 / toxicity_kn.SYMBOLS))
+            p = [((c[g] - d) / total if c[g] else 0.0) + f * back for c, total, f in zip(counts, totals, freed)]
+            return math.log(p[1]) - math.log(p[0])
+        return math.log(freed[1]) - math.log(freed[0])
+
+    out = []
+    for t in texts:
+        t = _symbols_of(t)
+        units = re.findall(r"[a-z]{1,8}(?![a-z]) ?|[a-z]{8}", t)
+        assert "".join(units) == t
+        at, llr = 0, 0.0
+        for u in units:
+            s = sum(ratio((" " * order + t)[k + 1:k + 1 + order]) for k in range(at, at + len(u)))
+            llr += math.log1p(share * math.expm1(min(s, 30)))
+            at += len(u)
+        out.append((llr, len(units)))
+    return out
+
+
+@pytest.mark.parametrize("bounds", [{}, {"broadcast_grams": 20}, {"broadcast_grams": 0, "broadcast_contexts": 3}])
+def test_toxic_evidence_against_a_direct_one(spark, bounds):
+    """Whole texts, symbol by symbol; the same whether the model is broadcast or joined."""
+    params = toxicity_kn.ToxicityParams(**bounds)
+    training = [("foo bar foo, the riverbank", 0), ("foo baz bad badword", 1), ("bar bar bax abcdefghkindlyput", 0), ("bad bad foo abcdefghtoxicword", 1), ("", 0), ("x", 1)]
+    texts = ["foo bad", "abcdefghtoxicword here", "abcdefghkindlyput here", "", "zzz", "bad the river badword!", "a" * 40, "  lead 12 trail  ", "bad"]
+    counts = toxicity_kn.gram_counts(spark.createDataFrame([(t, y, False) for t, y in training], "text string, label int, fold boolean"))
+    docs = spark.createDataFrame([(n % 8, t) for n, t in enumerate(texts)], "key long, text string").repartition(3)
+    got = sorted((r.key, r.llr, r["size"]) for r in toxicity_kn.evidence(docs, counts, params).collect())
+    want = sorted((n % 8, *e) for n, e in enumerate(_direct_evidence(training, texts, params)))
+    assert [(k, n) for k, _, n in got] == [(k, n) for k, _, n in want]
+    assert np.allclose([e for _, e, _ in got], [e for _, e, _ in want], rtol=1e-9, atol=1e-12)
+    by = {k: e for k, e, _ in got}
+    assert by[1] > 0 > by[2]     # the first eight letters are the same
+
+
+def test_toxic_counts_by_class_and_fold(spark):
+    rows = [("ab ab", 0, False), ("ab", 1, True), ("ab", 0, True)]
+    got = {r.gram: tuple(r)[1:] for r in toxicity_kn.gram_counts(spark.createDataFrame(rows, "text string, label int, fold boolean")).collect()}
+    code = lambda g: int.from_bytes(g[::-1].encode(), "little")
+    assert got[code("     a")] == (2, 1, 1, 1) and got[code("    ab")] == (2, 1, 1, 1) and got[code("  ab a")] == (1, 0, 0, 0)
 
 
 def test_language(odd, none):
