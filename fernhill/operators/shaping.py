@@ -29,11 +29,16 @@ class MissingColumns(ValueError):
 
 def require_columns(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
     """Fail before any action when ``wanted`` is not inside the file's columns (exact names)."""
-    have = set(df.columns)
+    require_names(df.columns, wanted)
+    return df
+
+
+def require_names(have: Iterable[str], wanted: Iterable[str]) -> None:
+    """P7 for a list of column names."""
+    have = set(have)
     gap = [c for c in wanted if c not in have]
     if gap:
         raise MissingColumns(f"missing columns: {gap}; file has {sorted(have)}")
-    return df
 
 
 def keep_columns(df: DataFrame, wanted: Sequence[str]) -> DataFrame:

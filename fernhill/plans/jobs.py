@@ -20,17 +20,18 @@ from ..operators.resolve import record_matches, resolve_titles, titles_to_match
 from ..operators.snapshots import catalogue_latest, weekday_snapshots
 from ..operators.views import cdn_furthest_view
 from ..session import scratch_path
-from ..operators.shaping import require_columns
+from ..operators.shaping import require_columns, require_names
 from ..sinks.writers import append_load, write_matches_csv, write_parquet
+from ..sources.dynamic import read_dynamic_csv
 from ..sources.files import file_manifest
 from ..sources.readers import read_access_log, read_json_feed, read_report_csv, with_source_file
 from ..sources.split_csv import read_split_csv
-from .loads import LoadSpec, load_projection, spec_for_path
+from .loads import LoadSpec, load_dynamic, load_projection, spec_for_path
 
 
 def load_reports(spark: SparkSession, path: str, spec: LoadSpec | Mapping[str, LoadSpec], table_path: str,
                  run_id: str, start=None, end=None, constants: dict | None = None, idempotent: bool = True,
-                 na_values=(), required: Sequence[str] | None = None, multiline: bool = True) -> None:
+                 na_values=(), required: Sequence[str] | None = None, multiline: bool = True, any_header: bool = False) -> None:
     """CSV reports under ``path`` -> typed by ``spec`` -> appended to ``table_path``.
 
     ``spec`` may be specs by report name: the one for ``.../<channel>/<report>/<file>``
@@ -38,12 +39,20 @@ def load_reports(spark: SparkSession, path: str, spec: LoadSpec | Mapping[str, L
     (default: one accepted name of each field, and the period's columns; ``()``
     loads absent columns as null, P2) must be in the files or nothing is written
     (P7); every file must carry the same header, or the load fails and commits nothing.
+    With ``any_header`` files may differ: each row is read by the names of its own file (P2), all of whose headers must have the required columns.
 
     ``idempotent`` replaces this run's partition, so re-running a run after a
     failure leaves one copy (the reference's forced reload would double it)."""
     if not isinstance(spec, LoadSpec):
         spec, channel = spec_for_path(path, spec)
         constants = {"channel_name": channel, **(constants or {})}
+    if any_header:
+        rows, headers = read_dynamic_csv(spark, path)
+        for names in headers:
+            require_names(names, spec.required(names) if required is None else required)
+        typed = load_dynamic(rows, spec, run_id=run_id, start=start, end=end, constants=constants, na_values=na_values)
+        append_load(typed, table_path, idempotent=idempotent)
+        return
     if multiline:
         raw, file = read_split_csv(spark, path, na_values=na_values, source_col="landed file", same_header=True), F.col("`landed file`")
     else:

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions import casts as X
 from ..operators.shaping import q
+from ..sources.dynamic import FILE, ROW, by_name
 from ..sources.readers import source_file_column
 from ..sources.workbook import sheet_rows
 
@@ -185,6 +186,26 @@ def load_sheets(cells: DataFrame, spec: LoadSpec, run_id: str | None = None, sta
                            constants=constants, source_key=F.col("`workbook path`"))
 
 
+def load_dynamic(rows: DataFrame, spec: LoadSpec, run_id: str | None = None, start=None, end=None,
+                 constants: Mapping[str, str] | None = None, na_values: Sequence[str] = ()) -> DataFrame:
+    """P2/P3 + P1: dynamic rows (``sources.dynamic``) -> the typed table of ``spec``.
+
+    Each row is asked for every accepted name; of two spellings of one field the first
+    that holds a value is taken, and a row without any of them has a null.
+    """
+    na = [v for v in na_values if v != ""]
+
+    def value(name: str) -> Column:
+        v = by_name(ROW, name)
+        return F.when(~v.isin(na), v) if na else v
+
+    columns = {f.sources[0]: F.coalesce(*[value(s) for s in f.sources]).alias(f.sources[0]) for f in spec.fields}
+    for c in spec.period.cols:
+        columns.setdefault(c, value(c).alias(c))
+    return load_projection(rows.select(q(FILE), *columns.values()), spec, run_id=run_id, start=start, end=end,
+                           constants=constants, source_key=F.col(q(FILE)))
+
+
 def with_constants(df: DataFrame, **values) -> DataFrame:
     """Run constants as columns."""
     return df.select("*", *[F.lit(v).alias(k) for k, v in values.items()])

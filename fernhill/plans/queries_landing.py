@@ -8,12 +8,16 @@ from pyspark.sql import functions as F
 from ..operators.resolve import record_matches_bucketed
 from ..session import scratch_path
 from ..sinks.bucketed import create_bucketed, read_bucketed, upsert_bucketed
+from ..sinks.ledger import load_once, read_loads
 from ..sinks.writers import write_report_csv
 from ..sources.archive import archive_errors, read_archive_members
+from ..sources.dynamic import read_dynamic_csv
 from ..sources.quarantine import file_ledger, good_rows, read_outcomes
+from ..sources.readers import read_report_csv
 from ..sources.split_csv import read_split_csv
 from .derive import page_archives, part_reports
 from .jobs import csv_to_parquet
+from .loads import F_, LoadSpec, Period, load_dynamic
 from .queries_titles import RECORD_MATCHES_SQL, UPSERT_SQL, _match_rows, _upsert_source
 from .registry import register, table
 
@@ -104,3 +108,46 @@ def c22_record_matches_buckets(spark, sf):
     found.write.parquet(handed)
     record_matches_bucketed(spark, root, spark.read.schema(found.schema).parquet(handed))
     return read_bucketed(spark, root).drop("match_ts")
+
+
+#: A report whose partner moved, renamed and dropped columns over time.
+DRIFTING = LoadSpec("drifting", (F_("l_orderkey", "bigint", "Order Key"), F_("l_linenumber", "int", "Line No."), F_("discount", "percent", "Discount %", "Disc %"),
+                                 F_("tax", "float", "tax/line"), F_("note", "text", "it's a note")), Period("row_date", ("Ship Date",), "yyyy-MM-dd"))
+
+
+@register("p2_dynamic_rows", sql="""
+SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, CASE WHEN l_linenumber % 3 <> 2 THEN l_linenumber * 7 * 0.01::DOUBLE END AS discount,
+       CASE WHEN l_linenumber % 3 <> 1 THEN l_tax::DOUBLE END AS tax, CASE WHEN l_linenumber % 3 = 1 THEN 'a "b"' || chr(10) || l_returnflag END AS note,
+       CASE WHEN l_linenumber % 3 <> 0 THEN l_shipdate::DATE END AS start_date
+FROM lineitem
+""")
+def p2_dynamic_rows(spark, sf):
+    """Files with different headers, in other orders and spellings, load in one plan by exact name."""
+    li, root = table(spark, sf, "lineitem"), scratch_path(spark, "drifting")
+    columns = {"Order Key": "l_orderkey", "Line No.": "l_linenumber", "Discount %": "concat(l_linenumber * 7, '%')", "Disc %": "concat(l_linenumber * 7, '%')",
+               "tax/line": "l_tax", "TAX/LINE": "l_linestatus", "it's a note": "concat('a \"b\"', chr(10), l_returnflag)", "Ship Date": "cast(cast(l_shipdate AS date) AS string)"}
+    layouts = (("Order Key", "Line No.", "tax/line", "Disc %"), ("Ship Date", "Discount %", "it's a note", "Line No.", "Order Key", "TAX/LINE"),
+               ("tax/line", "Line No.", "Ship Date", "Order Key"))
+    for k, names in enumerate(layouts):
+        write_report_csv(li.where(F.col("l_linenumber") % 3 == k).select(*(F.expr(columns[n]).alias(n) for n in names)), f"{root}/layout-{k}")
+    rows, _ = read_dynamic_csv(spark, [f"{root}/layout-{k}" for k in range(len(layouts))])
+    return load_dynamic(rows, DRIFTING, run_id="run-1").select("l_orderkey", "l_linenumber", "discount", "tax", "note", "start_date")
+
+
+@register("k4_load_once", sql="""
+SELECT o_orderkey, o_orderstatus FROM orders UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'F'
+""")
+def k4_load_once(spark, sf):
+    """K4: a ledger of loaded files: a second run adds nothing, a new drop adds its files, a forced load doubles what it takes."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    landing, out, schema = scratch_path(spark, "landing-once"), scratch_path(spark, "loaded-once"), "o_orderkey string, o_orderstatus string"
+    read = lambda names: read_report_csv(spark, names, schema=schema)
+    write_report_csv(o.where("o_orderstatus = 'O'"), f"{landing}/drop-1")
+    load_once(spark, landing, out, read, glob="*.csv")
+    load_once(spark, landing, out, read, glob="*.csv")
+    write_report_csv(o.where("o_orderstatus NOT IN ('O', 'F')"), f"{landing}/drop-2")
+    load_once(spark, landing, out, read, glob="*.csv")
+    load_once(spark, landing, out, read, force=True, glob="*.csv")
+    write_report_csv(o.where("o_orderstatus = 'F'"), f"{landing}/drop-3")
+    load_once(spark, landing, out, read, glob="*.csv")
+    return read_loads(spark, out, schema).select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderstatus")

@@ -49,11 +49,16 @@ def _lines(spark: SparkSession, path: str | list[str], glob: str | None) -> Data
 
 
 def quote_ranges(lines: DataFrame) -> DataFrame:
-    """file, start, range, inside (whether the range begins inside a quoted field), open (whether it ends in one)."""
+    """file, start, range, inside (whether the range begins inside a quoted field), open (whether
+    it ends in one), head (the file's first line that is not blank)."""
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    each = lines.groupBy("file", "start", "range").agg((F.sum(quotes.cast("long")) % 2).alias("odd"))
-    upto = F.sum("odd").over(Window.partitionBy("file").orderBy("start")) % 2   # a row per range
-    return each.select("file", "start", "range", ((upto + F.col("odd")) % 2 == 1).alias("inside"), (upto == 1).alias("open"))
+    # a range is read by one task in its order, so the first line met is the first one
+    head = F.first(F.when((F.col("start") == 0) & (F.trim(F.regexp_replace("value", "\r$", "")) != ""), F.col("value")), ignorenulls=True)
+    each = lines.groupBy("file", "start", "range").agg((F.sum(quotes.cast("long")) % 2).alias("odd"), head.alias("head"))
+    along = Window.partitionBy("file")                                          # a row per range
+    upto = F.sum("odd").over(along.orderBy("start")) % 2
+    return each.select("file", "start", "range", ((upto + F.col("odd")) % 2 == 1).alias("inside"), (upto == 1).alias("open"),
+                       F.max("head").over(along).alias("head"))
 
 
 def _cut(texts: pa.Array, odd: np.ndarray, inside: bool) -> tuple[list[str], bool, bool]:
@@ -124,7 +129,7 @@ def _records(lines: DataFrame, ranges, pieces: bool, with_file: bool, header: li
                 if first and found:
                     head = next((k for k, t in enumerate(found) if t.strip()), None)
                     if head is not None:
-                        if header is not None and [h.strip() for h in next(csv.reader([found[head]]))] != header:
+                        if header is not None and parse_header(found[head]) != header:
                             raise HeaderDiffers(f"header differs: {found[head]} instead of {', '.join(header)}")
                         found, first = found[head + 1:], False
                 found = [t for t in found if t and t != "\r"]
@@ -141,6 +146,16 @@ def split_records(spark: SparkSession, path: str | list[str], glob: str | None =
     """text (and file): one row per CSV record of the files, headers and blank ones left out.
 
     With ``header`` a file with another one fails the read."""
+    return _split(spark, path, glob, with_file, header)[0].drop("layout")
+
+
+def split_layouts(spark: SparkSession, path: str | list[str], glob: str | None = None, with_file: bool = False) -> tuple[DataFrame, list[list[str]]]:
+    """text, layout (and file) of each record, and the column names of each layout: files may have different headers."""
+    records, heads = _split(spark, path, glob, with_file, None)
+    return records, [parse_header(h) for h in heads]
+
+
+def _split(spark: SparkSession, path: str | list[str], glob: str | None, with_file: bool, header: list[str] | None) -> tuple[DataFrame, list[str]]:
     lines = _lines(spark, path, glob)
     where = scratch_path(spark, "csv-ranges")
     quote_ranges(lines).write.parquet(where)
@@ -159,9 +174,18 @@ def split_records(spark: SparkSession, path: str | list[str], glob: str | None =
     along = Window.partitionBy("file").orderBy("start", "kind")
     parts = parts.drop("file").join(ranges.select("range", "start", "file"), "range").withColumn(
         "record", F.sum((F.col("kind") == TAIL).cast("long")).over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    joined = parts.groupBy("file", "record").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "text"))).alias("parts"))
-    texts = joined.select(F.array_join(F.col("parts.text"), "\n").alias("text"), *(["file"] * with_file))
-    return whole.select(*texts.columns).unionByName(texts)
+    joined = parts.groupBy("file", "record").agg(F.first("range").alias("range"), F.sort_array(F.collect_list(F.struct("start", "kind", "text"))).alias("parts"))
+    texts = joined.select("range", F.array_join(F.col("parts.text"), "\n").alias("text"), *(["file"] * with_file))
+    records = whole.select(*texts.columns).unionByName(texts)
+    heads = sorted(r.head for r in ranges.where(F.col("head").isNotNull()).select("head").distinct().collect())    # a row per layout
+    # twelve bytes for every split
+    layout = ranges.select("range", (F.array_position(F.array(*map(F.lit, heads)), F.col("head")) - 1).cast("int").alias("layout")) if len(heads) > 1 else None
+    records = records.drop("range").withColumn("layout", F.lit(0)) if layout is None else records.join(F.broadcast(layout), "range").drop("range")
+    return records, heads
+
+
+def parse_header(line: str) -> list[str]:
+    return [h.strip() for h in next(csv.reader([line.rstrip("\r")], skipinitialspace=True))]
 
 
 def _text_schema(spark: SparkSession, path: str | list[str], glob: str | None, opts: dict) -> T.StructType:
