@@ -16,10 +16,11 @@ out the threshold wait; of the others each document's most similar pair is align
 then all that would still join two classes. Equal word sequences are one node from the start.
 
 Members of buckets that are then still in several classes, as in a family whose members share a passage but
-are not similar, are held against one another by an exact prefix filter: shingles are ordered, frequent ones
+are not similar, are held against one another by an exact prefix filter on their distinct shingles, as links
+need the threshold for first occurrences too: these are ordered, frequent ones
 last, and two texts at the threshold share one among the first fifth of both. What they share there
-and what follows their last common one bounds all they can share; pairs below are ruled out, the others aligned as
-before, each document's best one first and then all that still join two classes, whatever their minima.
+and what follows their last common one bounds all they can share; pairs below are ruled out, and all others
+of different classes aligned, whatever their minima.
 
 The alignment is banded: a pair of matching shingles that lie further apart than the texts may differ at
 the threshold is part of no alignment that reaches it, so only those inside the band are looked at.
@@ -181,15 +182,9 @@ def shingle_rows(docs: DataFrame, nodes: DataFrame, text_col: str) -> DataFrame:
     return _texts(docs, text_col).mapInArrow(emit, "node binary, shingles binary").groupBy("node").agg(F.min("shingles").alias("shingles"))
 
 
-def relabelled(plain: np.ndarray) -> np.ndarray:
-    """A row's shingles, each hashed with its occurrence number."""
-    value = plain >> 1
-    order = np.argsort(value, kind="stable")
-    nth = np.arange(len(order))
-    again = np.r_[False, value[order][1:] == value[order][:-1]][:len(order)]
-    occurrence = np.empty(len(order), np.uint64)
-    occurrence[order] = nth - np.maximum.accumulate(np.where(again, 0, nth))
-    return mix(value.astype(np.uint64) + occurrence * np.uint64(BASE_WORDS_2))
+def distinct_shingles(plain: np.ndarray) -> np.ndarray:
+    """A row's distinct shingles: its first occurrences, hashed."""
+    return mix((plain[plain & 1 > 0] >> 1).astype(np.uint64))
 
 
 def common_subsequence(a: np.ndarray, b: np.ndarray, low: np.ndarray | None = None, high: np.ndarray | None = None) -> int:
@@ -335,7 +330,7 @@ def _frequent_map(shingles: DataFrame):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in byte_slices(batch, 0):
-                found, n = np.unique(np.concatenate([relabelled(np.frombuffer(x.as_buffer(), "<u4")) for x in part.column(0)]), return_counts=True)
+                found, n = np.unique(np.concatenate([distinct_shingles(np.frombuffer(x.as_buffer(), "<u4")) for x in part.column(0)]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["h", "n"])
 
     often = settle(shingles.select("shingles").mapInArrow(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n")).where(
@@ -347,7 +342,7 @@ def prefix_pairs(unsettled: DataFrame, shingles: DataFrame, threshold: float) ->
     """Pairs (a, b, agree) of nodes with different labels: all that can reach the threshold, and some others;
     ``agree`` counts the shingles that both have among their first ones.
 
-    Of n shingles, a pair at threshold t shares m >= t / (1 + t) (n_a + n_b). So in any order the first
+    Of n distinct shingles, a pair at threshold t shares m >= t / (1 + t) (n_a + n_b). So in any order the first
     shared one has at most n - m others before it in either text: it is among the first
     (1 - 2 t / (1 + t)) n + 1 of the shorter and the first (1 - t) n + 1 of the longer. All others that
     they share come after the last one shared among these, in both texts."""
@@ -358,7 +353,7 @@ def prefix_pairs(unsettled: DataFrame, shingles: DataFrame, threshold: float) ->
             for part in byte_slices(batch, 2):
                 sizes, found = [], []
                 for x in part.column(2):
-                    own = relabelled(np.frombuffer(x.as_buffer(), "<u4"))
+                    own = distinct_shingles(np.frombuffer(x.as_buffer(), "<u4"))
                     sizes.append(len(own))
                     order = np.lexsort((own, in_map(frequent.value, own)))
                     found.append(own[order[:int((1 - threshold) * sizes[-1] + 1e-6) + 1]])
@@ -386,13 +381,12 @@ def prefix_pairs(unsettled: DataFrame, shingles: DataFrame, threshold: float) ->
     return settle(met.where(enough).select("a", "b", "agree"), "near-within")
 
 
-def _joined(pairs: DataFrame, shingles: DataFrame, threshold: float, links: DataFrame | None = None) -> DataFrame:
-    """``links`` and the links among the written ``pairs`` (a, b, agree) that hold their classes together: each
+def _joined(pairs: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
+    """The links among the written ``pairs`` (a, b, agree) that hold their classes together: each
     document's most similar pair is aligned first, and then all that would still join two classes."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "agree")
     best = settle(ends.groupBy("node").agg(F.max(F.struct("agree", "a", "b")).alias("best")).select("best.a", "best.b").distinct(), "near-best")
-    first = _align(best, shingles, threshold, "near-links")
-    links = first if links is None else links.union(first)
+    links = _align(best, shingles, threshold, "near-links")
     labels = components(links)
     side = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
     rest = pairs.join(best, ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left").where(
@@ -412,7 +406,7 @@ def near_nodes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
     links = _joined(likely, shingles, threshold)
     unsettled = _unsettled(members, components(links))
     shingles = settle(shingle_rows(docs, unsettled.select("node"), text_col).join(unsettled.select("node"), "node"), "near-shingles")
-    labels = components(_joined(prefix_pairs(unsettled, shingles, threshold), shingles, threshold, links))
+    labels = components(links.union(_align(prefix_pairs(unsettled, shingles, threshold), shingles, threshold, "near-links")))
     known = nodes.select("node", "least", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     classes = settle(known.groupBy("label").agg(
         F.min("least").alias("class_id"), F.sum("copies").alias("class_size"),
