@@ -12,8 +12,10 @@ connected components of the links.
 
 A bucket is never expanded into its pairs. Its members are first held against three of them: the one
 that meets the most others over all buckets, and two by hash. Pairs whose lengths or 20 minima rule
-out the threshold wait; of the others each document's most similar pair is aligned first, and
-then all that would still join two classes. Equal word sequences are one node from the start.
+out the threshold wait; of the others each document's few most similar ones are aligned. Equal word sequences are one node from the start.
+
+A document also has a bitmap of 512 bits, in which each of its distinct shingles turns one bit over. Two bitmaps differ
+in at most as many bits as the texts differ in shingles, so many pairs below the threshold are ruled out exactly before their texts meet.
 
 Members of buckets that are then still in several classes, as in a family whose members share a passage but
 are not similar, are held against one another by an exact prefix filter on their distinct shingles, as links
@@ -38,7 +40,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .anchor_dedup import bit_map, in_map
@@ -54,6 +56,9 @@ AGREE = 10
 FILTER_MB = 32
 #: Shingles that more rows than this have come last in the order of the prefix filter; this changes nothing but time.
 FREQUENT = 8
+#: So many pairs of a document are aligned before the prefix filter.
+BEST = 4
+BITMAP = 512
 #: The bit of a labelled shingle that marks first occurrences; it is the lowest of the upper 32.
 FIRST = np.uint64(1 << 32)
 
@@ -120,6 +125,22 @@ def sketch_rows(shingles: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, n
     return keys, minima
 
 
+def bitmaps(shingles: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of each row, and its bitmap as 64-bit words: bits that an odd number of them fall on."""
+    row = np.repeat(np.arange(len(counts)), counts)
+    first = np.flatnonzero(shingles & FIRST)
+    at = row[first] * BITMAP + (mix(shingles[first]) >> np.uint64(40)).astype(np.int64) % BITMAP
+    odd = np.bincount(at, minlength=len(counts) * BITMAP) & 1
+    return np.bincount(row[first], minlength=len(counts)), np.packbits(odd.astype(bool).reshape(len(counts), BITMAP), axis=1).view("<i8")
+
+
+def _bitmaps_allow(a: Column, b: Column, a_distinct: Column, b_distinct: Column, threshold: float) -> Column:
+    """Whether the distinct shingles of two rows can agree at the threshold, going by their bitmaps."""
+    differ = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    both = a_distinct + b_distinct
+    return (both - differ) / 2 >= F.lit(threshold / (1 + threshold)) * both - 1e-6
+
+
 def _nodes(one: np.ndarray, two: np.ndarray) -> pa.Array:
     """The two hashes as 16 bytes: a document's node."""
     raw = np.stack([one, two], axis=1).astype("<u8").tobytes()
@@ -131,7 +152,7 @@ def _texts(docs: DataFrame, text_col: str, *others: Column) -> DataFrame:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, node (null without words), n (shingles), keys, minima of each document."""
+    """doc_id, node (null without words), n (shingles), keys, minima, n_distinct, bitmap of each document."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,15 +160,17 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 shingles, n, one, two, _ = labelled_shingles(words, counts)
                 some = n > 0
                 keys, minima = sketch_rows(shingles, n[some]) if some.any() else (np.zeros((0, SKETCHES), np.uint64), np.zeros((0, SKETCHES), np.uint32))
+                n_distinct, bits = bitmaps(shingles, n)
                 listed = lambda m, kind: pa.ListArray.from_arrays(
-                    pa.array(np.r_[0, np.cumsum(some)] * SKETCHES, pa.int32()), pa.array(m.ravel().view(kind)))
+                    pa.array(np.r_[0, np.cumsum(some)] * m.shape[1], pa.int32()), pa.array(m.ravel().view(kind)))
                 node = _nodes(one, two)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i), pa.compute.if_else(pa.array(some), node, pa.scalar(None, node.type)), pa.array(n.astype(np.int64)),
-                     listed(keys, np.int64), listed(minima, np.int32)], names=["doc_id", "node", "n", "keys", "minima"])
+                     listed(keys, np.int64), listed(minima, np.int32), pa.array(n_distinct), listed(np.ascontiguousarray(bits[some]), np.int64)],
+                    names=["doc_id", "node", "n", "keys", "minima", "n_distinct", "bitmap"])
 
     return _texts(docs, text_col, F.col(id_col).cast("long").alias("doc_id")).mapInArrow(
-        sign, "doc_id bigint, node binary, n bigint, keys array<bigint>, minima array<int>")
+        sign, "doc_id bigint, node binary, n bigint, keys array<bigint>, minima array<int>, n_distinct bigint, bitmap array<bigint>")
 
 
 def _fold(one: np.ndarray, two: np.ndarray) -> np.ndarray:
@@ -311,17 +334,19 @@ def _likely_pairs(nodes: DataFrame, threshold: float) -> tuple[DataFrame, DataFr
     pivots = settle(pivots.select("bucket", F.array_distinct(F.array("most.node", "low.node", "high.node")).alias("pivots")), "near-pivots")
     held = members.select("node", "bucket").join(pivots, "bucket").select("node", F.explode("pivots").alias("pivot")).where("node <> pivot")
     pairs = settle(held.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), "near-pairs")
-    side = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"{c}_n"), F.col("minima").alias(f"{c}_min"))
-    told = pairs.join(side("a"), "a").join(side("b"), "b").where(F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n"))
-    agree = F.aggregate(F.zip_with("a_min", "b_min", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
+    side = lambda c: nodes.select(F.col("node").alias(c), *(F.col(x).alias(f"{c}_{x}") for x in ("n", "minima", "n_distinct", "bitmap")))
+    told = pairs.join(side("a"), "a").join(side("b"), "b").where(
+        (F.least("a_n", "b_n") >= threshold * F.greatest("a_n", "b_n"))
+        & _bitmaps_allow(F.col("a_bitmap"), F.col("b_bitmap"), F.col("a_n_distinct"), F.col("b_n_distinct"), threshold))
+    agree = F.aggregate(F.zip_with("a_minima", "b_minima", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
     return settle(told.select("a", "b", agree.alias("agree")).where(F.col("agree") >= AGREE), "near-likely"), members.select("node", "bucket")
 
 
-def _unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """node, label of the members of buckets that hold several classes."""
+def _unsettled(members: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, label, bitmap of the members of buckets that hold several classes."""
     told = settle(members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "near-told")
     several = told.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
-    return settle(told.join(several, "bucket").select("node", "label").distinct(), "near-unsettled")
+    return settle(told.join(several, "bucket").select("node", "label").distinct().join(nodes.select("node", "bitmap"), "node"), "near-unsettled")
 
 
 def _frequent_map(shingles: DataFrame):
@@ -350,9 +375,9 @@ def prefix_pairs(unsettled: DataFrame, shingles: DataFrame, threshold: float) ->
 
     def first_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in byte_slices(batch, 2):
+            for part in byte_slices(batch, 3):
                 sizes, found = [], []
-                for x in part.column(2):
+                for x in part.column(3):
                     own = distinct_shingles(np.frombuffer(x.as_buffer(), "<u4"))
                     sizes.append(len(own))
                     order = np.lexsort((own, in_map(frequent.value, own)))
@@ -362,18 +387,19 @@ def prefix_pairs(unsettled: DataFrame, shingles: DataFrame, threshold: float) ->
                 n = np.array(sizes)[row]
                 short = place <= (1 - 2 * threshold / (1 + threshold)) * n + 1e-6
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c).take(pa.array(row)) for c in (0, 1)), pa.array(np.concatenate(found).view(np.int64)), pa.array(n), pa.array(place), pa.array(short)],
-                    names=["node", "label", "shingle", "n", "place", "short"])
+                    [*(part.column(c).take(pa.array(row)) for c in (0, 1, 2)), pa.array(np.concatenate(found).view(np.int64)), pa.array(n), pa.array(place), pa.array(short)],
+                    names=["node", "label", "bitmap", "shingle", "n", "place", "short"])
 
-    rows = settle(unsettled.join(shingles, "node").select("node", "label", "shingles").mapInArrow(
-        first_ones, "node binary, label binary, shingle bigint, n bigint, place bigint, short boolean"), "near-prefixes")
+    rows = settle(unsettled.join(shingles, "node").select("node", "label", "bitmap", "shingles").mapInArrow(
+        first_ones, "node binary, label binary, bitmap array<bigint>, shingle bigint, n bigint, place bigint, short boolean"), "near-prefixes")
     several = rows.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("short").alias("any")).where(
         "lo <> hi AND any").select("shingle")
     rows = settle(rows.join(several, "shingle"), "near-prefixes")
     a, b = rows.where("short").alias("a"), rows.alias("b")
     need = F.lit(threshold / (1 + threshold)) * (F.col("a.n") + F.col("b.n")) - 1e-6
     can = ((F.col("a.label") != F.col("b.label")) & ((F.col("a.n") < F.col("b.n")) | (F.col("a.n") == F.col("b.n")) & (F.col("a.node") < F.col("b.node")))
-           & (F.col("a.n") - F.col("a.place") >= need) & (F.col("b.n") - F.col("b.place") >= need) & (F.col("a.n") >= need))
+           & (F.col("a.n") - F.col("a.place") >= need) & (F.col("b.n") - F.col("b.place") >= need) & (F.col("a.n") >= need)
+           & _bitmaps_allow(F.col("a.bitmap"), F.col("b.bitmap"), F.col("a.n"), F.col("b.n"), threshold))
     met = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & can).groupBy(F.col("a.node").alias("a"), F.col("b.node").alias("b")).agg(
         F.count("*").alias("agree"), F.least(F.min(F.col("a.n") - F.col("a.place")), F.min(F.col("b.n") - F.col("b.place"))).alias("left"),
         F.first(F.col("a.n") + F.col("b.n")).alias("both"))
@@ -381,30 +407,21 @@ def prefix_pairs(unsettled: DataFrame, shingles: DataFrame, threshold: float) ->
     return settle(met.where(enough).select("a", "b", "agree"), "near-within")
 
 
-def _joined(pairs: DataFrame, shingles: DataFrame, threshold: float) -> DataFrame:
-    """The links among the written ``pairs`` (a, b, agree) that hold their classes together: each
-    document's most similar pair is aligned first, and then all that would still join two classes."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "agree")
-    best = settle(ends.groupBy("node").agg(F.max(F.struct("agree", "a", "b")).alias("best")).select("best.a", "best.b").distinct(), "near-best")
-    links = _align(best, shingles, threshold, "near-links")
-    labels = components(links)
-    side = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
-    rest = pairs.join(best, ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left").where(
-        F.coalesce("a_label", "a") != F.coalesce("b_label", "b"))
-    return links.union(_align(settle(rest, "near-rest"), shingles, threshold, "near-links"))
-
-
 def near_nodes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Written tables: doc_id, node of each document; node, class_id, class_size, keep (the
     node of the document that stays) of each node."""
     signed = settle(signatures(docs, id_col, text_col), "near-signatures")
     nodes = settle(signed.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.min("n").alias("n"), F.first("keys").alias("keys"), F.first("minima").alias("minima")), "near-nodes")
+        F.min("doc_id").alias("least"), F.count("*").alias("copies"), F.min("n").alias("n"), *(F.first(c).alias(c) for c in ("keys", "minima", "n_distinct", "bitmap"))), "near-nodes")
     likely, members = _likely_pairs(nodes, threshold)
-    ends = settle(likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-ends")
+    # each document's most similar pairs; whatever else could join two classes is left to the prefix filter
+    ends = likely.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "agree")
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.col("agree").desc(), "a", "b"))
+    best = settle(ends.withColumn("place", place).where(F.col("place") <= BEST).select("a", "b").distinct(), "near-best")
+    ends = settle(best.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "near-ends")
     shingles = settle(shingle_rows(docs, ends, text_col), "near-shingles")
-    links = _joined(likely, shingles, threshold)
-    unsettled = _unsettled(members, components(links))
+    links = _align(best, shingles, threshold, "near-links")
+    unsettled = _unsettled(members, components(links), nodes)
     shingles = settle(shingle_rows(docs, unsettled.select("node"), text_col).join(unsettled.select("node"), "node"), "near-shingles")
     labels = components(links.union(_align(prefix_pairs(unsettled, shingles, threshold), shingles, threshold, "near-links")))
     known = nodes.select("node", "least", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

@@ -156,13 +156,14 @@ def test_small_sources_come_near_their_targets_beside_any_other(spark, big):
     assert abs(told[big][1] - told[big][0]) <= 4
 
 
-def test_top_k(spark):
+@pytest.mark.parametrize("round_mb", [32, 0])
+def test_top_k(spark, round_mb):
     rng = np.random.default_rng(3)
     vectors = [(i, rng.normal(size=6).tolist()) for i in range(400)] + [
         (400, None), (401, [1.0, None]), (402, [float("nan")] * 6), (403, [float("inf")] * 6), (404, []), (405, [0.5]), (None, [0.1] * 6), (100, [9.0] * 6)]
     vectors += [(500 + i, [0.25] * 6) for i in range(30)]
-    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(5)
-    got = [tuple(r) for r in topk_nra.top_k(df, F.col("vec_id") % 100 == 0, 10, block_rows=64, query_rows=2, part_rows=16).collect()]
+    df = spark.createDataFrame([(*v, 7, "x", 0.5) for v in vectors], "vec_id long, embedding array<double>, row int, score string, rank double").repartition(5)
+    got = [tuple(r) for r in topk_nra.top_k(df, F.col("vec_id") % 100 == 0, 10, block_rows=64, query_rows=2, part_rows=16, round_mb=round_mb).collect()]
     usable = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in vectors if v is not None and all(x is not None and np.isfinite(x) for x in v)]
     want = []
     for a, (i, q) in enumerate(usable):
@@ -173,6 +174,26 @@ def test_top_k(spark):
     assert topk_nra.top_k(df.where("vec_id < 0"), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_lists_are_read_until_no_outsider_qualifies():
+    """Products are formed for entries that were read and rows that were resolved, and reading stops early where it can."""
+    rng = np.random.default_rng(12)
+    clusters = rng.integers(-400, 400, (20, 16))
+    data = (clusters[rng.integers(0, 20, 2000)] + rng.integers(-30, 30, (2000, 16))).T.copy()
+    lists, n = topk_nra.SortedLists(np.arange(2000), data), data.size
+    for q in range(0, 2000, 100):
+        query, before = data[:, q], (lists.read, lists.resolved)
+        exact = data.T @ query
+        want = np.sort(np.delete(exact, q))[-10:]
+        places, scores = lists.search(query, q, 10, None)
+        assert np.array_equal(scores, exact[places]) and np.array_equal(np.sort(scores)[-10:], want)
+        assert q not in places and set(np.flatnonzero(exact > want[0])) - {q} <= set(places.tolist())
+        assert lists.read - before[0] + 16 * (lists.resolved - before[1]) < n       # fewer products than a scan forms
+    assert lists.read < 0.6 * 20 * n and lists.resolved < 0.05 * 20 * 2000
+    # a floor that nothing here can reach ends the reading at the first entries
+    before = lists.read
+    assert len(lists.search(data[:, 0], 0, 10, 10 ** 9)[0]) == 0 and lists.read - before <= n // 64
+
+
 @pytest.mark.parametrize("window", [35, 6])
 def test_substring_dedup(odd, none, window):
     texts = odd.select("doc_id", "text").collect()
@@ -518,3 +539,33 @@ def test_banded_alignment_decides_as_the_whole_table():
             assert (got >= t) == (want >= t - 1e-12) and (got < t or abs(got - want) < 1e-12)
             reached += want >= t
     assert 100 < reached < 550
+
+
+def test_bitmaps_bound_what_texts_can_share():
+    import pyarrow as pa
+
+    from fernhill.llm import textvec
+
+    rng = np.random.default_rng(7)
+    base = [f"w{k}" for k in rng.integers(0, 500, 400)]
+    texts = ["", "one", "one one one one one one one"]
+    for n in range(40):
+        t = list(base)
+        for k in rng.integers(0, 400, 3 * n):
+            t[k] = f"x{rng.integers(10 ** 6)}"
+        texts.append(" ".join(t))
+    _, _, words, counts = next(textvec.word_slices(pa.array(texts)))
+    shingles, n, *_ = order_minhash.labelled_shingles(words, counts)
+    n_distinct, bits = order_minhash.bitmaps(shingles, n)
+    sets = []
+    for t in texts:
+        w = t.split()
+        sets.append({tuple(w[k:k + 5]) for k in range(len(w) - 4)} if len(w) > 4 else {tuple(w)} if w else set())
+    assert n_distinct.tolist() == [len(s) for s in sets]
+    differ = [[sum(int(x ^ y).bit_count() for x, y in zip(a.view("u8"), b.view("u8"))) for b in bits] for a in bits]
+    close = []
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert differ[i][j] <= len(a ^ b)
+            close += [differ[i][j] > 0.7 * len(a ^ b)] if len(a ^ b) <= 100 else []
+    assert len(close) > 100 and np.mean(close) > 0.95      # and the bound is near where texts are
