@@ -1,21 +1,23 @@
 """Exact top-k by inner product with no-random-access aggregation (Fagin's NRA).
 
-Vectors are turned to integers. A block of rows keeps one list per component, sorted by
-value. For a query, a list is read from the end at which the query's product is largest.
-What has been read bounds every row: a component that was met counts with its
-product, one that was not with at most the last product read from its list and at least
-with the smallest of the list. Reading goes on, deeper by rounds, until no row outside can reach the
-k-th best score known, and what is left is resolved to exact scores. Rows whose upper bound equals
-that score stay in, so ties are exact.
-
-Queries and rows meet in blocks: each query block is paired with each row block once, and each
-pair gives at most k rows per query, so nothing is joined row by row and nothing grows
-with the square of a group. Blocks are written first, so row identities are stable.
+Vectors are turned to integers. A part of the rows keeps one list per component: the rows' places, sorted by
+value. For a query, all lists are read side by side, each from the end at which the query's product is largest,
+and products are formed for the entries that are read alone. What has been read bounds every row: a component that was
+met counts with its product, one that was not with at most the last product read from its list and at least
+with the smallest of the list. Reading goes on, deeper by rounds, until no row that was never met and all but a
+few of those met can reach the k-th best score known; these few are resolved to exact scores. Rows whose
+upper bound equals that score stay in, so ties are exact. The k-th score found in earlier parts is
+the floor for the next ones, where reading so stops sooner, at once if no row there can reach it.
+
+Row blocks are written once and stay where they are; queries come to them, in rounds of a bounded
+number that is broadcast. A task keeps the k best per query over all its rows, so
+nothing is joined row by row and nothing grows with the square of a group.
 
 Defined cases: vectors that are null, or hold null or non-finite components take no part; a
 missing component of a shorter vector is 0; an empty vector scores 0; a null id is never a query, and comes
-last among ties; rows that repeat an id are rows of their own, and a query leaves out only its own row.
-Products must fit 64 bits, as they do for components below 2^20.
+last among ties; rows that repeat an id are rows of their own, and a query leaves out only its own row; other
+columns, whatever their names, are ignored. Sums of products must stay below 2^53, as they do for
+up to 8,192 components below 2^20. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from .common import settle
 
 SCALE = 1024
 #: Shares of each list that have been read after each round.
-DEPTHS = (1 / 2, 3 / 4, 7 / 8)
+DEPTHS = (1 / 64, 1 / 16, 1 / 4, 1 / 2, 5 / 8, 3 / 4, 7 / 8, 1)
 
 
 def _packed(rows: DataFrame, block_rows: int, name: str) -> DataFrame:
@@ -79,85 +81,113 @@ def _top(scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> np.nd
     return some[np.lexsort((rows[some], ids[some], -scores[some]))][:k]
 
 
-class RowBlock:
-    """Rows with one sorted list per component; ``data`` has a component per line."""
+class SortedLists:
+    """Some rows with one list per component; ``data`` has a component per line."""
 
     def __init__(self, rows: np.ndarray, data: np.ndarray):
         self.rows, self.data = rows, data
-        self.lists = np.sort(data, axis=1)
-
-    def _read(self, place: int, up: np.ndarray) -> np.ndarray:
-        """The value at ``place`` of each list, counted from the end that is read first."""
-        return np.where(up, self.lists[:, -1 - place], self.lists[:, place])
+        self.places = np.argsort(data, axis=1, kind="stable").astype(np.int32)
+        #: Entries read and rows resolved by all searches so far.
+        self.read, self.resolved = 0, 0
 
     def search(self, query: np.ndarray, own_row: int, k: int, floor: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Places and scores of all rows that can be among the k best; ``floor`` is a
         score that k other rows are known to reach."""
-        n = len(self.rows)
-        up = query > 0
-        live = np.flatnonzero(self.rows != own_row)
-        products = self.data * query[:, None]
-        if len(live) < n:
-            products = products[:, live]
-        least = (self._read(n - 1, up) * query)[:, None]
+        n, lines = len(self.rows), np.flatnonzero(query)
+        others = self.rows != own_row
+        if len(lines) == 0:
+            places = np.flatnonzero(others)
+            return places, np.zeros(len(places), np.int64)
+        q = query[lines, None]
+        up = q[:, 0] > 0
+        value = lambda at: self.data[lines, self.places[lines, np.where(up, n - 1 - at, at)]] * q[:, 0]
+        least = value(n - 1)
+        known, unread_least = np.zeros(n), np.full(n, float(least.sum()))
+        met = np.zeros((len(lines), n), bool)
+        done = 0
         for depth in DEPTHS:
-            if len(live) <= k:
+            upto = max(done + 1, int(n * depth))
+            # the next entries of every list, from its own end
+            at = np.where(up[:, None], n - 1 - np.arange(done, upto), np.arange(done, upto))
+            places = self.places[lines[:, None], at]
+            products = self.data[lines[:, None], places] * q
+            self.read += places.size
+            known += np.bincount(places.ravel(), products.ravel(), n)
+            unread_least -= np.bincount(places.ravel(), np.repeat(least, upto - done), n)
+            np.put_along_axis(met, places, True, axis=1)
+            done = upto
+            if done == n:
                 break
-            last = (self._read(min(n - 1, int(n * depth)), up) * query)[:, None]
-            if floor is not None:
-                # a product that was not met is at most the last one read
-                upper = np.maximum(products, last).sum(axis=0, dtype=products.dtype)
-                keep = np.flatnonzero(upper >= floor)
-                live, products = live[keep], products[:, keep]
-            if len(live) > k:
-                lower = np.where(products > last, products, least).sum(axis=0, dtype=products.dtype)
-                kth = int(np.partition(lower, len(live) - k)[len(live) - k])
+            last = value(done - 1)
+            lower = (known + unread_least)[others]
+            if len(lower) > k:
+                kth = int(np.partition(lower, len(lower) - k)[len(lower) - k])
                 floor = kth if floor is None else max(floor, kth)
-        return live, products.sum(axis=0, dtype=np.int64)
-
+            if floor is None or last.sum() >= floor:
+                continue             # a row that was never met may still qualify
+            live = np.flatnonzero(others & met.any(axis=0))
+            live = live[known[live] + last.sum() - last @ met[:, live] >= floor]
+            if len(live) <= max(4 * k, n // 32):
+                self.resolved += len(live)
+                return live, (self.data[:, live] * query[:, None]).sum(axis=0)
+        live = np.flatnonzero(others)
+        return live, known[live].astype(np.int64)
 
-def _narrow(data: np.ndarray, queries: np.ndarray) -> type:
-    """int32 if every sum of products fits it, else int64."""
-    most = max(int(np.abs(data).max(initial=0)), 1) * max(int(np.abs(queries).max(initial=0)), 1) * max(data.shape[1], 1)
-    return np.int32 if most < 2 ** 31 else np.int64
 
+def _search_in(queries, k: int, part_rows: int):
+    """The k best of a task's rows for each of the broadcast queries (rows, ids, matrix)."""
 
-def _search_pairs(k: int, part_rows: int):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q_rows, q_ids, q_data = queries.value
+        none = np.zeros(0, np.int64)
+        best = [(none, none, none, none > 0)] * len(q_rows)     # scores, rows, ids, whether the id is there
         for batch in batches:
-            for pair in batch.to_pylist():
-                q_rows, q_ids = (np.frombuffer(pair[c], "<i8") for c in ("q_rows", "q_ids"))
-                rows, ids = (np.frombuffer(pair[c], "<i8") for c in ("rows", "ids"))
-                ids = np.where(np.frombuffer(pair["valid"], "u1") > 0, ids, np.iinfo(np.int64).max)
-                valid = np.frombuffer(pair["valid"], "u1") > 0
-                width = max(pair["width"], pair["q_width"])
-                data, queries = np.zeros((len(rows), width), np.int64), np.zeros((len(q_rows), width), np.int64)
-                data[:, :pair["width"]] = np.frombuffer(pair["data"], "<i8").reshape(len(rows), pair["width"])
-                queries[:, :pair["q_width"]] = np.frombuffer(pair["q_data"], "<i8").reshape(len(q_rows), pair["q_width"])
-                kind = _narrow(data, queries)
-                data, queries = np.ascontiguousarray(data.T, kind), queries.astype(kind)
-                best = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(q_rows)
+            for block in batch.to_pylist():
+                rows, ids, valid = np.frombuffer(block["rows"], "<i8"), np.frombuffer(block["ids"], "<i8"), np.frombuffer(block["valid"], "u1") > 0
+                ids = np.where(valid, ids, np.iinfo(np.int64).max)
+                width = max(block["width"], q_data.shape[1])
+                data, wanted = np.zeros((width, len(rows)), np.int64), np.zeros((len(q_rows), width), np.int64)
+                data[:block["width"]] = np.frombuffer(block["data"], "<i8").reshape(len(rows), block["width"]).T
+                wanted[:, :q_data.shape[1]] = q_data
                 for at in range(0, len(rows), part_rows):
-                    block = RowBlock(rows[at:at + part_rows], data[:, at:at + part_rows])
-                    for q in range(len(q_rows)):
-                        places, scores = best[q]
-                        floor = int(scores[-1]) if len(scores) >= k else None
-                        found, new = block.search(queries[q], q_rows[q], k, floor)
-                        places, scores = np.r_[places, found + at], np.r_[scores, new]
-                        top = _top(scores, ids[places], rows[places], k)
-                        best[q] = (places[top], scores[top])
-                places = np.concatenate([p for p, _ in best])
-                counts = [len(p) for p, _ in best]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(q_rows, counts)), pa.array(np.repeat(q_ids, counts)), pa.array(rows[places]),
-                     pa.array(ids[places], mask=~valid[places]), pa.array(np.concatenate([s for _, s in best]))],
-                    names=["query_row", "query_id", "row", "vec_id", "score"])
+                    span = slice(at, at + part_rows)
+                    part = SortedLists(rows[span], np.ascontiguousarray(data[:, span]))
+                    for n in range(len(q_rows)):
+                        scores, own, own_ids, own_valid = best[n]
+                        places, new = part.search(wanted[n], q_rows[n], k, int(scores[-1]) if len(scores) >= k else None)
+                        places += at
+                        scores, own = np.r_[scores, new], np.r_[own, rows[places]]
+                        own_ids, own_valid = np.r_[own_ids, ids[places]], np.r_[own_valid, valid[places]]
+                        top = _top(scores, own_ids, own, k)
+                        best[n] = (scores[top], own[top], own_ids[top], own_valid[top])
+        counts = [len(b[0]) for b in best]
+        if sum(counts):
+            scores, own, own_ids, own_valid = (np.concatenate([b[c] for b in best]) for c in range(4))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(q_rows, counts)), pa.array(np.repeat(q_ids, counts)), pa.array(own), pa.array(own_ids, mask=~own_valid), pa.array(scores)],
+                names=["query_row", "query_id", "row", "vec_id", "score"])
 
     return search
 
 
+def _rounds(queries: DataFrame, round_mb: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The query blocks in groups of about ``round_mb``: (rows, ids, matrix)."""
+    sizes = [(r["block"], r["size"]) for r in queries.select("block", F.length("data").alias("size")).orderBy("block").collect()]   # two numbers per 512 queries
+    while sizes:
+        taken, size = [], 0
+        while sizes and (not taken or size + sizes[0][1] <= round_mb << 20):
+            block, own = sizes.pop(0)
+            taken.append(block)
+            size += own
+        got = queries.where(F.col("block").isin(taken)).toArrow().to_pylist()
+        width = max(b["width"] for b in got)
+        parts = [np.frombuffer(b["data"], "<i8").reshape(-1, b["width"]) if b["width"] else np.zeros((len(b["rows"]) // 8, 0), np.int64) for b in got]
+        yield (np.concatenate([np.frombuffer(b["rows"], "<i8") for b in got]), np.concatenate([np.frombuffer(b["ids"], "<i8") for b in got]),
+               np.concatenate([np.pad(p, ((0, 0), (0, width - p.shape[1]))) for p in parts]))
+
+
 def top_k(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding",
-          block_rows: int = 16384, query_rows: int = 512, part_rows: int = 2048) -> DataFrame:
+          block_rows: int = 16384, query_rows: int = 512, part_rows: int = 2048, round_mb: int = 32) -> DataFrame:
     """For each row for which the column ``is_query`` holds: query_id, rank, vec_id, score of its k best others."""
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     usable = F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
@@ -166,13 +196,11 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id", vec
         F.coalesce(is_query, F.lit(False)).alias("is_query")), "nra-rows")
     blocks = _packed(rows.drop("is_query"), block_rows, "nra-blocks")
     queries = _packed(rows.where("is_query").drop("is_query"), query_rows, "nra-queries")
-    q = queries.select(F.col("block").alias("q_block"), *(F.col(c).alias(f"q_{c}") for c in ("rows", "ids", "data", "width")))
-    # every query block meets every row block: query blocks are dealt over as many groups as
-    # there are blocks, and each row block is copied for each group
-    groups = max(1, queries.count())
-    q = q.withColumn("group", F.pmod(F.xxhash64("q_block"), F.lit(groups)).cast("int"))
-    pairs = blocks.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).join(q, "group").drop("group")
-    pairs = pairs.repartition(8 * groups, "q_block", "block")
-    found = pairs.mapInArrow(_search_pairs(k, part_rows), "query_row bigint, query_id bigint, row bigint, vec_id bigint, score bigint")
+    schema = "query_row bigint, query_id bigint, row bigint, vec_id bigint, score bigint"
+    found = vectors.sparkSession.createDataFrame([], schema)
+    for own in _rounds(queries, round_mb):
+        known = vectors.sparkSession.sparkContext.broadcast(own)
+        found = found.union(settle(blocks.mapInArrow(_search_in(known, k, part_rows), schema), "nra-found"))
+        known.unpersist()
     place = F.row_number().over(Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last(), "row"))
     return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
