@@ -15,6 +15,7 @@ from ..sources.dynamic import read_dynamic_csv
 from ..sources.quarantine import file_ledger, good_rows, read_outcomes
 from ..sources.readers import read_report_csv
 from ..sources.split_csv import read_split_csv
+from ..streaming.latest import keep_latest, read_latest
 from .derive import page_archives, part_reports
 from .jobs import csv_to_parquet
 from .loads import F_, LoadSpec, Period, load_dynamic
@@ -151,3 +152,18 @@ def k4_load_once(spark, sf):
     write_report_csv(o.where("o_orderstatus = 'F'"), f"{landing}/drop-3")
     load_once(spark, landing, out, read, glob="*.csv")
     return read_loads(spark, out, schema).select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_orderstatus")
+
+
+@register("c2_kept_latest", sql="""
+SELECT event_id, ts, user_id, event_type, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1
+""")
+def c2_kept_latest(spark, sf):
+    """C2 over I1: three drops of the feed, the newest first, each merged into the kept table; the feed is read once."""
+    e, root = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value"), scratch_path(spark, "kept-latest")
+    for k in (2, 0, 1):
+        e.where(F.dayofmonth("ts") % 3 == k).write.parquet(f"{root}/landing/drop-{k}")
+        keep_latest(spark, f"{root}/landing", e.schema, f"{root}/table", f"{root}/_checkpoint", ["user_id"], ["ts", "event_id"],
+                    fmt="parquet", options={"recursiveFileLookup": "true"}, buckets=16)
+    return read_latest(spark, f"{root}/table")
