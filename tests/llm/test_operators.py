@@ -567,5 +567,5 @@ def test_bitmaps_bound_what_texts_can_share():
     for i, a in enumerate(sets):
         for j, b in enumerate(sets):
             assert differ[i][j] <= len(a ^ b)
-            close += [differ[i][j] > 0.7 * len(a ^ b)] if len(a ^ b) <= 100 else []
-    assert len(close) > 100 and np.mean(close) > 0.95      # and the bound is near where texts are
+            close += [differ[i][j] > 0.7 * len(a ^ b)] if 0 < len(a ^ b) <= 100 else []
+    assert len(close) >= 10 and np.mean(close) > 0.95      # and the bound is near where texts are
