@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -52,7 +53,7 @@ def ensure_checkpoint_dir(spark: SparkSession, local_folder: str = "/tmp/fernhil
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured and not (sc.master or "").startswith("local"):
+    if not configured and not re.fullmatch(r"local(\[.*\])?", sc.master or ""):
         raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     sc.setCheckpointDir(configured or local_folder)
     return sc.getCheckpointDir()
