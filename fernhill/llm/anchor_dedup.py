@@ -14,7 +14,7 @@ bound, only bring more windows to the exact comparison. Windows that repeat with
 passes on one of them, so a passage in a third of all documents gives a row per batch, not per document.
 
 Defined cases: null text has no words; empty text has none either, and the digest of no bytes;
-documents that repeat an id and a text repeat each other. Other columns are ignored. An empty table
+documents that repeat an id and a text repeat each other. Memory is bounded by the longest text. Other columns are ignored. An empty table
 gives an empty result.
 """
 

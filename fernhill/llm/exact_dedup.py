@@ -12,7 +12,7 @@ more unique rows pass the filter and shuffle; the result is the same.
 Defined cases: null text counts as empty and empty texts are equal; a null doc_id
 sorts after all others; rows that repeat the same id and an equal text of the same
 length tie, and one of them stays. Columns other than the named ones are ignored by
-``find_copies`` and kept by ``drop_copies``. An empty table gives an empty result.
+``find_copies`` and kept by ``drop_copies``. Texts of any length are compared by their digests. An empty table gives an empty result.
 """
 
 from __future__ import annotations

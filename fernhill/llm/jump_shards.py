@@ -5,7 +5,7 @@ shards moves 1 / (n + 1) of the keys, all into the new shard, and no ring table
 
 Defined cases: a null key counts as one more key value; null text has size 0 + 1 and
 the CRC of no bytes; repeated rows fall into the same shard and get slots of their own.
-An empty table gives an empty result.
+Texts of any length are measured as a whole; other columns, whatever their names, are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations

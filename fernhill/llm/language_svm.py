@@ -10,7 +10,8 @@ chosen by hash (a documented bound); everything is scored on whole texts.
 
 Defined cases: `und` with score 0 if a text is null or has no letter, or if nothing was learned; a
 null language trains nothing; with one language, every text with a letter gets it with score 1; a
-language that is in no family of the table is a family by itself. An empty table gives an empty result.
+language that is in no family of the table is a family by itself; repeated rows count and are predicted each; other
+columns, whatever their names, are ignored. Memory is bounded by the longest text. An empty table gives an empty result.
 """
 
 from __future__ import annotations

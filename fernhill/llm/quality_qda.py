@@ -11,7 +11,8 @@ The moments are sums over all labelled training rows, so training is one aggrega
 Defined cases: null text counts as empty and gets a score like any other; rows without a
 label, and labels that are null, train nothing; conflicting labels all count; with fewer than three
 rows of a class the score is the share of label 1 (0.5 without labels). Labels repeated
-for an id count as often as they stand there. An empty table gives an empty result.
+for an id count as often as they stand there; other columns, whatever their names, are ignored, and ``keep_good``
+keeps them. Texts are worked on in slices, so memory is bounded by the longest one. An empty table gives an empty result.
 """
 
 from __future__ import annotations
