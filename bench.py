@@ -25,7 +25,7 @@ HEADLINE = [
     "c1_furthest_view",
     "c2_catalogue_latest",
     "c3_weekday_snapshots",
-    "p1_load_projection",
+    "c5_basic_metrics",
     "c9_finance",
     "c16_catalogue_shows",
     "c20_titles_to_match",

@@ -139,13 +139,17 @@ def t8_day_window(spark, sf):
     return e.where(X.day_window("ts", F.lit("2024-01-20").cast("date"), days_back=7, length=3)).select("event_id", "ts")
 
 
-@register("t9_run_clock", sql="SELECT o_orderkey, true AS stamped, true AS one_clock FROM orders")
+@register("t9_run_clock", sql="""
+SELECT o_orderkey AS id, true AS stamped, true AS one_clock FROM orders UNION ALL SELECT s_suppkey, true, true FROM supplier
+""")
 def t9_run_clock(spark, sf):
-    """Every row has the load time, after the query was built and the same on all rows of a run."""
+    """Two tables loaded in one run: every row has the load time, after the query was built, and both tables the same."""
     built = F.lit(dt.datetime.now(dt.timezone.utc) - dt.timedelta(seconds=1))
-    loaded = table(spark, sf, "orders").select("o_orderkey", X.run_clock().alias("loaded_ts"))
-    return loaded.select("o_orderkey", F.coalesce(F.col("loaded_ts") >= built, F.lit(False)).alias("stamped"),
-                         (F.col("loaded_ts") == X.run_clock()).alias("one_clock"))
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), X.run_clock().alias("loaded_ts"))
+    suppliers = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), X.run_clock().alias("loaded_ts"))
+    loaded = orders.unionByName(suppliers)
+    first = loaded.select(F.min("loaded_ts")).scalar()
+    return loaded.select("id", F.coalesce(F.col("loaded_ts") >= built, F.lit(False)).alias("stamped"), (F.col("loaded_ts") == first).alias("one_clock"))
 
 
 # ------------------------------------------------------------------ strings

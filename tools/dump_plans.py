@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from fernhill.plans.registry import load_all  # noqa: E402
 from fernhill.session import build_session  # noqa: E402
 
-QUERIES = ["c1_furthest_view", "c2_catalogue_latest", "c3_weekday_snapshots", "p1_load_projection",
+QUERIES = ["c1_furthest_view", "c2_catalogue_latest", "c3_weekday_snapshots", "c5_basic_metrics",
            "j2_not_in", "k5_upsert", "c21_resolve_titles"]
 
 
