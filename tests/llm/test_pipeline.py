@@ -29,8 +29,10 @@ def folder(spark, tmp_path_factory):
             for k in rng.choice(120, (0, 1, 3, 14)[c], replace=False):
                 text[k] = f"changed{c}"
             rows.append((1000 + 10 * g + c, " ".join(text), "en", f"s{g % 3}", None, *(["q"] * 14)))
+    junk = [(2000 + n, " ".join(f"$${rng.integers(10 ** 6)} !!! ##{k % 7}" for k in range(40 + n)), "en", "b", None, *(["q"] * 14)) for n in range(40)]
+    rows += junk
     spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{path}/documents.parquet")
-    labels = [(r[0], int(len(r[1] or "") > 400 or r[0] % 2), 0) for r in rows if r[0] is not None]
+    labels = [(r[0], int(r[0] < 2000), 0) for r in rows if r[0] is not None and r[0] >= 100]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
     return path
 
