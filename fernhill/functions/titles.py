@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .casts import ColumnOrName, _c
-
 # fixed values: the three title patterns (Python `re` syntax; Java accepts them
 # unchanged). "(?U)" makes \W, \s and \d Unicode-aware in Java as they are in Python.
 ITEM_ITEMSET_PATTERN = r"(?:^|\W)(?i:s|itemset)\W?\s?(\d{1,2})\s?[_\W]?\s?(?i:e|item)\W?\s?(\d{1,3})(\W.*|$)"
@@ -30,8 +28,9 @@ def _strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
-def parse_title(c: ColumnOrName) -> Column:
-    """M1–M3: ``struct(title, year, itemset, item, item_title)``; null title -> null struct.
+def parse_titles(df, c: str = "title", into: str = "parsed"):
+    """M1–M3: add ``struct(title, year, itemset, item, item_title)`` of column ``c`` as column
+    ``into``; null title -> null struct.
 
     M1: "_" becomes a blank; the first bracketed 4-digit number is the year when
     it lies in [1900, this year], and then every bracketed year is removed.
@@ -39,43 +38,8 @@ def parse_title(c: ColumnOrName) -> Column:
     first character dropped, then trimmed; empty -> null); the match to the
     end of the title is removed.
     M3: only when M2 fails, "itemset 4" gives the itemset number.
-    """
-    raw = _c(c)
-    t0 = F.replace(raw, F.lit("_"), F.lit(" "))
-
-    year_txt = F.regexp_extract(t0, _U + YEAR_PATTERN, 1)
-    year_num = (F.substring(year_txt, 2, 4)).try_cast("int")
-    year_ok = year_num.between(F.lit(FIRST_YEAR), F.year(F.current_date()))
-    year = F.when(year_ok, year_num)
-    t1 = F.when(year_ok, F.regexp_replace(t0, _U + YEAR_PATTERN, "")).otherwise(t0)
-
-    m2 = t1.rlike(_U + ITEM_ITEMSET_PATTERN)
-    m2_itemset = (F.regexp_extract(t1, _U + ITEM_ITEMSET_PATTERN, 1)).try_cast("int")
-    m2_item = (F.regexp_extract(t1, _U + ITEM_ITEMSET_PATTERN, 2)).try_cast("int")
-    rest = F.regexp_extract(t1, _U + ITEM_ITEMSET_PATTERN, 3)
-    rest_title = F.when(F.length(rest) > 1, _strip(F.substr(rest, F.lit(2))))
-    rest_title = F.when(rest_title != "", rest_title)
-
-    m3 = ~m2 & t1.rlike(_U + ITEMSET_ONLY_PATTERN)
-    m3_itemset = (F.regexp_extract(t1, _U + ITEMSET_ONLY_PATTERN, 1)).try_cast("int")
-
-    t2 = F.when(m2, F.regexp_replace(t1, _U + ITEM_ITEMSET_PATTERN, "")) \
-        .when(m3, F.regexp_replace(t1, _U + ITEMSET_ONLY_PATTERN, "")) \
-        .otherwise(t1)
 
-    parsed = F.struct(
-        _strip(t2).alias("title"),
-        year.alias("year"),
-        F.when(m2, m2_itemset).when(m3, m3_itemset).alias("itemset"),
-        F.when(m2, m2_item).alias("item"),
-        F.when(m2, rest_title).alias("item_title"),
-    )
-    return F.when(raw.isNotNull(), parsed)
-
-
-def parse_titles(df, c: str = "title", into: str = "parsed"):
-    """Add the parsed struct of column ``c`` as column ``into`` (same rules as
-    ``parse_title``), computed in stages: each regex runs once per row and the
+    It is computed in stages: each regex runs once per row and the
     generated code stays small. Catalyst keeps the stages apart because it
     does not inline a non-trivial expression into several consumers."""
     keep = [F.col(f"`{x}`") for x in df.columns]
