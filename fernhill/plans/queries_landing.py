@@ -14,6 +14,7 @@ from ..sources.archive import archive_errors, read_archive_members
 from ..sources.dynamic import read_dynamic_csv
 from ..sources.quarantine import file_ledger, good_rows, read_outcomes
 from ..sources.readers import read_report_csv
+from ..sources.schema_registry import read_registered
 from ..sources.split_csv import read_split_csv
 from ..streaming.latest import keep_latest, read_latest
 from .derive import page_archives, part_reports
@@ -167,3 +168,17 @@ def c2_kept_latest(spark, sf):
         keep_latest(spark, f"{root}/landing", e.schema, f"{root}/table", f"{root}/_checkpoint", ["user_id"], ["ts", "event_id"],
                     fmt="parquet", options={"recursiveFileLookup": "true"}, buckets=16)
     return read_latest(spark, f"{root}/table")
+
+
+@register("s7_registered_schema", sql="""
+SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN l_returnflag = 'R' THEN l_tax END AS l_tax FROM lineitem
+""")
+def s7_registered_schema(spark, sf):
+    """Staged parts that differ in columns and types, read under the schema that a registry keeps."""
+    li, root = table(spark, sf, "lineitem"), scratch_path(spark, "registered")
+    drops = (("l_returnflag = 'A'", ["l_orderkey", F.col("l_linenumber").cast("smallint").alias("l_linenumber"), "l_quantity"]),
+             ("l_returnflag = 'R'", ["l_tax", "l_orderkey", "l_linenumber", "l_quantity"]), ("l_returnflag NOT IN ('A', 'R')", ["l_orderkey", "l_linenumber", "l_quantity"]))
+    for k, (which, columns) in enumerate(drops):
+        li.where(which).select(*columns).write.parquet(f"{root}/staged/drop-{k}")
+        out = read_registered(spark, f"{root}/staged", f"{root}/registry")
+    return out.select("l_orderkey", "l_linenumber", "l_quantity", "l_tax")
