@@ -15,9 +15,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def limit_batches(spark: SparkSession, most_mb: int = 8) -> None:
+    """Bound the Arrow batches of this session: a Python worker and the executor hold several
+    at a time, and 10,000 rows of text may be 64 MB. A smaller bound of the session's own stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(name, "-1b")
+    if not own.removesuffix("b").isdigit() or int(own.removesuffix("b")) > most_mb << 20:
+        spark.conf.set(name, str(most_mb << 20))
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: the lineage is
     cut, later passes do not recompute it, and a lost executor costs nothing."""
+    limit_batches(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
