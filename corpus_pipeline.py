@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fernhill.llm import exact_dedup, order_minhash, packing, quality_qda, source_mix
-from fernhill.llm.common import settle
+from fernhill.llm.common import limit_batches, settle
 from fernhill.llm.queries import QUALITY_THRESHOLD, tokenizer_path, training_labels
 from fernhill.session import ensure_checkpoint_dir, ship_package
 
@@ -51,13 +51,14 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("exact", exact), ("near", near), ("mix", mix), ("pack", pack)]
 
-#: SQL expresses neither the classifier nor the near-duplicate stage; a test holds the rows against a brute-force version.
+#: SQL expresses neither the classifier nor the near-duplicate stage; tests/llm/test_pipeline.py holds each stage against plain Python.
 ORACLE_SQL = None
 
 
 def _ready(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
     ship_package(spark)
+    limit_batches(spark)
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
