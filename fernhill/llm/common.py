@@ -19,8 +19,8 @@ def limit_batches(spark: SparkSession, most_mb: int = 8) -> None:
     """Bound the Arrow batches of this session: a Python worker and the executor hold several
     at a time, and 10,000 rows of text may be 64 MB. A smaller bound of the session's own stays."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    own = spark.conf.get(name, "-1b")
-    if not own.removesuffix("b").isdigit() or int(own.removesuffix("b")) > most_mb << 20:
+    own = spark.conf.get(name).removesuffix("b")
+    if not own.isdigit() or int(own) > most_mb << 20:
         spark.conf.set(name, str(most_mb << 20))
 
 
