@@ -226,8 +226,11 @@ def xlsx_bytes(sheets: dict[str, list[list]]) -> bytes:
 ORDER_SHEET_HEADER = ["Order Key", "Status", "Priority", "Total", "Order Date", "Customer"]
 
 
+WORKBOOK_ROWS = 10_000   # rows a workbook: their number grows with the table, their size does not
+
+
 def order_workbooks(orders: DataFrame) -> DataFrame:
-    """Partner-style workbooks from ``orders``: one workbook per partition, one sheet per
+    """Partner-style workbooks from ``orders``: workbooks of about ``WORKBOOK_ROWS`` rows, one sheet per
     month ("MM.yyyy") plus a "Summary" sheet; two preamble rows, a header, the rows,
     and two footer rows per sheet. Returns (path, content) rows."""
     import pandas as pd
@@ -241,21 +244,27 @@ def order_workbooks(orders: DataFrame) -> DataFrame:
                  F.lpad((F.col("o_custkey") % 1000).cast("string"), 3, "0")).alias("cust"),
         F.spark_partition_id().alias("pid"))
 
+    def book(pid, n, sheets):
+        out = {"Summary": [["report"], ["generated"], ["Total", len(sheets)]]}
+        for name, body in sorted(sheets.items()):
+            out[name] = [["Partner report"], [f"Month {name}"], ORDER_SHEET_HEADER] + body + \
+                        [[None], ["Total rows", len(body)]]
+        return pd.DataFrame([(f"orders-{pid:05d}-{n:05d}.xlsx", xlsx_bytes(out))], columns=["path", "content"])
+
     def build(batches):
-        parts: dict[int, dict[str, list]] = {}
+        sheets: dict[str, list] = {}
+        n = held = pid = 0
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                sheet = parts.setdefault(int(r.pid), {}).setdefault(r.sheet, [])
-                sheet.append([int(r.o_orderkey), r.o_orderstatus, r.o_orderpriority, float(r.o_totalprice),
-                              r.d, r.cust])
-        out = []
-        for pid, sheets in parts.items():
-            book = {"Summary": [["report"], ["generated"], ["Total", len(sheets)]]}
-            for name, body in sorted(sheets.items()):
-                book[name] = [["Partner report"], [f"Month {name}"], ORDER_SHEET_HEADER] + body + \
-                             [[None], ["Total rows", len(body)]]
-            out.append((f"orders-{pid:05d}.xlsx", xlsx_bytes(book)))
-        yield pd.DataFrame(out, columns=["path", "content"])
+                pid = int(r.pid)
+                sheets.setdefault(r.sheet, []).append([int(r.o_orderkey), r.o_orderstatus, r.o_orderpriority,
+                                                       float(r.o_totalprice), r.d, r.cust])
+                held += 1
+                if held >= WORKBOOK_ROWS:
+                    yield book(pid, n, sheets)
+                    sheets, held, n = {}, 0, n + 1
+        if sheets:
+            yield book(pid, n, sheets)
 
     return rows.mapInPandas(build, "path string, content binary")
 
@@ -282,40 +291,52 @@ def part_reports(lineitem: DataFrame) -> DataFrame:
     return files.mapInArrow(pack, "path string, content binary")
 
 
+ARCHIVE_MEMBERS, ARCHIVE_BYTES = 1_000, 8 * 1024 * 1024   # an archive is closed at either: their number grows with the table
+
+
 def page_archives(pages: DataFrame) -> DataFrame:
-    """Archives of page html files: even partitions as .zip, odd ones as .tar.gz.
-    Returns (path, content) rows."""
+    """Archives of page html files, even partitions as .zip, odd ones as .tar.gz: at most ``ARCHIVE_MEMBERS`` members each,
+    closed at ``ARCHIVE_BYTES`` of html. Returns (path, content) rows."""
     import io
     import tarfile
     import zipfile
 
-    import pandas as pd
+    import pyarrow as pa
 
     rows = pages.select("page_id", "html", F.spark_partition_id().alias("pid"))
 
     def build(batches):
-        members: dict[int, list] = {}
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                members.setdefault(int(r.pid), []).append((f"pages/{r.page_id}.html", (r.html or "").encode()))
-        out = []
-        for pid, items in members.items():
-            buf = io.BytesIO()
-            if pid % 2 == 0:
-                with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-                    for name, data in items:
-                        z.writestr(name, data)
-                out.append((f"pages-{pid:05d}.zip", buf.getvalue()))
-            else:
-                with tarfile.open(fileobj=buf, mode="w:gz") as t:
-                    for name, data in items:
-                        info = tarfile.TarInfo(name)
-                        info.size = len(data)
-                        t.addfile(info, io.BytesIO(data))
-                out.append((f"pages-{pid:05d}.tar.gz", buf.getvalue()))
-        yield pd.DataFrame(out, columns=["path", "content"])
+        n = members = held = 0
+        out = buf = name = None
 
-    return rows.mapInPandas(build, "path string, content binary")
+        def done():
+            out.close()
+            return pa.RecordBatch.from_arrays([pa.array([name], pa.string()), pa.array([buf.getvalue()], pa.binary())],
+                                              names=["path", "content"])
+
+        for batch in batches:
+            # one value at a time: a batch as a list would hold its texts twice
+            for page_id, html, pid in zip(*batch.columns):
+                if out is None:
+                    buf = io.BytesIO()
+                    zipped = pid.as_py() % 2 == 0
+                    name = f"pages-{pid.as_py():05d}-{n:05d}{'.zip' if zipped else '.tar.gz'}"
+                    out = zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) if zipped else tarfile.open(fileobj=buf, mode="w:gz")
+                member, data = f"pages/{page_id.as_py()}.html", (html.as_py() or "").encode()
+                if zipped:
+                    out.writestr(member, data)
+                else:
+                    info = tarfile.TarInfo(member)
+                    info.size = len(data)
+                    out.addfile(info, io.BytesIO(data))
+                members, held = members + 1, held + len(data)
+                if members >= ARCHIVE_MEMBERS or held >= ARCHIVE_BYTES:
+                    yield done()
+                    n, members, held, out = n + 1, 0, 0, None
+        if out is not None:
+            yield done()
+
+    return rows.mapInArrow(build, "path string, content binary")
 
 
 def messages(events: DataFrame) -> DataFrame:

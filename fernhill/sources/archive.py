@@ -1,7 +1,7 @@
 """Archive members (S6): zip / tar / tar.gz files -> (archive, member, content) rows.
 
 ``binaryFile`` + ``mapInArrow``: each archive is opened inside one task and
-its members are emitted in Arrow batches (at most 1,000 members or 64 MB per
+its members are emitted in Arrow batches (at most 1,000 members or 8 MB per
 batch), so archives are unpacked in parallel and nothing passes through the
 driver. A file that is not an archive (by suffix)
 is passed on as its own single member. A member that a binary value cannot
@@ -23,6 +23,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 
 MEMBERS_SCHEMA = "archive string, member string, size long, content binary"
+_BATCH_BYTES = 8 * 1024 * 1024
+_CHUNK = 1024 * 1024
 
 
 def archive_kind(path: str) -> str:
@@ -57,10 +59,25 @@ def archive_members(path: str, content: bytes) -> Iterator[tuple]:
 
 
 def archive_fault(path: str, content: bytes) -> str | None:
-    """Why an archive cannot be read to its end; None if it can."""
-    try:
-        for _ in archive_members(path, content):
+    """Why an archive cannot be read to its end; None if it can. Members are read in chunks."""
+    kind = archive_kind(path)
+
+    def through(f):
+        while f.read(_CHUNK):
             pass
+
+    try:
+        if kind == "zip":
+            with zipfile.ZipFile(io.BytesIO(content)) as z:
+                for info in z.infolist():
+                    if not info.is_dir():
+                        with z.open(info) as f:
+                            through(f)
+        elif kind in ("tar", "tar.gz"):
+            with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz" if kind == "tar.gz" else "r:") as t:
+                for m in t:
+                    if m.isfile():
+                        through(t.extractfile(m))
     except (zipfile.BadZipFile, tarfile.TarError, EOFError, OSError, zlib.error, RuntimeError, NotImplementedError) as e:
         return f"{type(e).__name__}: {e}"
     return None
@@ -75,6 +92,13 @@ def _archive_files(spark: SparkSession, path: str | DataFrame, glob: str | None)
     return r.load(path).select("path", "content")
 
 
+def _files_of(batches) -> Iterator[tuple[str, bytes]]:
+    """(path, content) of each file, one at a time: a batch as a list would hold its contents twice."""
+    for batch in batches:
+        for p, c in zip(batch.column("path"), batch.column("content")):
+            yield p.as_py(), c.as_py()
+
+
 def archive_errors(spark: SparkSession, path: str | DataFrame, glob: str | None = None) -> DataFrame:
     """(path, reason) of the archives that cannot be read."""
 
@@ -82,7 +106,7 @@ def archive_errors(spark: SparkSession, path: str | DataFrame, glob: str | None
         import pyarrow as pa
 
         for batch in batches:
-            found = [(p, archive_fault(p, c)) for p, c in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist())]
+            found = ((p, archive_fault(p, c)) for p, c in _files_of([batch]))
             bad = [f for f in found if f[1] is not None]
             yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in bad], pa.string()) for k in (0, 1)], names=["path", "reason"])
 
@@ -98,18 +122,17 @@ def read_archive_members(spark: SparkSession, path: str | DataFrame, glob: str |
 
         schema = pa.schema([pa.field("archive", pa.string()), pa.field("member", pa.string()),
                             pa.field("size", pa.int64()), pa.field("content", pa.binary())])
-        for batch in batches:
-            for p, c in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
-                if skip_bad and archive_fault(p, c) is not None:
-                    continue
-                buf, held = [], 0
-                for row in archive_members(p, c):
-                    buf.append(row)
-                    held += len(row[3])
-                    if len(buf) >= 1000 or held >= 64 * 1024 * 1024:
-                        yield pa.RecordBatch.from_arrays([pa.array(col) for col in zip(*buf)], schema=schema)
-                        buf, held = [], 0
-                if buf:
+        for p, c in _files_of(batches):
+            if skip_bad and archive_fault(p, c) is not None:
+                continue
+            buf, held = [], 0
+            for row in archive_members(p, c):
+                buf.append(row)
+                held += len(row[3])
+                if len(buf) >= 1000 or held >= _BATCH_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array(col) for col in zip(*buf)], schema=schema)
+                    buf, held = [], 0
+            if buf:
+                yield pa.RecordBatch.from_arrays([pa.array(col) for col in zip(*buf)], schema=schema)
 
     return files.mapInArrow(run, MEMBERS_SCHEMA)
