@@ -195,9 +195,10 @@ def _cells_batches(header_row):
 
     def run(batches):
         for batch in batches:
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+            # one value at a time: a batch as a list would hold its contents twice
+            for path, content in zip(batch.column("path"), batch.column("content")):
                 buf = []
-                for row in workbook_rows(path, content, header_row):
+                for row in workbook_rows(path.as_py(), content.as_py(), header_row):
                     buf.append(row[:width])
                     if len(buf) >= _BATCH:
                         yield flush(buf)
@@ -306,11 +307,12 @@ def workbook_errors(spark: SparkSession, path: str | DataFrame, glob: str = "*.x
         schema = pa.schema([pa.field("path", pa.string()), pa.field("error", pa.string())])
         for batch in batches:
             bad = []
-            for p, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+            # one value at a time: a batch as a list would hold its contents twice
+            for p, content in zip(batch.column("path"), batch.column("content")):
                 try:
-                    _sheets(zipfile.ZipFile(io.BytesIO(content)))
+                    _sheets(zipfile.ZipFile(io.BytesIO(content.as_py())))
                 except Exception as e:  # noqa: BLE001 - any failure to open is reported
-                    bad.append((p, f"{type(e).__name__}: {e}"))
+                    bad.append((p.as_py(), f"{type(e).__name__}: {e}"))
             if bad:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*bad)], schema=schema)
 

@@ -27,3 +27,35 @@ def test_p1_types_the_whole_report(spark, lineitem):
     p1, c5 = (load_all()[n].build(spark, lineitem) for n in ("p1_load_projection", "c5_basic_metrics"))
     assert p1.columns == c5.columns
     assert p1.count() == 700 and p1.exceptAll(c5).count() == 0
+
+
+def _members(path, content):
+    if path.endswith(".zip"):
+        return {i.filename: zipfile.ZipFile(io.BytesIO(content)).read(i) for i in zipfile.ZipFile(io.BytesIO(content)).infolist()}
+    with tarfile.open(fileobj=io.BytesIO(content), mode="r:gz") as t:
+        return {m.name: t.extractfile(m).read() for m in t}
+
+
+def test_archives_stay_small(spark):
+    pages = spark.range(2_500, numPartitions=2).select(F.col("id").alias("page_id"), F.expr("IF(id % 9 = 0, NULL, concat('<p>', id))").alias("html"))
+    found = {}
+    for r in derive.page_archives(pages).collect():
+        members = _members(r.path, bytes(r.content))
+        assert len(members) <= 1_000
+        found.update(members)
+    assert found == {f"pages/{k}.html": b"" if k % 9 == 0 else f"<p>{k}".encode() for k in range(2_500)}
+
+
+def test_workbooks_stay_small(spark, monkeypatch):
+    monkeypatch.setattr(derive, "WORKBOOK_ROWS", 50, raising=False)
+    orders = spark.range(1_000).select(
+        F.col("id").alias("o_orderkey"), F.lit("O").alias("o_orderstatus"), F.lit("1-URGENT").alias("o_orderpriority"), F.lit(1.5).alias("o_totalprice"),
+        F.lit(dt.datetime(2022, 7, 5)).cast("timestamp_ntz").alias("o_orderdate"), F.col("id").alias("o_custkey"))
+    from fernhill.sources.workbook import read_workbook_cells, sheet_rows
+
+    books = derive.order_workbooks(orders)
+    cells = read_workbook_cells(spark, books, header_row=2)
+    rows = sheet_rows(cells, sheet_regex=r"\d{2}\.\d{4}", skip=2, skip_footer=2, names=["Order Key"])
+    sizes = {r.path: r["count"] for r in rows.groupBy("path").count().collect()}
+    assert sum(sizes.values()) == 1_000 and max(sizes.values()) <= 50
+    assert rows.select("Order Key").distinct().count() == 1_000
