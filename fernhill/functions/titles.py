@@ -41,7 +41,10 @@ def parse_titles(df, c: str = "title", into: str = "parsed"):
 
     It is computed in stages: each regex runs once per row and the
     generated code stays small. Catalyst keeps the stages apart because it
-    does not inline a non-trivial expression into several consumers."""
+    does not inline a non-trivial expression into several consumers. The struct
+    leaves through ``explode`` of a one-element array: a filter on its fields stays
+    above that, where it would else be pushed below the stages (and a preceding
+    ``distinct``) with every regex written out in it dozens of times."""
     keep = [F.col(f"`{x}`") for x in df.columns]
     col = F.col(f"`{c}`")
     s = df.select(*keep, F.replace(col, F.lit("_"), F.lit(" ")).alias("__t0"))
@@ -75,4 +78,4 @@ def parse_titles(df, c: str = "title", into: str = "parsed"):
         F.col("__g2").alias("item"),
         F.when(rest != "", rest).alias("item_title"),
     )
-    return s.select(*keep, F.when(col.isNotNull(), parsed).alias(into))
+    return s.select(*keep, F.explode(F.array(F.when(col.isNotNull(), parsed))).alias(into))

@@ -247,9 +247,12 @@ SELECT title, qn AS query, rank FROM hit
 """)
 def j4_title_lookup(spark, sf):
     """Which search (main, shortened, bare title) first finds candidates, per title."""
-    p = _part(spark, sf)
-    parsed = parse_titles(_raw_titles(spark, sf), "title", "parsed")
-    cand = title_candidates(p).select(norm_title("query").alias("qn")).distinct()
+    return _first_hits(parse_titles(_raw_titles(spark, sf), "title", "parsed"), _part(spark, sf))
+
+
+def _first_hits(parsed, part):
+    """(title, query, rank) of the first search with candidates, for titles that are parsed already."""
+    cand = title_candidates(part).select(norm_title("query").alias("qn")).distinct()
     hits = search_attempts(parsed, key="title").join(cand, "qn")
     return (hits.groupBy("title").agg(F.min(F.struct("rank", "qn")).alias("w"))
             .select("title", F.col("w.qn").alias("query"), F.col("w.rank").alias("rank")))
@@ -262,9 +265,9 @@ FROM hit h JOIN a0 ON a0.title = h.title WHERE a0.has_rest
 """)
 def m6_rest_title_search(spark, sf):
     """M6: titles with a rest-title: did the "title rest" search or the bare title find candidates?"""
-    j = j4_title_lookup(spark, sf)
-    parsed = _parsed(spark, sf).where(F.col("p.item_title").isNotNull()).select("title")
-    return j.join(parsed, "title").select("title", "query", (F.col("rank") >= SECOND_CHAIN).alias("bare_title_used"))
+    # titles are parsed once; only those with a rest-title go on to the search
+    parsed = parse_titles(_raw_titles(spark, sf), "title", "parsed").where(F.col("parsed.item_title").isNotNull())
+    return _first_hits(parsed, _part(spark, sf)).select("title", "query", (F.col("rank") >= SECOND_CHAIN).alias("bare_title_used"))
 
 
 @register("m5_ids_by_kind", sql=f"""

@@ -59,3 +59,48 @@ def test_workbooks_stay_small(spark, monkeypatch):
     sizes = {r.path: r["count"] for r in rows.groupBy("path").count().collect()}
     assert sum(sizes.values()) == 1_000 and max(sizes.values()) <= 50
     assert rows.select("Order Key").distinct().count() == 1_000
+
+
+def test_filters_on_parsed_titles_stay_above_the_parse(spark):
+    from fernhill.functions.titles import parse_titles
+
+    df = spark.createDataFrame([("a itemset 4",), ("a S01E02 - b",), (None,)], "title string").repartition(2)
+    parsed = parse_titles(df.distinct(), "title", "p")
+    found = parsed.where(F.col("p.item").isNull() & F.col("p.itemset").isNotNull()).select("title", "p.itemset")
+    assert [tuple(r) for r in found.collect()] == [("a itemset 4", 4)]
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert len(text.split("RLIKE")) + len(text.split("rlike")) <= 4 and parsed.count() == 3
+
+
+def test_m6_parses_titles_once(spark):
+    text = load_all()["m6_rest_title_search"].build(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert len(text.split("RLIKE")) - 1 <= 2
+
+
+def test_reports_land_compressed(spark, lineitem):
+    from fernhill.plans import queries_loads
+
+    path = queries_loads.land_report(spark, lineitem, "c9")
+    names = spark.read.format("binaryFile").load(path).select("path").collect()
+    assert names and all(r.path.endswith(".csv.gz") for r in names)
+
+
+def test_sheet_rows_are_numbered_before_cells_are_written_out(spark, lineitem):
+    from fernhill.plans import queries_loads
+
+    text = queries_loads.report_cells(spark, lineitem, "c11")._jdf.queryExecution().optimizedPlan().toString()
+    assert "array(" not in text[text.index("Window "):]
+
+
+def test_big_csv_files_grow_in_number(spark, lineitem, tmp_path, monkeypatch):
+    from fernhill.plans import queries_landing
+    from fernhill.plans.registry import table, table_state
+
+    size = table_state(spark, lineitem, "lineitem")[2]
+    monkeypatch.setattr(queries_landing, "FILE_BYTES", size // 2, raising=False)
+    seen = []
+    write = queries_landing.write_report_csv
+    monkeypatch.setattr(queries_landing, "write_report_csv", lambda df, path: (seen.append(path), write(df, path)))
+    r = queries_landing.s3_split_multiline(spark, lineitem)
+    assert r.count() == 700 and len(spark.read.text(seen[0]).inputFiles()) == 2
+    assert r.select("l_orderkey", "l_linenumber").distinct().count() == table(spark, lineitem, "lineitem").count()
