@@ -334,7 +334,7 @@ def p10_spec_for_path(spark, sf):
     root = scratch_path(spark, "landing")
     path = f"{root}/{channel}/{spec.name}"
     li = table(spark, sf, "lineitem")
-    write_report_csv(li.select([F.expr(e).alias(n) for n, e in report_columns(spec)]), path, rows_per_file=30_000)
+    write_report_csv(li.select([F.expr(e).alias(n) for n, e in report_columns(spec)]), path, rows_per_file=30_000, compression="gzip")
     typed = load_projection(read_report_csv(spark, path, multiline=True), spec, run_id="run-1")
     got = typed.select(channel_of(F.col("source_key"), -3).alias("channel"))
     return got.groupBy("channel").agg(F.count(F.lit(1)).alias("n_rows")).select(

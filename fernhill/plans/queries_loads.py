@@ -106,7 +106,9 @@ _LANDED: dict[tuple, str] = {}
 
 
 def land_report(spark: SparkSession, sf: str, job: str) -> str:
-    """Write the derived report of ``job`` as CSV (once per session and state of the table)."""
+    """Write the derived report of ``job`` as gzip CSV (once per session and state of the table).
+
+    The parts are read whole in any case (line breaks in fields), so compression costs no parallelism."""
     key = (job, *table_state(spark, sf, "lineitem"))
     if key not in _LANDED:
         spec = SPECS[job]
@@ -114,7 +116,7 @@ def land_report(spark: SparkSession, sf: str, job: str) -> str:
         exprs = [F.expr(sql).alias(name) for name, sql in report_columns(spec)]
         name = QUARTER_FOLDER if spec.period.how == "file_quarter" else job
         path = scratch_path(spark, f"report-{name}")
-        write_report_csv(li.select(exprs), path, rows_per_file=PART_ROWS)
+        write_report_csv(li.select(exprs), path, rows_per_file=PART_ROWS, compression="gzip")
         _LANDED[key] = path
     return _LANDED[key]
 

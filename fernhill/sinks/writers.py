@@ -47,13 +47,17 @@ def append_load(df: DataFrame, path: str, columns: Sequence[str] | None = None,
         w.mode("append").parquet(path)
 
 
-def write_report_csv(df: DataFrame, path: str, mode: str = "append", rows_per_file: int | None = None) -> None:
+def write_report_csv(df: DataFrame, path: str, mode: str = "append", rows_per_file: int | None = None,
+                     compression: str | None = None) -> None:
     """CSV with a header and standard quoting (quotes doubled, blanks kept),
-    in parts of at most ``rows_per_file`` rows when given."""
+    in parts of at most ``rows_per_file`` rows when given. ``compression`` (as "gzip", at its
+    quickest level) suits files that are read whole: a compressed one is not split."""
     w = (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if rows_per_file:
         w = w.option("maxRecordsPerFile", int(rows_per_file))
+    if compression:
+        w = w.option("compression", compression).option("zlib.compress.level", "BEST_SPEED")
     w.csv(path)
 
 
