@@ -251,7 +251,9 @@ _BOOK_KEYS = 4096   # order keys a workbook: the number of books grows with the
 
 def report_cells(spark: SparkSession, sf: str, job: str) -> DataFrame:
     """The derived report of ``job`` as a cells table: books by order key, with skipped
-    rows, unused columns, footer rows, thousands marks and a sheet that is not wanted."""
+    rows, unused columns, footer rows, thousands marks and a sheet that is not wanted.
+
+    Rows are numbered within their sheet as lineitem's own columns; the wide cells are written out after that shuffle."""
     spec = SPECS[job]
     sheet, usecols, options = SHEETS[job]
     cols = [(n, sql) for n, sql in report_columns(spec) if n != "sheet"]
@@ -267,14 +269,14 @@ def report_cells(spark: SparkSession, sf: str, job: str) -> DataFrame:
 
     sheet_sql = F.lit(sheet) if sheet else F.expr(dict(report_columns(spec))["sheet"])
     folder = f"{QUARTER_FOLDER}/" if spec.period.how == "file_quarter" else ""
-    li = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.format_string(f"{folder}book-%d.xlsx", F.floor(F.col("l_orderkey") / _BOOK_KEYS)).alias("path"),
-        sheet_sql.alias("sheet"), (F.lit(0) if sheet else F.col("l_linenumber").cast("int")).alias("sheet_index"),
-        laid_out([text(n, sql) for n, sql in cols]).alias("cells"))
-    within = Window.partitionBy("path", "sheet")
+    li = table(spark, sf, "lineitem").select("*", F.floor(F.col("l_orderkey") / _BOOK_KEYS).alias("book"), sheet_sql.alias("sheet"))
+    within = Window.partitionBy("book", "sheet")
     skip, footer = options.get("skip", 0), options.get("skip_footer", 0)
     li = li.select("*", F.row_number().over(within.orderBy("l_orderkey", "l_linenumber")).alias("n"),
                    F.count("*").over(within).cast("int").alias("size"))
+    li = li.select(
+        "n", "size", F.format_string(f"{folder}book-%d.xlsx", F.col("book")).alias("path"), "sheet",
+        (F.lit(0) if sheet else F.col("l_linenumber").cast("int")).alias("sheet_index"), laid_out([text(n, sql) for n, sql in cols]).alias("cells"))
 
     def line(row, cells, of=None):
         return F.struct(F.lit(of).cast("string").alias("sheet") if of else F.col("sheet"),
