@@ -21,7 +21,16 @@ from .derive import page_archives, part_reports
 from .jobs import csv_to_parquet
 from .loads import F_, LoadSpec, Period, load_dynamic
 from .queries_titles import RECORD_MATCHES_SQL, UPSERT_SQL, _match_rows, _upsert_source
-from .registry import register, table
+from .registry import register, table, table_state
+
+
+FILE_BYTES = 64 * 1024 * 1024   # parquet bytes of lineitem behind one landed CSV file (some 200 MB of text)
+
+
+def land_big_csv(spark, sf, rows, path):
+    """``rows`` of lineitem as big CSV files, one for each ``FILE_BYTES`` of the table: one task writes a
+    file, so their number, not their size, grows with the table."""
+    write_report_csv(rows.coalesce(max(1, table_state(spark, sf, "lineitem")[2] // FILE_BYTES)), path)
 
 
 @register("s3_split_multiline", sql="""
@@ -31,11 +40,11 @@ SELECT l_orderkey, l_linenumber, l_extendedprice,
 FROM lineitem
 """)
 def s3_split_multiline(spark, sf):
-    """S3: one big CSV file with line breaks in fields, read by byte ranges cut at record ends."""
+    """S3: big CSV files with line breaks in fields, read by byte ranges cut at record ends."""
     note = F.expr("""CASE WHEN l_linenumber = 3 THEN '' ELSE 'line "' || l_linestatus || '",' || chr(10) || chr(10)
                      || repeat(l_returnflag || chr(10), cast(l_linenumber AS int)) || chr(92) END""")
     path = scratch_path(spark, "one-csv")
-    write_report_csv(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", note.alias("note")).coalesce(1), path)
+    land_big_csv(spark, sf, table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", note.alias("note")), path)
     r = read_split_csv(spark, path)
     return r.select(*(F.col(c).cast(t).alias(c) for c, t in (("l_orderkey", "bigint"), ("l_linenumber", "bigint"), ("l_extendedprice", "double"))), "note")
 
@@ -45,10 +54,10 @@ SELECT l_orderkey, l_linenumber, l_comment, true AS within_limit, true AS enough
 FROM (SELECT l_orderkey, l_linenumber, l_linestatus || chr(10) || l_returnflag AS l_comment FROM lineitem)
 """)
 def s4_split_big_csv(spark, sf):
-    """One CSV of more than 30,000 rows (from sf0.01 on), split by force into parts of at most 30,000 rows."""
+    """Big CSV files of more than 30,000 rows (from sf0.01 on), split by force into parts of at most 30,000 rows."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.expr("l_linestatus || chr(10) || l_returnflag").alias("l_comment"))
     path, out = scratch_path(spark, "big-csv"), scratch_path(spark, "big-parts")
-    write_report_csv(li.coalesce(1), path)
+    land_big_csv(spark, sf, li, path)
     csv_to_parquet(spark, path, out, force=True, glob="*.csv")
     r = spark.read.parquet(out).withColumn("_f", F.col("_metadata.file_path"))
     parts = r.groupBy("_f").agg(F.count(F.lit(1)).alias("n"))
