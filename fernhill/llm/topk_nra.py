@@ -1,14 +1,20 @@
 """Exact top-k by inner product with no-random-access aggregation (Fagin's NRA).
 
 Vectors are turned to integers. A part of the rows keeps one list per component: the rows' places, sorted by
-value. For a query, all lists are read side by side, each from the end at which the query's product is largest,
-and products are formed for the entries that are read alone. What has been read bounds every row: a component that was
-met counts with its product, one that was not with at most the last product read from its list and at least
-with the smallest of the list. Reading goes on, deeper by rounds, until no row that was never met and all but a
-few of those met can reach the k-th best score known; these few are resolved to exact scores. Rows whose
+value. For a query, all lists are read side by side, each from the end at which the query's product is largest.
+What has been read bounds every row: a component that was met counts with its
+product, one that was not with the last product read from its list. Reading goes on, deeper by rounds, until no row that
+was never met and all but a few of those met can reach the k-th best score known; these few are resolved to exact scores.
+Where many are left, those that lead are resolved first, and their k-th score is a floor. Rows whose
 upper bound equals that score stay in, so ties are exact. The k-th score found in earlier parts is
 the floor for the next ones, where reading so stops sooner, at once if no row there can reach it.
 
+Lists are read once for all queries of a task, not once for each: a round puts the entries that it reads from either
+end into two tables, where an entry that was not read stands as the last one that was, and one matrix product
+of the queries' positive and negative components with these tables gives the bounds of all rows. No bound is taken
+for a query as long as rows that were never met may qualify. A product over the tables costs as much as two scans,
+so the method saves no multiplications where vectors are spread evenly; the work stays queries times rows.
+
 Row blocks are written once and stay where they are; queries come to them, in rounds of a bounded
 number that is broadcast. A task keeps the k best per query over all its rows, so
 nothing is joined row by row and nothing grows with the square of a group.
@@ -34,6 +40,10 @@ from .common import settle
 SCALE = 1024
 #: Shares of each list that have been read after each round.
 DEPTHS = (1 / 64, 1 / 16, 1 / 4, 1 / 2, 5 / 8, 3 / 4, 7 / 8, 1)
+#: Queries whose bounds are taken at a time.
+QUERIES = 256
+#: Values of a part at most: very wide vectors make shorter lists.
+PART_VALUES = 1 << 20
 
 
 def _packed(rows: DataFrame, block_rows: int, name: str) -> DataFrame:
@@ -85,53 +95,67 @@ class SortedLists:
     """Some rows with one list per component; ``data`` has a component per line."""
 
     def __init__(self, rows: np.ndarray, data: np.ndarray):
-        self.rows, self.data = rows, data
+        self.rows, self.data, self.by_row = rows, data, np.ascontiguousarray(data.T)
         self.places = np.argsort(data, axis=1, kind="stable").astype(np.int32)
         #: Entries read and rows resolved by all searches so far.
         self.read, self.resolved = 0, 0
 
+    def _tables(self, upto: int) -> tuple[np.ndarray, np.ndarray]:
+        """What ``upto`` entries of every list tell, read from the high and from the low end: a line per end and list,
+        where an entry that was not read stands as the last one that was; and these last ones."""
+        n, lines = len(self.rows), np.arange(len(self.data))
+        tables, last = [], []
+        for places in (self.places[:, n - upto:][:, ::-1], self.places[:, :upto]):
+            last.append(self.data[lines, places[:, -1]].astype(float))
+            tables.append(np.repeat(last[-1][:, None], n, axis=1))
+            np.put_along_axis(tables[-1], places, np.take_along_axis(self.data, places, axis=1), axis=1)
+        return np.concatenate(tables), np.concatenate(last)
+
     def search(self, query: np.ndarray, own_row: int, k: int, floor: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Places and scores of all rows that can be among the k best; ``floor`` is a
         score that k other rows are known to reach."""
-        n, lines = len(self.rows), np.flatnonzero(query)
-        others = self.rows != own_row
-        if len(lines) == 0:
-            places = np.flatnonzero(others)
-            return places, np.zeros(len(places), np.int64)
-        q = query[lines, None]
-        up = q[:, 0] > 0
-        value = lambda at: self.data[lines, self.places[lines, np.where(up, n - 1 - at, at)]] * q[:, 0]
-        least = value(n - 1)
-        known, unread_least = np.zeros(n), np.full(n, float(least.sum()))
-        met = np.zeros((len(lines), n), bool)
-        done = 0
+        return self.search_all(query[None, :], np.array([own_row]), k, np.array([-np.inf if floor is None else floor], float))[0]
+
+    def search_all(self, queries: np.ndarray, own_rows: np.ndarray, k: int, floors: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``search`` for queries that are a line each; a floor that is not known is -inf."""
+        n, none, floors = len(self.rows), np.zeros(0, np.int64), floors.copy()
+        found = [(none, none)] * len(queries)
+        reading, done, few = np.arange(len(queries)), 0, max(4 * k, n // 16)
         for depth in DEPTHS:
-            upto = max(done + 1, int(n * depth))
-            # the next entries of every list, from its own end
-            at = np.where(up[:, None], n - 1 - np.arange(done, upto), np.arange(done, upto))
-            places = self.places[lines[:, None], at]
-            products = self.data[lines[:, None], places] * q
-            self.read += places.size
-            known += np.bincount(places.ravel(), products.ravel(), n)
-            unread_least -= np.bincount(places.ravel(), np.repeat(least, upto - done), n)
-            np.put_along_axis(met, places, True, axis=1)
-            done = upto
-            if done == n:
+            if done == n or not len(reading):
                 break
-            last = value(done - 1)
-            lower = (known + unread_least)[others]
-            if len(lower) > k:
-                kth = int(np.partition(lower, len(lower) - k)[len(lower) - k])
-                floor = kth if floor is None else max(floor, kth)
-            if floor is None or last.sum() >= floor:
-                continue             # a row that was never met may still qualify
-            live = np.flatnonzero(others & met.any(axis=0))
-            live = live[known[live] + last.sum() - last @ met[:, live] >= floor]
-            if len(live) <= max(4 * k, n // 32):
-                self.resolved += len(live)
-                return live, (self.data[:, live] * query[:, None]).sum(axis=0)
-        live = np.flatnonzero(others)
-        return live, known[live].astype(np.int64)
+            before, done = done, max(done + 1, int(n * depth))
+            known, last = self._tables(done)
+            going_on = np.zeros(len(queries), bool)
+            for at in range(0, len(reading), QUERIES):
+                some = reading[at:at + QUERIES]
+                self.read += int(np.count_nonzero(queries[some])) * (done - before)
+                # a positive component reads its list from the high end, a negative one from the low end
+                weights = np.concatenate([np.maximum(queries[some], 0), np.minimum(queries[some], 0)], axis=1).astype(float)
+                outside = weights @ last             # the most that a row which was never met can score
+                going_on[some] = (outside >= floors[some]) & (floors[some] > -np.inf) & (done < n)
+                bounded = ~going_on[some]
+                some, outside, upper = some[bounded], outside[bounded], weights[bounded] @ known
+                live = (upper >= floors[some, None]) & (self.rows != own_rows[some, None])
+                for i, most, bounds, can in zip(some, outside, upper, live):
+                    places = np.flatnonzero(can)
+                    if done == n:                    # the bounds are the scores
+                        found[i] = places, bounds[places].astype(np.int64)
+                        continue
+                    if len(places) > few:
+                        # the rows that lead are resolved first: their k-th score is a floor
+                        lead = places[np.argpartition(bounds[places], -2 * k)[-2 * k:]]
+                        floors[i] = max(floors[i], np.partition(self._resolve(queries[i], lead), k)[k])
+                        places = places[bounds[places] >= floors[i]]
+                    going_on[i] = most >= floors[i] or len(places) > few
+                    if not going_on[i]:
+                        found[i] = places, self._resolve(queries[i], places)
+            reading = np.flatnonzero(going_on)
+        return found
+
+    def _resolve(self, query: np.ndarray, places: np.ndarray) -> np.ndarray:
+        self.resolved += len(places)
+        return self.by_row[places] @ query
 
 
 def _search_in(queries, k: int, part_rows: int):
@@ -141,6 +165,7 @@ def _search_in(queries, k: int, part_rows: int):
         q_rows, q_ids, q_data = queries.value
         none = np.zeros(0, np.int64)
         best = [(none, none, none, none > 0)] * len(q_rows)     # scores, rows, ids, whether the id is there
+        floors = np.full(len(q_rows), -np.inf)
         for batch in batches:
             for block in batch.to_pylist():
                 rows, ids, valid = np.frombuffer(block["rows"], "<i8"), np.frombuffer(block["ids"], "<i8"), np.frombuffer(block["valid"], "u1") > 0
@@ -149,17 +174,20 @@ def _search_in(queries, k: int, part_rows: int):
                 data, wanted = np.zeros((width, len(rows)), np.int64), np.zeros((len(q_rows), width), np.int64)
                 data[:block["width"]] = np.frombuffer(block["data"], "<i8").reshape(len(rows), block["width"]).T
                 wanted[:, :q_data.shape[1]] = q_data
-                for at in range(0, len(rows), part_rows):
-                    span = slice(at, at + part_rows)
+                step = max(1, min(part_rows, PART_VALUES // max(width, 1)))
+                for at in range(0, len(rows), step):
+                    span = slice(at, at + step)
                     part = SortedLists(rows[span], np.ascontiguousarray(data[:, span]))
-                    for n in range(len(q_rows)):
-                        scores, own, own_ids, own_valid = best[n]
-                        places, new = part.search(wanted[n], q_rows[n], k, int(scores[-1]) if len(scores) >= k else None)
-                        places += at
-                        scores, own = np.r_[scores, new], np.r_[own, rows[places]]
-                        own_ids, own_valid = np.r_[own_ids, ids[places]], np.r_[own_valid, valid[places]]
+                    for n, (places, new) in enumerate(part.search_all(wanted, q_rows, k, floors)):
+                        enough = new >= floors[n]
+                        if not enough.any():
+                            continue
+                        places, new = places[enough] + at, new[enough]
+                        scores, own, own_ids, own_valid = (np.concatenate(x) for x in zip(best[n], (new, rows[places], ids[places], valid[places])))
                         top = _top(scores, own_ids, own, k)
                         best[n] = (scores[top], own[top], own_ids[top], own_valid[top])
+                        if len(top) == k:
+                            floors[n] = scores[top[-1]]
         counts = [len(b[0]) for b in best]
         if sum(counts):
             scores, own, own_ids, own_valid = (np.concatenate([b[c] for b in best]) for c in range(4))

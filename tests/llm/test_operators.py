@@ -3,10 +3,12 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,6 +196,49 @@ def test_lists_are_read_until_no_outsider_qualifies():
     assert len(lists.search(data[:, 0], 0, 10, 10 ** 9)[0]) == 0 and lists.read - before <= n // 64
 
 
+def test_lists_are_read_once_for_all_queries(monkeypatch):
+    """Searching evenly spread vectors costs about what forming all products one by one does, and is exact for odd queries too."""
+    rng = np.random.default_rng(21)
+    data = np.floor(1024 * rng.normal(0, 0.125, (64, 3000))).astype(np.int64)
+    data[:, 2990:] = data[:, 2980:2990]                                             # ties
+    queries = data[:, ::10].T.copy()
+    queries[:4] = 0
+    queries[1, 5], queries[2, 7], queries[3] = 3, -2, 1
+    own = np.r_[-1, -1, -1, -1, np.arange(40, 3000, 10)]
+    rounds, tables = [], topk_nra.SortedLists._tables
+    monkeypatch.setattr(topk_nra.SortedLists, "_tables", lambda self, upto: rounds.append(upto) or tables(self, upto))
+    lists, began = topk_nra.SortedLists(np.arange(3000), data), time.thread_time()
+    found = lists.search_all(queries, own, 10, np.full(300, -np.inf))
+    took, began = time.thread_time() - began, time.thread_time()
+    exact = np.array([(data * q[:, None]).sum(axis=0) for q in queries])
+    assert took < 8 * (time.thread_time() - began)                                  # one query at a time: 28 times
+    assert rounds == sorted(set(rounds)) and len(rounds) <= len(topk_nra.DEPTHS)
+    for q, (places, scores) in enumerate(found):
+        others = np.delete(np.arange(3000), own[q]) if own[q] >= 0 else np.arange(3000)
+        kth = np.sort(exact[q, others])[-10]
+        assert np.array_equal(scores, exact[q, places]) and own[q] not in places
+        assert set(others[exact[q, others] >= kth]) <= set(places.tolist())
+    floors = np.sort(exact, axis=1)[:, -5].astype(float)
+    for q, (places, _) in enumerate(lists.search_all(queries, own, 10, floors)):    # a floor that stands: all that reach it
+        assert set(np.flatnonzero(exact[q] >= floors[q])) - {own[q]} <= set(places.tolist())
+
+
+def test_top_k_of_empty_and_very_wide_vectors(spark, monkeypatch):
+    empty = spark.createDataFrame([(i, []) for i in (0, 1, 2)], "vec_id long, embedding array<double>")
+    got = topk_nra.top_k(empty, F.col("vec_id") == 0, 2).collect()
+    assert sorted(tuple(r) for r in got) == [(0, 1, 1, 0), (0, 2, 2, 0)]
+    monkeypatch.setattr(topk_nra, "PART_VALUES", 300)
+    rng = np.random.default_rng(5)
+    data = rng.normal(size=(90, 100))
+    rows, whole = np.arange(90), np.floor(1024 * data).astype(np.int64)
+    block = pa.RecordBatch.from_pylist([{"block": 0, "rows": rows.tobytes(), "ids": rows.tobytes(), "valid": b"\1" * 90, "data": whole.tobytes(), "width": 100}])
+    known = type("Known", (), {"value": (rows[:7], rows[:7], whole[:7])})
+    got = next(iter(topk_nra._search_in(known, 4, 2048)([block]))).to_pydict()
+    exact = whole[:7] @ whole.T
+    exact[np.arange(7), np.arange(7)] = -10 ** 12
+    assert np.array_equal(np.array(got["row"]).reshape(7, 4), np.argsort(-exact, axis=1)[:, :4])
+
+
 @pytest.mark.parametrize("window", [35, 6])
 def test_substring_dedup(odd, none, window):
     texts = odd.select("doc_id", "text").collect()
